@@ -3,21 +3,15 @@
 Plain projections, filters, joins and aggregates are used directly from the
 DataFrame API in the plans; this module holds the pieces with a scale
 argument behind them: optional filters, bounded dimension broadcasts, ranked
-top-N per group, and a global RANK that never funnels all rows through one
-partition.
+top-N per group. The global RANK is in ``cairn.operators.ordered``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from cairn.session import checkpoint_dir
 
 # Dimension tables whose row count is fixed by the data model, independent of
 # the scale factor (TPC-H: 25 nations, 5 regions). Broadcasting them is always
@@ -51,67 +45,3 @@ def top_n_per_group(df: DataFrame, partition_by: Sequence[str], order_by: Sequen
               .filter(F.col(rank_col) <= n)
               .withColumn(rank_col, F.col(rank_col).cast("bigint")))
 
-
-def _local_rank(key_cols: list[str]):
-    """Per-partition RANK for rows already sorted by ``key_cols``; carries the
-    current tie block across Arrow batches of the same partition."""
-
-    def run(batches):
-        seen = 0
-        last = None  # one-row frame: key of the previous row, across batches
-        last_rank = 0
-        for pdf in batches:
-            if pdf.empty:
-                yield pdf.assign(_lrank=np.zeros(0, dtype="int64"))
-                continue
-            keys = pdf[key_cols].reset_index(drop=True)
-            if last is None:
-                prev = keys.shift(1)
-            else:
-                prev = pd.concat([last, keys.iloc[:-1]], ignore_index=True)
-            same = ((keys == prev) | (keys.isna() & prev.isna())).all(axis=1).to_numpy()
-            if last is None:
-                same[0] = False
-            pos = np.arange(seen + 1, seen + 1 + len(keys), dtype="int64")
-            starts = pd.Series(np.where(same, np.nan, pos))
-            if same[0]:
-                starts.iloc[0] = last_rank
-            ranks = starts.ffill().astype("int64").to_numpy()
-            last, last_rank = keys.iloc[-1:], int(ranks[-1])
-            seen += len(keys)
-            yield pdf.assign(_lrank=ranks)
-
-    return run
-
-
-def rank_global(df: DataFrame, order_cols: Sequence[str], descending: bool = True,
-                rank_col: str = "rank") -> DataFrame:
-    """RANK over the whole set without a single-partition window.
-
-    1. ``orderBy`` range-partitions by the key (equal keys always land in the
-       same partition) and sorts within partitions.
-    2. The sorted frame is checkpointed into the shared checkpoint folder so
-       its partitioning is fixed (range bounds come from sampling and could
-       differ if recomputed) and an executor loss does not redo the sort.
-    3. Row counts per partition (one row per partition) give offsets.
-    4. A per-partition pass computes the local RANK; global = offset + local.
-    """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    order = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_last()
-             for c in order_cols]
-    sorted_df = (df.orderBy(*order)
-                   .withColumn("_pid", F.spark_partition_id())
-                   .checkpoint(eager=True))
-    counts = {r["_pid"]: r["n"] for r in
-              sorted_df.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n_parts = sorted_df.rdd.getNumPartitions()
-    offsets, acc = [], 0
-    for p in range(n_parts):
-        offsets.append(acc)
-        acc += counts.get(p, 0)
-    schema = T.StructType(sorted_df.schema.fields + [T.StructField("_lrank", T.LongType())])
-    local = sorted_df.mapInPandas(_local_rank(list(order_cols)), schema)
-    offset_arr = F.array(*[F.lit(o).cast("bigint") for o in offsets]) if offsets else F.array()
-    return (local.withColumn(rank_col, F.element_at(offset_arr, F.col("_pid") + 1) + F.col("_lrank"))
-                 .drop("_pid", "_lrank"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cairn.functions import money, scalars
 from cairn.operators.predicates import not_in_subquery
-from cairn.operators.relational import rank_global
+from cairn.operators.ordered import rank_global
 from cairn.plans.registry import register
 from cairn.session import read_table
 from cairn.sources import writers
