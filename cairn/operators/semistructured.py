@@ -40,22 +40,22 @@ def flatten(df: DataFrame, v: Column, path: str, outer: bool = False,
 
 # fixed values: TYPEOF names of the source engine, keyed by the leading
 # token of Spark's schema_of_variant
-_TYPE_NAMES = [
-    ("OBJECT", "OBJECT"), ("ARRAY", "ARRAY"), ("STRING", "VARCHAR"), ("BOOLEAN", "BOOLEAN"),
-    ("BIGINT", "INTEGER"), ("INT", "INTEGER"), ("SMALLINT", "INTEGER"), ("TINYINT", "INTEGER"),
-    ("DECIMAL", "DECIMAL"), ("DOUBLE", "DOUBLE"), ("FLOAT", "DOUBLE"), ("VOID", "NULL_VALUE"),
-    ("DATE", "DATE"), ("TIMESTAMP", "TIMESTAMP_NTZ"),
-]
+_TYPE_NAMES = {
+    "OBJECT": "OBJECT", "ARRAY": "ARRAY", "STRING": "VARCHAR", "BOOLEAN": "BOOLEAN",
+    "BIGINT": "INTEGER", "INT": "INTEGER", "SMALLINT": "INTEGER", "TINYINT": "INTEGER",
+    "DECIMAL": "DECIMAL", "DOUBLE": "DOUBLE", "FLOAT": "DOUBLE", "VOID": "NULL_VALUE",
+    "DATE": "DATE", "TIMESTAMP": "TIMESTAMP_LTZ", "TIMESTAMP_NTZ": "TIMESTAMP_NTZ", "BINARY": "BINARY",
+}
 
 
 def typeof(v: Column) -> Column:
     """TYPEOF of a variant value (OBJECT, ARRAY, VARCHAR, INTEGER,
-    DECIMAL, DOUBLE, BOOLEAN, NULL_VALUE)."""
+    DECIMAL, DOUBLE, BOOLEAN, NULL_VALUE; SQL NULL gives NULL). One map
+    lookup on the leading token of ``schema_of_variant``, so the schema is
+    computed once per value (a CASE chain would re-evaluate it per branch)."""
+    names = F.create_map(*[F.lit(x) for kv in _TYPE_NAMES.items() for x in kv])
     head = F.regexp_extract(F.schema_of_variant(v), r"^([A-Z_]+)", 1)
-    out = None
-    for spark_name, name in _TYPE_NAMES:
-        out = F.when(head == spark_name, name) if out is None else out.when(head == spark_name, name)
-    return F.when(v.isNull(), None).otherwise(out.otherwise(head))
+    return F.try_element_at(names, head)
 
 
 def kafka_envelope(records: DataFrame) -> DataFrame:

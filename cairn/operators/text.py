@@ -19,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,36 +57,64 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), TOKEN_SPLIT), lambda t: t != "")
 
 
-def count_hits(toks: Column, terms: Sequence[str]) -> Column:
-    lex = F.array(*[F.lit(t) for t in terms])
-    return F.size(F.filter(toks, lambda t: F.array_contains(lex, t)))
+def _lookup(toks: Column, table: Mapping[str, object]) -> Column:
+    """One pass over the tokens: the value of every token found in
+    ``table`` (a literal map), misses dropped. The result holds only hits,
+    so later counting works on a short array."""
+    lex = F.create_map(*[x for k, v in table.items() for x in (F.lit(k), F.lit(v))])
+    return F.filter(F.transform(toks, lambda t: F.try_element_at(lex, t)), lambda x: x.isNotNull())
 
 
-def sentiment(toks: Column, positive: Sequence[str] = POSITIVE,
-              negative: Sequence[str] = NEGATIVE) -> Column:
-    """(pos - neg) / (pos + neg) in [-1, 1]; 0 when nothing matches."""
-    pos, neg = count_hits(toks, positive), count_hits(toks, negative)
-    return F.when(pos + neg == 0, F.lit(0.0)).otherwise(
-        (pos - neg).cast("double") / (pos + neg).cast("double"))
+def with_tokens(df: DataFrame, text_col: str, out: str = "_tok") -> DataFrame:
+    """Materialise the token array once; later stages reference the column.
+    (Higher-order functions get fresh lambda ids per call, so two separate
+    calls on the text would tokenise it twice.)"""
+    return df.withColumn(out, tokens(F.col(text_col)))
 
 
-def classify(toks: Column, labels: Mapping[str, Sequence[str]], default: str | None = None) -> Column:
+def with_sentiment(df: DataFrame, tok_col: str, out: str = "sentiment_score",
+                   positive: Sequence[str] = POSITIVE, negative: Sequence[str] = NEGATIVE) -> DataFrame:
+    """(pos - neg) / (pos + neg) in [-1, 1]; 0 when nothing matches.
+    A word in both lists counts on both sides."""
+    table: dict[str, list[int]] = {}
+    for w in positive:
+        table.setdefault(w, []).append(1)
+    for w in negative:
+        table.setdefault(w, []).append(-1)
+    pol = F.flatten(_lookup(F.col(tok_col), table))
+    df = df.withColumn("_pol", pol)
+    df = df.withColumn("_pos", F.size(F.filter("_pol", lambda x: x > 0))) \
+           .withColumn("_neg", F.size(F.filter("_pol", lambda x: x < 0)))
+    score = F.when(F.col("_pos") + F.col("_neg") == 0, F.lit(0.0)).otherwise(
+        (F.col("_pos") - F.col("_neg")).cast("double") / (F.col("_pos") + F.col("_neg")).cast("double"))
+    return df.withColumn(out, score).drop("_pol", "_pos", "_neg")
+
+
+def _equals(value: int):
+    """A one-argument lambda for ``filter`` (a second argument would be
+    taken as the element index)."""
+    return lambda x: x == value
+
+
+def with_label(df: DataFrame, tok_col: str, labels: Mapping[str, Sequence[str]], out: str,
+               default: str | None = None) -> DataFrame:
     """The label with most term hits; ties go to the earlier label,
     no hit at all to ``default`` (the last label unless given). The answer
     is always one of the labels."""
     names = list(labels)
     default = names[-1] if default is None else default
+    table: dict[str, list[int]] = {}
+    for i, name in enumerate(names):
+        for t in labels[name]:
+            table.setdefault(t, []).append(i)
     n = len(names)
-    cand = F.array(*[F.struct(count_hits(toks, labels[name]).alias("hits"),
+    df = df.withColumn("_ids", F.flatten(_lookup(F.col(tok_col), table)))
+    cand = F.array(*[F.struct(F.size(F.filter("_ids", _equals(i))).alias("hits"),
                               F.lit(n - i).alias("order"), F.lit(name).alias("label"))
                      for i, name in enumerate(names)])
-    best = F.array_max(cand)
-    return F.when(best["hits"] > 0, best["label"]).otherwise(F.lit(default))
-
-
-def classify_object(toks: Column, labels: Mapping[str, Sequence[str]]) -> Column:
-    """T2 result as an object with a ``label`` field (``:label::STRING``)."""
-    return F.struct(classify(toks, labels).alias("label"))
+    df = df.withColumn("_best", F.array_max(cand))
+    return (df.withColumn(out, F.when(F.col("_best.hits") > 0, F.col("_best.label")).otherwise(F.lit(default)))
+              .drop("_ids", "_best"))
 
 
 def extract_answers(text: Column, kind: str) -> Column:

@@ -104,9 +104,9 @@ def tickets_service(spark, root):
     """Governed serving view: shaped columns, priority from sentiment,
     e-mail masked (local part) for non-exempt roles."""
     d = read_table(spark, root, "documents")
-    shaped = d.select(F.col("doc_id").alias("ticket_id"), F.col("source").alias("channel"), "lang",
-                      tx.first_answer(F.col("text"), "email").alias("customer_email"),
-                      tx.sentiment(tx.tokens(F.col("text"))).alias("sentiment_score"))
+    shaped = tx.with_sentiment(tx.with_tokens(d, "text"), "_tok").select(
+        F.col("doc_id").alias("ticket_id"), F.col("source").alias("channel"), "lang",
+        tx.first_answer(F.col("text"), "email").alias("customer_email"), "sentiment_score")
     shaped = shaped.withColumn("priority", scalars.priority_band(F.col("sentiment_score")))
     mask = pol.MaskingPolicy(scalars.mask_email_local, ("ACCOUNTADMIN",))
     return pol.apply_policies(shaped, "CAPSTONE_ANALYST", masks={"customer_email": mask})

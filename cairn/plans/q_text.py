@@ -61,8 +61,8 @@ def _docs(spark, root):
 @register("sentiment_score", oracle=_SENTIMENT + "SELECT doc_id, sentiment_score FROM scores")
 def sentiment_score(spark, root):
     """Sentiment in [-1, 1] from lexicon hits over the whole text."""
-    d = _docs(spark, root)
-    return d.select("doc_id", tx.sentiment(tx.tokens(F.col("text"))).alias("sentiment_score"))
+    d = tx.with_tokens(_docs(spark, root).select("doc_id", "text"), "text")
+    return tx.with_sentiment(d, "_tok").select("doc_id", "sentiment_score")
 
 
 @register("case_priority", oracle=_SENTIMENT + """
@@ -74,7 +74,7 @@ SELECT doc_id, sentiment_score,
 FROM scores""")
 def case_priority(spark, root):
     """Sentiment label and priority bands (multi-branch CASE)."""
-    d = _docs(spark, root).select("doc_id", tx.sentiment(tx.tokens(F.col("text"))).alias("sentiment_score"))
+    d = tx.with_sentiment(tx.with_tokens(_docs(spark, root).select("doc_id", "text"), "text"), "_tok")
     s = F.col("sentiment_score")
     return d.select("doc_id", "sentiment_score", scalars.sentiment_label(s).alias("sentiment_label"),
                     scalars.priority_band(s).alias("priority"))
@@ -85,8 +85,9 @@ def case_priority(spark, root):
 def classify_text(spark, root):
     """CLASSIFY_TEXT(text, labels):label into the four support
     categories."""
-    d = _docs(spark, root)
-    obj = tx.classify_object(tx.tokens(F.col("text")), tx.CATEGORIES)
+    d = tx.with_tokens(_docs(spark, root).select("doc_id", "text"), "text")
+    d = tx.with_label(d, "_tok", tx.CATEGORIES, "category")
+    obj = F.struct(F.col("category").alias("label"))   # CLASSIFY_TEXT returns {label: ...}
     return d.select("doc_id", obj["label"].alias("category"))
 
 
@@ -95,8 +96,8 @@ def classify_text(spark, root):
 def route_message(spark, root):
     """One word from the closed team set REFUNDS, BILLING, SHIPPING,
     PRODUCT_HELP."""
-    d = _docs(spark, root)
-    return d.select("doc_id", F.trim(tx.classify(tx.tokens(F.col("text")), tx.ROUTES)).alias("route_to"))
+    d = tx.with_tokens(_docs(spark, root).select("doc_id", "text"), "text")
+    return tx.with_label(d, "_tok", tx.ROUTES, "route_to").select("doc_id", F.trim("route_to").alias("route_to"))
 
 
 _SUMMARY = r"""
@@ -167,12 +168,12 @@ FROM scores s JOIN category c ON s.doc_id = c.doc_id JOIN route_to r ON s.doc_id
 def enriched_table(spark, root):
     """One serving-ready table; the token array and the sentiment score
     are computed once per row and reused by every column."""
-    d = _docs(spark, root).select("doc_id", "lang", "text")
-    d = d.withColumn("_tok", tx.tokens(F.col("text")))
-    d = d.withColumn("sentiment_score", tx.sentiment(F.col("_tok")))
+    d = tx.with_tokens(_docs(spark, root).select("doc_id", "lang", "text"), "text")
+    d = tx.with_sentiment(d, "_tok")
+    d = tx.with_label(d, "_tok", tx.CATEGORIES, "category")
+    d = tx.with_label(d, "_tok", tx.ROUTES, "route_to")
     d = d.select("doc_id", "lang", "text", "sentiment_score",
                  scalars.sentiment_label(F.col("sentiment_score")).alias("sentiment_label"),
-                 tx.classify(F.col("_tok"), tx.CATEGORIES).alias("category"),
-                 tx.classify(F.col("_tok"), tx.ROUTES).alias("route_to"))
+                 "category", "route_to")
     return tx.translate_route(d, "text", "lang", tx.stand_in_translator).select(
         "doc_id", "lang", "english_text", "sentiment_score", "sentiment_label", "category", "route_to")
