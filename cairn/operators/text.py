@@ -44,11 +44,11 @@ ROUTES = {
     "SHIPPING": ["shipping", "delivery", "package", "tracking", "livraison", "lieferung", "envío"],
     "PRODUCT_HELP": ["help", "how", "question", "use", "aide", "hilfe", "ayuda"],
 }
-ANSWER_PATTERNS = {
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]+",
-    "phone": r"[0-9]{3}-[0-9]{4}",
-    "order": r"#[0-9]+",
-    "date": r"[0-9]{4}-[0-9]{2}-[0-9]{2}",
+ANSWER_PATTERNS = {  # question type -> (pattern, capture group holding the answer)
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]+", 0),
+    "phone": (r"[0-9]{3}-[0-9]{4}", 0),
+    "order": (r"(?i)order\s*(?:number\s*)?#?\s*([0-9]+)", 1),
+    "date": (r"[0-9]{4}-[0-9]{2}-[0-9]{2}", 0),
 }
 
 
@@ -120,7 +120,8 @@ def with_label(df: DataFrame, tok_col: str, labels: Mapping[str, Sequence[str]],
 def extract_answers(text: Column, kind: str) -> Column:
     """T4: every span answering a question type, as an array of
     ``{answer, score}`` in text order; score 1, 1/2, 1/3 ... by position."""
-    found = F.regexp_extract_all(text, F.lit(ANSWER_PATTERNS[kind]), 0)
+    pattern, group = ANSWER_PATTERNS[kind]
+    found = F.regexp_extract_all(text, F.lit(pattern), group)
     return F.transform(found, lambda x, i: F.struct(x.alias("answer"),
                                                     (F.lit(1.0) / (i + 1)).alias("score")))
 

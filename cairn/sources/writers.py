@@ -49,6 +49,14 @@ def current_version(spark: SparkSession, root: str) -> str | None:
     return f"{root.rstrip('/')}/{v[-1]}" if v else None
 
 
+def current_batch_id(spark: SparkSession, root: str) -> int | None:
+    """The micro-batch id recorded with the current version, if any."""
+    v = _versions(spark, root)
+    if not v or "-b" not in v[-1]:
+        return None
+    return int(v[-1].rsplit("-b", 1)[1])
+
+
 def exists(spark: SparkSession, root: str) -> bool:
     return current_version(spark, root) is not None
 
@@ -61,10 +69,14 @@ def read_current(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFr
 
 
 def write_version(df: DataFrame, root: str, fmt: str = "parquet",
-                  options: dict | None = None, sort_within: list[str] | None = None) -> str:
+                  options: dict | None = None, sort_within: list[str] | None = None,
+                  batch_id: int | None = None) -> str:
     """K3 (overwrite all rows, keep table): write ``df`` as the next version.
-    Safe when ``df`` reads the current version of the same table."""
-    stamp = f"{VERSION_PREFIX}{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
+    Safe when ``df`` reads the current version of the same table.
+    ``batch_id`` is recorded in the version name, so a streaming writer can
+    tell whether a replayed micro-batch was already applied."""
+    tag = f"-b{batch_id:012d}" if batch_id is not None else ""
+    stamp = f"{VERSION_PREFIX}{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}{tag}"
     path = f"{root.rstrip('/')}/{stamp}"
     w = df.sortWithinPartitions(*sort_within) if sort_within else df
     writer = w.write.mode("errorifexists").format(fmt)
