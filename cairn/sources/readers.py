@@ -101,10 +101,12 @@ def inline_rows(spark: SparkSession, rows: list[tuple], schema: T.StructType | s
 def generate_rows(spark: SparkSession, n: int, seed: int = 42, payload_len: int = 80,
                   id_max: int = 1_000_000_000_000) -> DataFrame:
     """``n`` generated rows with a scattered random id and a random
-    payload, produced in parallel by ``spark.range`` (no driver data)."""
+    payload, produced in parallel by ``spark.range`` (no driver data). The
+    seeded generators draw a new value per row; the sequence is fixed for a
+    given seed and partitioning."""
     return spark.range(n).select(
-        F.expr(f"uniform(1, {id_max}, {seed} + id)").cast("bigint").alias("event_id"),
-        F.expr(f"randstr({payload_len}, {seed} + id)").alias("payload"))
+        F.expr(f"uniform(1L, {id_max}L, {seed})").cast("bigint").alias("event_id"),
+        F.expr(f"randstr({payload_len}, {seed})").alias("payload"))
 
 
 def load_csv_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
