@@ -33,14 +33,14 @@ NEGATIVE = ["bad", "broken", "damaged", "late", "never", "not", "no", "terrible"
             "refund", "nicht", "kein", "pas", "jamais", "nunca", "mal", "problema"]
 CATEGORIES = {
     "shipping damage": ["damaged", "broken", "crushed", "box", "package", "cassé", "beschädigt", "dañado"],
-    "billing issue": ["bill", "billing", "invoice", "charge", "charged", "payment", "facture", "rechnung",
-                      "factura"],
+    "billing issue": ["bill", "billing", "invoice", "charge", "charged", "payment", "payments", "facture",
+                      "rechnung", "factura"],
     "delivery delay": ["late", "delay", "delayed", "waiting", "tracking", "retard", "verspätet", "retraso"],
     "product question": ["question", "how", "what", "size", "color", "comment", "wie", "was", "cómo", "qué"],
 }
 ROUTES = {
     "REFUNDS": ["refund", "return", "money", "remboursement", "erstattung", "reembolso"],
-    "BILLING": ["bill", "invoice", "charge", "payment", "facture", "rechnung", "factura"],
+    "BILLING": ["bill", "invoice", "charge", "charged", "payment", "payments", "facture", "rechnung", "factura"],
     "SHIPPING": ["shipping", "delivery", "package", "tracking", "livraison", "lieferung", "envío"],
     "PRODUCT_HELP": ["help", "how", "question", "use", "aide", "hilfe", "ayuda"],
 }
