@@ -505,8 +505,10 @@ def date_add(spark, root):
                     F.timestamp_add("HOUR", F.lit(6), "o_orderdate").alias("plus_6h"))
 
 
-@register("str_left", oracle="SELECT doc_id, substring(text, 1, 200) AS snippet FROM documents")
+@register("str_left", oracle="""
+SELECT doc_id, substring(text, 1, 200) AS snippet, CAST(length(text) AS BIGINT) AS text_chars FROM documents""")
 def str_left(spark, root):
-    """keep the first 200 characters (a display column; the source
-    truncates error text the same way)."""
-    return _t(spark, root, "documents").select("doc_id", F.substring("text", 1, 200).alias("snippet"))
+    """a 200-character display snippet (the source truncates status
+    text the same way), next to the length of the whole text."""
+    return _t(spark, root, "documents").select("doc_id", F.substring("text", 1, 200).alias("snippet"),
+                                               F.length("text").cast("bigint").alias("text_chars"))
