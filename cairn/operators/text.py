@@ -54,15 +54,7 @@ ANSWER_PATTERNS = {  # question type -> (pattern, capture group holding the answ
 
 def tokens(text: Column) -> Column:
     """Lower-case letter runs of the whole text."""
-    return F.filter(F.split(F.lower(text), TOKEN_SPLIT), lambda t: t != "")
-
-
-def _lookup(toks: Column, table: Mapping[str, object]) -> Column:
-    """One pass over the tokens: the value of every token found in
-    ``table`` (a literal map), misses dropped. The result holds only hits,
-    so later counting works on a short array."""
-    lex = F.create_map(*[x for k, v in table.items() for x in (F.lit(k), F.lit(v))])
-    return F.filter(F.transform(toks, lambda t: F.try_element_at(lex, t)), lambda x: x.isNotNull())
+    return F.array_remove(F.split(F.lower(text), TOKEN_SPLIT), "")
 
 
 def with_tokens(df: DataFrame, text_col: str, out: str = "_tok") -> DataFrame:
@@ -72,28 +64,35 @@ def with_tokens(df: DataFrame, text_col: str, out: str = "_tok") -> DataFrame:
     return df.withColumn(out, tokens(F.col(text_col)))
 
 
+def _word_counts(toks: Column, words: Sequence[str]) -> Column:
+    """``[{w, n}]`` for the lexicon words present in the tokens, with their
+    number of occurrences. ``array_intersect`` (hash based, code-generated)
+    finds the few words present in one pass; each present word is then
+    counted with one ``array_remove`` pass, so the work per document is
+    bounded by the lexicon size, whatever the text length."""
+    lex = F.array(*[F.lit(w) for w in dict.fromkeys(words)])
+    present = F.array_intersect(toks, lex)
+    return F.transform(present, lambda w: F.struct(
+        w.alias("w"), (F.size(toks) - F.size(F.array_remove(toks, w))).alias("n")))
+
+
+def _sum_hits(hits: Column, terms: Sequence[str]) -> Column:
+    """Occurrences of ``terms`` among the counted hits."""
+    arr = F.array(*[F.lit(t) for t in terms])
+    return F.aggregate(hits, F.lit(0), lambda acc, x: acc + F.when(F.array_contains(arr, x["w"]), x["n"])
+                       .otherwise(F.lit(0)))
+
+
 def with_sentiment(df: DataFrame, tok_col: str, out: str = "sentiment_score",
                    positive: Sequence[str] = POSITIVE, negative: Sequence[str] = NEGATIVE) -> DataFrame:
     """(pos - neg) / (pos + neg) in [-1, 1]; 0 when nothing matches.
     A word in both lists counts on both sides."""
-    table: dict[str, list[int]] = {}
-    for w in positive:
-        table.setdefault(w, []).append(1)
-    for w in negative:
-        table.setdefault(w, []).append(-1)
-    pol = F.flatten(_lookup(F.col(tok_col), table))
-    df = df.withColumn("_pol", pol)
-    df = df.withColumn("_pos", F.size(F.filter("_pol", lambda x: x > 0))) \
-           .withColumn("_neg", F.size(F.filter("_pol", lambda x: x < 0)))
+    df = df.withColumn("_hits", _word_counts(F.col(tok_col), list(positive) + list(negative)))
+    df = df.withColumn("_pos", _sum_hits(F.col("_hits"), positive)) \
+           .withColumn("_neg", _sum_hits(F.col("_hits"), negative))
     score = F.when(F.col("_pos") + F.col("_neg") == 0, F.lit(0.0)).otherwise(
         (F.col("_pos") - F.col("_neg")).cast("double") / (F.col("_pos") + F.col("_neg")).cast("double"))
-    return df.withColumn(out, score).drop("_pol", "_pos", "_neg")
-
-
-def _equals(value: int):
-    """A one-argument lambda for ``filter`` (a second argument would be
-    taken as the element index)."""
-    return lambda x: x == value
+    return df.withColumn(out, score).drop("_hits", "_pos", "_neg")
 
 
 def with_label(df: DataFrame, tok_col: str, labels: Mapping[str, Sequence[str]], out: str,
@@ -103,18 +102,14 @@ def with_label(df: DataFrame, tok_col: str, labels: Mapping[str, Sequence[str]],
     is always one of the labels."""
     names = list(labels)
     default = names[-1] if default is None else default
-    table: dict[str, list[int]] = {}
-    for i, name in enumerate(names):
-        for t in labels[name]:
-            table.setdefault(t, []).append(i)
     n = len(names)
-    df = df.withColumn("_ids", F.flatten(_lookup(F.col(tok_col), table)))
-    cand = F.array(*[F.struct(F.size(F.filter("_ids", _equals(i))).alias("hits"),
+    df = df.withColumn("_hits", _word_counts(F.col(tok_col), [t for name in names for t in labels[name]]))
+    cand = F.array(*[F.struct(_sum_hits(F.col("_hits"), labels[name]).alias("hits"),
                               F.lit(n - i).alias("order"), F.lit(name).alias("label"))
                      for i, name in enumerate(names)])
     df = df.withColumn("_best", F.array_max(cand))
     return (df.withColumn(out, F.when(F.col("_best.hits") > 0, F.col("_best.label")).otherwise(F.lit(default)))
-              .drop("_ids", "_best"))
+              .drop("_hits", "_best"))
 
 
 def extract_answers(text: Column, kind: str) -> Column:
@@ -135,21 +130,32 @@ def summarize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """Extractive one-line gist per document: the sentence whose tokens
     have the highest mean document frequency (ties: earliest sentence).
 
-    Document frequency is an aggregate over distinct (doc, token) pairs,
-    partially aggregated map-side (hot tokens such as "the" collapse before
-    the shuffle); the sentence scores join it on the token (AQE splits the
-    skewed token partitions) and the best sentence per document is a
-    ``max_by`` aggregate, not a window."""
-    sents = docs.select(id_col, F.posexplode(F.split(F.col(text_col), SENTENCE_SPLIT)).alias("pos", "s"))
-    sents = sents.select(id_col, "pos", F.trim("s").alias("sentence"))
-    toks = sents.select(id_col, "pos", F.explode(tokens(F.col("sentence"))).alias("tok"))
-    df = toks.select(id_col, "tok").distinct().groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
-    scored = (toks.join(df, "tok").groupBy(id_col, "pos")
+    * Document frequency: the distinct tokens of each document are found
+      inside its row (``array_distinct``), exploded, and counted per token:
+      one shuffle, partially aggregated map-side (a token such as "the"
+      that occurs everywhere is one row per task).
+    * Sentence scores: the token stream joins the frequency table on the
+      token with a shuffled hash join (no sort of the token stream; the
+      table grows with the vocabulary, so it is not assumed broadcastable),
+      then aggregates per sentence.
+    * The best sentence per document is a ``max`` over (score, -position),
+      an aggregate rather than a window; its text is joined back by
+      (document, position).
+    Explode and filter are plain generators and predicates, so the token
+    stream stays in whole-stage code generation."""
+    sents = (docs.select(id_col, F.posexplode(F.split(F.col(text_col), SENTENCE_SPLIT)).alias("pos", "s"))
+                 .select(id_col, "pos", F.trim("s").alias("sentence")))
+    toks = (sents.select(id_col, "pos", F.explode(F.split(F.lower("sentence"), TOKEN_SPLIT)).alias("tok"))
+                 .filter(F.col("tok") != ""))
+    doc_toks = docs.select(F.explode(F.array_distinct(F.split(F.lower(F.col(text_col)), TOKEN_SPLIT))).alias("tok"))
+    dfreq = doc_toks.filter(F.col("tok") != "").groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
+    # hash join, no sort: the frequency table is built per partition (its
+    # size grows with the vocabulary, so it is not broadcast by default)
+    scored = (toks.join(dfreq.hint("shuffle_hash"), "tok").groupBy(id_col, "pos")
                   .agg((F.sum("df").cast("double") / F.count(F.lit(1))).alias("score")))
-    best = scored.groupBy(id_col).agg(
-        F.max(F.struct("score", (-F.col("pos")).alias("neg_pos"))).alias("b"))
+    best = scored.groupBy(id_col).agg(F.max(F.struct("score", (-F.col("pos")).alias("neg_pos"))).alias("b"))
     best = best.select(id_col, F.col("b.score").alias("score"), (-F.col("b.neg_pos")).alias("pos"))
-    return (best.join(sents, [id_col, "pos"])
+    return (best.hint("shuffle_hash").join(sents, [id_col, "pos"])
                 .select(id_col, F.col("sentence").alias("summary"), F.round("score", 6).alias("score")))
 
 
