@@ -44,6 +44,30 @@ def sorted_indexed(df: DataFrame, order: Sequence[Column], index_col: str = "_id
     return s.withColumn(index_col, (F.element_at(off, pid) + local).cast("bigint")).drop("_mid")
 
 
+def row_number_within(df: DataFrame, partition_cols: Sequence[str], order: Sequence[Column],
+                      out: str = "row_number") -> DataFrame:
+    """ROW_NUMBER() OVER (PARTITION BY keys ORDER BY ...) without putting a
+    whole key group in one task.
+
+    The frame is sorted globally on (keys, order); range partitioning splits
+    a hot key (a third of all rows, say) across many partitions. The first
+    global position of each key is a ``min`` aggregate (partial-aggregated,
+    one row per key per task), joined back null-safely on the keys; AQE
+    broadcasts that per-key table when it is small and splits skewed
+    partitions when it is not. row number = position - first position + 1."""
+    keys = [F.col(c).asc_nulls_first() for c in partition_cols]
+    s = sorted_indexed(df, keys + list(order))
+    firsts = s.groupBy(*partition_cols).agg(F.min("_idx").alias("_first"))
+    firsts = firsts.select(*[F.col(c).alias(f"_k_{c}") for c in partition_cols], "_first")
+    cond = None
+    for c in partition_cols:
+        e = F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+        cond = e if cond is None else cond & e
+    j = s.join(firsts, cond)
+    return (j.withColumn(out, (F.col("_idx") - F.col("_first") + 1).cast("bigint"))
+             .drop("_idx", "_first", *[f"_k_{c}" for c in partition_cols]))
+
+
 def _local_cumsum(cols: list[str], out: list[str]):
     def run(batches):
         acc = np.zeros(len(cols), dtype="int64")

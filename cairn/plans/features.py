@@ -9,10 +9,11 @@ ship date of its lines.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.functions import scalars
+from cairn.operators.ordered import row_number_within
 from cairn.session import read_table
 
 FEATURES = ["distance_km", "package_weight_kg", "priority_code", "handoffs", "prior_delays",
@@ -41,9 +42,9 @@ def delivery_features(spark: SparkSession, root: str) -> DataFrame:
     # third of all orders is partially aggregated, not windowed in one task)
     vol = df.groupBy("courier").agg(F.count(F.lit(1)).alias("courier_total_orders"))
     df = df.join(vol, "courier")
-    # Position in the customer's history, ties broken by the key
-    w = Window.partitionBy("customer_id").orderBy("order_ts", "order_id")
-    df = df.withColumn("customer_order_seq", F.row_number().over(w).cast("bigint"))
+    # Position in the customer's history, ties broken by the key (the
+    # skew-safe row number: a hot customer does not sit in one task)
+    df = row_number_within(df, ["customer_id"], [F.col("order_ts"), F.col("order_id")], "customer_order_seq")
     delay = (F.unix_timestamp("last_ship") - F.unix_timestamp("order_ts")) / 60.0
     return df.select("order_id",
                      (F.col("o_totalprice") / 1000).alias("distance_km"),

@@ -65,6 +65,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(conf)
         return conf
+    ctx_dir = spark.sparkContext.getCheckpointDir()
+    if ctx_dir:
+        spark.conf.set("spark.checkpoint.dir", ctx_dir)
+        return ctx_dir
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     local = tempfile.mkdtemp(prefix="cairn-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

@@ -236,3 +236,17 @@ def test_views_over_join(spark):
     v = o.join(c, "customer_id").select("order_id", F.col("name").alias("customer_name"), "country", "status",
                                          "amount", "order_ts")
     assert v.count() == 12
+
+
+def test_row_number_within_matches_window_on_hot_key(spark):
+    from pyspark.sql import Window
+    from cairn.operators.ordered import row_number_within
+    # key 0 holds a third of the rows; NULL keys form their own group
+    df = spark.range(0, 3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).when(F.col("id") % 101 == 1, F.lit(None))
+         .otherwise(F.col("id") % 17).alias("k"),
+        (F.col("id") * 7919 % 1009).alias("t"), F.col("id"))
+    ours = {r["id"]: r["rn"] for r in row_number_within(df, ["k"], [F.col("t"), F.col("id")], "rn").collect()}
+    w = Window.partitionBy("k").orderBy("t", "id")
+    ref = {r["id"]: r["rn"] for r in df.select("id", F.row_number().over(w).alias("rn")).collect()}
+    assert ours == ref
