@@ -11,33 +11,44 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairn.operators import semistructured as js
+from cairn.operators.ordered import row_number_within
 from cairn.plans.registry import register
 from cairn.session import read_table
 
 
-def order_documents(spark, root) -> DataFrame:
-    """One JSON text per order: ``{order_id, customer{name, country, vip},
-    items[{sku, qty, price}]}``. The items array is the order's own lines,
-    sorted, so a document is as large as one order (a group bounded by the
-    lines of a single order, partially aggregated map-side)."""
+MAX_ITEMS = 64
+
+
+def order_documents(spark, root, max_items: int = MAX_ITEMS) -> DataFrame:
+    """Order documents: ``{order_id, part, customer{name, country, vip},
+    items[{sku, qty, price}]}``. An order's lines, sorted by (sku, qty,
+    price), are cut into parts of at most ``max_items`` items, so no group
+    collected into one array is larger than ``max_items`` even when one
+    order holds a third of all lines. Positions come from the skew-safe
+    row number (a global sort, not a per-order window)."""
     li = read_table(spark, root, "lineitem").select(
         "l_orderkey",
-        F.struct(F.concat(F.lit("P-"), F.col("l_partkey").cast("string")).alias("sku"),
-                 F.col("l_quantity").cast("int").alias("qty"),
-                 F.col("l_extendedprice").cast("decimal(12,2)").alias("price")).alias("item"))
-    items = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("item")).alias("items"))
+        F.concat(F.lit("P-"), F.col("l_partkey").cast("string")).alias("sku"),
+        F.col("l_quantity").cast("int").alias("qty"),
+        F.col("l_extendedprice").cast("decimal(12,2)").alias("price"))
+    li = row_number_within(li, ["l_orderkey"], [F.col("sku"), F.col("qty"), F.col("price")], "_pos")
+    li = li.select("l_orderkey", ((F.col("_pos") - 1) / max_items).cast("bigint").alias("part"),
+                   F.struct(((F.col("_pos") - 1) % max_items).alias("i"), "sku", "qty", "price").alias("item"))
+    items = li.groupBy("l_orderkey", "part").agg(F.array_sort(F.collect_list("item")).alias("_items"))
+    items = items.withColumn("items", F.transform("_items", lambda x: F.struct(
+        x["sku"].alias("sku"), x["qty"].alias("qty"), x["price"].alias("price"))))
     o = read_table(spark, root, "orders").select("o_orderkey", "o_custkey")
     c = read_table(spark, root, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
     n = F.broadcast(read_table(spark, root, "nation").select("n_nationkey", "n_name"))  # fixed 25 rows
     head = (o.join(c, F.col("o_custkey") == F.col("c_custkey"))
              .join(n, F.col("c_nationkey") == F.col("n_nationkey")))
     doc = F.to_json(F.struct(
-        F.col("o_orderkey").alias("order_id"),
+        F.col("o_orderkey").alias("order_id"), F.col("part"),
         F.struct(F.col("c_name").alias("name"), F.col("n_name").alias("country"),
                  (F.col("c_acctbal") > 5000).alias("vip")).alias("customer"),
         F.col("items")))
     return head.join(items, F.col("o_orderkey") == F.col("l_orderkey")).select(
-        F.col("o_orderkey").alias("doc_id"), doc.alias("json"))
+        F.col("o_orderkey").alias("doc_id"), "part", doc.alias("json"))
 
 
 def order_variants(spark, root) -> DataFrame:
@@ -46,10 +57,13 @@ def order_variants(spark, root) -> DataFrame:
 
 
 _ITEMS = """
-items AS (
+raw_items AS (
   SELECT l_orderkey AS order_id, 'P-' || CAST(l_partkey AS VARCHAR) AS sku, CAST(l_quantity AS INTEGER) AS qty,
          CAST(l_extendedprice AS DECIMAL(12,2)) AS price
-  FROM lineitem)"""
+  FROM lineitem),
+items AS (
+  SELECT *, (rn - 1) // 64 AS part, (rn - 1) % 64 AS idx
+  FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY sku, qty, price) AS rn FROM raw_items))"""
 
 _HEAD = """
 head AS (
@@ -58,15 +72,16 @@ head AS (
   WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem))"""
 
 
-@register("json_variant_scan", oracle="""
-SELECT l_orderkey AS order_id, CAST(count(*) AS BIGINT) AS n_items FROM lineitem
-WHERE l_orderkey IN (SELECT o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey)
-GROUP BY l_orderkey""")
+@register("json_variant_scan", oracle="WITH " + _ITEMS + """
+SELECT order_id, CAST(part AS BIGINT) AS part, CAST(count(*) AS BIGINT) AS n_items FROM items
+WHERE order_id IN (SELECT o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey)
+GROUP BY order_id, part""")
 def json_variant_scan(spark, root):
     """S3: documents land as one VARIANT each; schema on read."""
     v = F.col("v")
     return order_variants(spark, root).select(
         js.get(v, "$.order_id", "bigint").alias("order_id"),
+        js.get(v, "$.part", "bigint").alias("part"),
         F.array_size(js.get(v, "$.items", "array<variant>")).cast("bigint").alias("n_items"))
 
 
@@ -78,7 +93,8 @@ def json_parse(spark, root):
     return e.select("event_id", js.get(js.parse(F.col("props")), "$.k", "int").alias("k"))
 
 
-@register("json_path", oracle="WITH " + _HEAD + " SELECT * FROM head")
+@register("json_path", oracle="WITH " + _ITEMS + "," + _HEAD + """
+SELECT head.* FROM head JOIN (SELECT DISTINCT order_id, part FROM items) p ON head.order_id = p.order_id""")
 def json_path(spark, root):
     """nested dot paths with casts."""
     v = F.col("v")
@@ -89,12 +105,9 @@ def json_path(spark, root):
         js.get(v, "$.customer.vip", "boolean").alias("is_vip"))
 
 
-@register("json_array_index", oracle="WITH " + _ITEMS + """,
-firsts AS (
-  SELECT order_id, list_sort(list(struct_pack(sku := sku, qty := qty, price := price)))[1] AS f
-  FROM items GROUP BY order_id)
-SELECT firsts.order_id, f.sku AS first_sku, f.qty AS first_qty FROM firsts
-JOIN orders ON firsts.order_id = o_orderkey JOIN customer ON o_custkey = c_custkey""")
+@register("json_array_index", oracle="WITH " + _ITEMS + """
+SELECT order_id, sku AS first_sku, qty AS first_qty FROM items
+WHERE idx = 0 AND order_id IN (SELECT o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey)""")
 def json_array_index(spark, root):
     """array element by position (``v:items[0].sku``)."""
     v = F.col("v")
@@ -104,10 +117,10 @@ def json_array_index(spark, root):
         js.get(v, "$.items[0].qty", "int").alias("first_qty"))
 
 
-@register("json_typeof", oracle="WITH " + _HEAD + """
-SELECT order_id, 'OBJECT' AS doc_type, 'ARRAY' AS items_type, 'INTEGER' AS id_type,
-       'VARCHAR' AS name_type, 'BOOLEAN' AS vip_type, 'DECIMAL' AS price_type, NULL AS missing_type
-FROM head""")
+@register("json_typeof", oracle="WITH " + _ITEMS + "," + _HEAD + """
+SELECT head.order_id, 'OBJECT' AS doc_type, 'ARRAY' AS items_type, 'INTEGER' AS id_type,
+       'VARCHAR' AS name_type, 'BOOLEAN' AS vip_type, 'DECIMAL' AS price_type, CAST(NULL AS VARCHAR) AS missing_type
+FROM head JOIN (SELECT DISTINCT order_id, part FROM items) p ON head.order_id = p.order_id""")
 def json_typeof(spark, root):
     """TYPEOF of variant values of each kind."""
     v = F.col("v")
@@ -136,7 +149,7 @@ def filter_not_null(spark, root):
 
 
 @register("flatten_items", oracle="WITH " + _ITEMS + """
-SELECT order_id, CAST(row_number() OVER (PARTITION BY order_id ORDER BY sku, qty, price) - 1 AS INTEGER) AS index,
+SELECT order_id, CAST(idx AS INTEGER) AS index,
        sku, qty, CAST(price AS DECIMAL(10,2)) AS price, CAST(qty * price AS DOUBLE) AS line_total
 FROM items WHERE order_id IN (SELECT o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey)""")
 def flatten_items(spark, root):

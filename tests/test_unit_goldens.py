@@ -250,3 +250,19 @@ def test_row_number_within_matches_window_on_hot_key(spark):
     w = Window.partitionBy("k").orderBy("t", "id")
     ref = {r["id"]: r["rn"] for r in df.select("id", F.row_number().over(w).alias("rn")).collect()}
     assert ours == ref
+
+
+def test_order_documents_split_into_bounded_parts(spark):
+    from cairn.plans.q_semistructured import order_documents
+    docs = order_documents(spark, SF_SMALL, max_items=2).select("doc_id", js.parse(F.col("json")).alias("v"))
+    sizes = docs.select(F.array_size(js.get(F.col("v"), "$.items", "array<variant>")).alias("n")).collect()
+    assert max(r["n"] for r in sizes) <= 2
+    rows = js.flatten(docs, F.col("v"), "$.items")
+    line = js.get(F.col("value"), "$.qty", "int") * js.get(F.col("value"), "$.price", "decimal(12,2)")
+    got = {r["doc_id"]: r["t"] for r in rows.groupBy("doc_id").agg(F.sum(line).alias("t")).collect()}
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet").join(
+        spark.read.parquet(f"{SF_SMALL}/customer.parquet"), F.col("o_custkey") == F.col("c_custkey"))
+    ref = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("l_orderkey")
+             .agg(F.sum(F.col("l_quantity").cast("int") * F.col("l_extendedprice").cast("decimal(12,2)")).alias("t")))
+    assert got == {r["l_orderkey"]: r["t"] for r in ref.collect()}
