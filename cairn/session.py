@@ -77,6 +77,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int, target_bytes: int = 256 << 20,
+                  max_split_bytes: int = 512 << 20) -> int:
+    """Size shuffles for an input of ``input_bytes``: start AQE from enough
+    partitions that each holds about ``target_bytes`` (AQE then coalesces
+    small ones and splits skewed ones), and read files in splits of at most
+    ``max_split_bytes``. At 100 TB this gives about 400k initial shuffle
+    partitions of 256 MB, each well inside an executor's memory. Returns the
+    partition count set."""
+    n = max(1, -(-int(input_bytes) // int(target_bytes)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(int(target_bytes)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(int(max_split_bytes)))
+    return n
+
+
 def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}.parquet"
 

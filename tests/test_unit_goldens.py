@@ -266,3 +266,20 @@ def test_order_documents_split_into_bounded_parts(spark):
     ref = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("l_orderkey")
              .agg(F.sum(F.col("l_quantity").cast("int") * F.col("l_extendedprice").cast("decimal(12,2)")).alias("t")))
     assert got == {r["l_orderkey"]: r["t"] for r in ref.collect()}
+
+
+def test_session_helpers_and_run_ids(spark):
+    from cairn.session import checkpoint_dir, size_shuffles
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, 100 * (1 << 40)) == 409600
+        assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == str(256 << 20)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", old)
+    assert checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    ids = spark.range(100).select(F.expr("uuid()").alias("u"), F.current_date().alias("d"),
+                                  F.expr("dateadd(DAY, -1, current_date())").alias("y"))
+    rows = ids.collect()
+    assert len({r["u"] for r in rows}) == 100                       # F16
+    assert all((r["d"] - r["y"]).days == 1 for r in rows)           # F9, F10
