@@ -84,6 +84,36 @@ def maintain_aggregate(state_root: str, keys: Sequence[str], measures: Sequence[
     return fn
 
 
+def maintain_enriched(target_root: str, keys: Sequence[str],
+                      enrich: Callable[[DataFrame], DataFrame]) -> BatchFn:
+    """T9 body: keep an enriched table current from a change feed, scoring
+    only what changed. New images (INSERT, including the new half of an
+    update) are enriched and upserted by key; keys whose only change is a
+    DELETE are removed. Rows that did not change keep their stored scores,
+    so the costly enrichment runs once per changed row. Exactly-once per
+    batch id, as in ``maintain_aggregate``."""
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        done = writers.current_batch_id(spark, target_root)
+        if done is not None and done >= batch_id:
+            return
+        data_cols = [c for c in batch.columns if c not in (ch.ACTION, ch.IS_UPDATE, ch.ROW_ID, "changed_at")]
+        new = enrich(batch.filter(F.col(ch.ACTION) == ch.INSERT).select(*data_cols))
+        gone = (batch.filter(F.col(ch.ACTION) == ch.DELETE).select(*keys)
+                     .join(batch.filter(F.col(ch.ACTION) == ch.INSERT).select(*keys), list(keys), "left_anti"))
+        if writers.exists(spark, target_root):
+            cur = writers.read_current(spark, target_root)
+            out = ch.upsert(cur.join(gone, list(keys), "left_anti"), new.select(*cur.columns), keys,
+                            check_unique=False)
+        else:
+            out = new
+        writers.write_version(out, target_root, batch_id=batch_id)
+        writers.vacuum(spark, target_root, keep=2)
+
+    return fn
+
+
 @dataclass
 class Step:
     """One layer of a chain: ``build(spark)`` returns the layer's rows from

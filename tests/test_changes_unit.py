@@ -145,3 +145,13 @@ def test_state_as_of_and_before(spark):
     assert _rows(before, "k", "v") == [(1, 10), (2, 20)]
     now = ch.state_as_of(log, ["k"], "ts", "2026-01-02 00:00:00", op_col="op")
     assert _rows(now, "k", "v") == [(1, 11)]
+
+
+def test_run_if_changed(spark):
+    s = "k int, v int"
+    a = spark.createDataFrame([(1, 1)], s)
+    b = spark.createDataFrame([(1, 2)], s)
+    ran = []
+    assert ch.run_if_changed(ch.change_feed(a, a, ["k"]), lambda f: ran.append(1)) is None
+    ch.run_if_changed(ch.change_feed(a, b, ["k"]), lambda f: ran.append(f.count()))
+    assert ran == [2]

@@ -153,3 +153,33 @@ def test_run_log_schema(spark, tmp_dir):
     r = runlog.read_runs(spark, f"{tmp_dir}/r").first()
     assert (r["name"], r["state"], r["rows"]) == ("task", "SUCCEEDED", 3)
     assert isinstance(runlog.RUN_LOG_SCHEMA, T.StructType)
+
+
+def test_enrichment_kept_incrementally(spark, tmp_dir):
+    """Only new or changed messages are scored; deleted ones leave."""
+    from cairn.operators import text as tx
+    s = "message_id int, raw_text string"
+    v0 = spark.createDataFrame([(1, "great service thanks"), (2, "my package is late"), (3, "no idea")], s)
+    v1 = spark.createDataFrame([(1, "great service thanks"), (2, "package is late and damaged, not happy"),
+                                (4, "love it")], s)
+    empty = spark.createDataFrame([], s)
+    log, target = f"{tmp_dir}/changes", f"{tmp_dir}/enriched"
+
+    def enrich(df):
+        batch_tag = F.lit(enrich.calls)
+        enrich.calls += 1
+        d = tx.with_sentiment(tx.with_tokens(df, "raw_text"), "_tok").drop("_tok")
+        return d.withColumn("scored_in", batch_tag)
+    enrich.calls = 0
+
+    fn = inc.maintain_enriched(target, ["message_id"], enrich)
+    inc.publish_changes(ch.change_feed(empty, v0, ["message_id"]), log)
+    schema = spark.read.parquet(log).schema
+    inc.consume(spark, log, schema, f"{tmp_dir}/ck", fn)
+    inc.publish_changes(ch.change_feed(v0, v1, ["message_id"]), log)
+    inc.consume(spark, log, schema, f"{tmp_dir}/ck", fn)
+    out = {r["message_id"]: r for r in writers.read_current(spark, target).collect()}
+    assert sorted(out) == [1, 2, 4]
+    assert out[1]["scored_in"] == 0                       # unchanged: not rescored
+    assert out[2]["scored_in"] == 1 and out[4]["scored_in"] == 1
+    assert out[2]["sentiment_score"] < 0 and out[4]["sentiment_score"] > 0
