@@ -64,13 +64,12 @@ def get_tag(df: DataFrame, column: str, tag: str) -> str | None:
 
 def apply_policies(df: DataFrame, role: str,
                    masks: Mapping[str, MaskingPolicy] | None = None,
-                   row_policy: tuple[RowAccessPolicy, str] | None = None,
+                   row_policy: RowAccessPolicy | None = None,
                    tag_masks: Mapping[str, MaskingPolicy] | None = None) -> DataFrame:
     """Filter rows by the row policy (on unmasked columns), then
     mask columns that carry a column policy or a tag with a policy."""
     if row_policy is not None:
-        policy, _ = row_policy
-        df = df.filter(policy.predicate(role))
+        df = df.filter(row_policy.predicate(role))
     masks = dict(masks or {})
     tag_masks = dict(tag_masks or {})
     out = []

@@ -44,7 +44,7 @@ WITH pii AS (
 
 def _view(spark, root, role, rows=True):
     return pol.apply_policies(customers_pii(spark, root), role, masks={"email": EMAIL_MASK},
-                              row_policy=(REGION_POLICY, "region") if rows else None,
+                              row_policy=REGION_POLICY if rows else None,
                               tag_masks={"pii_class": PHONE_MASK})
 
 
