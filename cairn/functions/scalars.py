@@ -101,5 +101,5 @@ def split_tags(text: Column) -> Column:
 
 
 def tax(amount: Column, rate: float = 0.08) -> Column:
-    """D4 reference formula: amount * (1 + rate), half-up to cents."""
+    """D4 tax formula: amount * (1 + rate), half-up to cents."""
     return F.round(amount.cast("decimal(12,2)") * F.lit(1 + rate).cast("decimal(4,2)"), 2).cast("double")
