@@ -17,6 +17,10 @@ Plan shape, chosen for 100 TB rather than for the test size:
 4. The final rollup groups by (region, segment); top-N customers reuse the
    same per-customer frame.
 
+Money is summed exactly with integer split accumulators
+(``money.split_sum``): long arithmetic in the hot aggregation, the exact
+decimal rebuilt on the output rows only.
+
 Semantics kept from the source job: ``order_count`` counts *line items*
 (``count(o_orderkey)`` after the join to lineitem), and ``avg_order_value``
 is likewise weighted by lines. The driver tables have no receipt / commit
@@ -54,9 +58,9 @@ def customer_rollup(spark: SparkSession, root: str, target_segment: str | None =
     lines = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     per_customer = lines.groupBy("o_custkey").agg(
         F.count("o_orderkey").alias("n_lines"),
-        F.sum(money.net_line()).alias("net"),
-        F.sum(money.discount_line()).alias("disc"),
-        F.sum(money.price("o_totalprice")).alias("order_value"),
+        *money.split_sum(money.net_units(), "net"),            # 1e-4 units
+        *money.split_sum(money.discount_units(), "disc"),      # 1e-4 units
+        *money.split_sum(money.cents("o_totalprice"), "ov"),   # 1e-2 units
         F.sum(is_late()).alias("late"),
     )
     customer = filter_optional_equal(
@@ -68,25 +72,24 @@ def customer_rollup(spark: SparkSession, root: str, target_segment: str | None =
             .join(customer, F.col("o_custkey") == F.col("c_custkey"))
             .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
             .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-            .select("r_name", "c_mktsegment", "c_name", "n_lines", "net", "disc", "order_value", "late"))
+            .select("r_name", "c_mktsegment", "c_name", "n_lines", "net_hi", "net_lo", "disc_hi", "disc_lo",
+                    "ov_hi", "ov_lo", "late"))
 
 
 def segment_summary(rollup: DataFrame) -> DataFrame:
     """A3: one row per (region, market segment)."""
     agg = rollup.groupBy("r_name", "c_mktsegment").agg(
         F.sum("n_lines").alias("n"),
-        F.sum("net").alias("net"),
-        F.sum("disc").alias("disc"),
-        F.sum("order_value").alias("ov"),
+        *money.resum("net"), *money.resum("disc"), *money.resum("ov"),
         F.sum("late").alias("late"),
     )
     return agg.select(
         F.col("r_name").alias("region"),
         F.col("c_mktsegment").alias("market_segment"),
         F.col("n").cast("bigint").alias("order_count"),
-        money.to_money(F.col("net")).alias("net_revenue"),
-        money.to_money(F.col("disc")).alias("discount_given"),
-        money.ratio(F.col("ov"), F.col("n"), 2).alias("avg_order_value"),
+        money.to_money(money.exact("net", 4)).alias("net_revenue"),
+        money.to_money(money.exact("disc", 4)).alias("discount_given"),
+        money.ratio(money.exact("ov", 2), F.col("n"), 2).alias("avg_order_value"),
         money.ratio(F.col("late"), F.col("n"), 4).alias("late_ship_rate"),
     )
 
@@ -94,8 +97,9 @@ def segment_summary(rollup: DataFrame) -> DataFrame:
 def top_customers(rollup: DataFrame, top_n: int) -> DataFrame:
     """Top-N customers by net revenue per (region, segment), RANK with
     ties kept."""
-    per_name = rollup.groupBy("r_name", "c_mktsegment", "c_name").agg(
-        money.to_money(F.sum("net")).alias("net_revenue"))
+    per_name = (rollup.groupBy("r_name", "c_mktsegment", "c_name").agg(*money.resum("net"))
+                      .select("r_name", "c_mktsegment", "c_name",
+                              money.to_money(money.exact("net", 4)).alias("net_revenue")))
     ranked = top_n_per_group(per_name, ["r_name", "c_mktsegment"],
                              [F.col("net_revenue").desc()], top_n, "revenue_rank")
     return ranked.select(

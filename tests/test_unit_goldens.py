@@ -283,3 +283,17 @@ def test_session_helpers_and_run_ids(spark):
     rows = ids.collect()
     assert len({r["u"] for r in rows}) == 100                       # F16
     assert all((r["d"] - r["y"].date() if hasattr(r["y"], "date") else r["d"] - r["y"]).days == 1 for r in rows)  # F9, F10
+
+
+def test_split_sums_are_exact(spark):
+    from cairn.functions import money
+    vals = [0.01, 0.99, 9999999.99, -0.01, -12345.67, 1234567.89, 0.5, 999999.99, 1000000.0, -1000000.01]
+    df = spark.createDataFrame([(i % 3, v) for i in range(300) for v in vals], "g int, p double")
+    got = (df.groupBy("g").agg(*money.split_sum(money.cents("p"), "m"))
+             .groupBy().agg(*money.resum("m")).select(money.exact("m", 2).alias("x")).first()["x"])
+    ref = df.agg(F.sum(F.col("p").cast("decimal(12,2)")).alias("x")).first()["x"]
+    assert got == ref
+    lines = spark.createDataFrame([(1234567.89, 0.07), (0.01, 0.1), (99.99, 0.0)], "price double, disc double")
+    u = lines.agg(*money.split_sum(money.net_units("price", "disc"), "n")).select(money.exact("n", 4).alias("x"))
+    ref2 = lines.agg(F.sum(money.net_line("price", "disc")).alias("x")).first()["x"]
+    assert u.first()["x"] == ref2
