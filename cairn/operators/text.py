@@ -44,6 +44,8 @@ ROUTES = {
     "SHIPPING": ["shipping", "delivery", "package", "tracking", "livraison", "lieferung", "envío"],
     "PRODUCT_HELP": ["help", "how", "question", "use", "aide", "hilfe", "ayuda"],
 }
+# literal every match must contain: texts without it skip the regex scan
+ANSWER_GUARDS = {"email": "@", "phone": "-", "date": "-"}
 ANSWER_PATTERNS = {  # question type -> (pattern, capture group holding the answer)
     "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]+", 0),
     "phone": (r"[0-9]{3}-[0-9]{4}", 0),
@@ -117,6 +119,9 @@ def extract_answers(text: Column, kind: str) -> Column:
     ``{answer, score}`` in text order; score 1, 1/2, 1/3 ... by position."""
     pattern, group = ANSWER_PATTERNS[kind]
     found = F.regexp_extract_all(text, F.lit(pattern), group)
+    guard = ANSWER_GUARDS.get(kind)
+    if guard is not None:
+        found = F.when(F.instr(text, guard) > 0, found).otherwise(F.array().cast("array<string>"))
     return F.transform(found, lambda x, i: F.struct(x.alias("answer"),
                                                     (F.lit(1.0) / (i + 1)).alias("score")))
 
