@@ -42,20 +42,19 @@ def file_intervals(df: DataFrame, column: str) -> DataFrame:
 
 def partition_stats(intervals: DataFrame) -> DataFrame:
     """(part, overlaps, depth) for every partition of ``intervals``."""
-    n = intervals.count()
-    if n == 0:
-        return intervals.select("part", F.lit(0).cast("bigint").alias("overlaps"),
-                                F.lit(0).cast("bigint").alias("depth"))
     ev = (intervals.select("part", F.col("lo").alias("v"), F.lit(0).alias("t"))
           .unionByName(intervals.select("part", F.col("hi").alias("v"), F.lit(1).alias("t"))))
-    s = running_counts(ev, [F.col("v"), F.col("t"), F.col("part")],
-                       {"cmin": F.col("t") == 0, "cmax": F.col("t") == 1})
+    s, n_events = running_counts(ev, [F.col("v"), F.col("t"), F.col("part")],
+                                 {"cmin": F.col("t") == 0, "cmax": F.col("t") == 1})
+    if n_events == 0:
+        return intervals.select("part", F.lit(0).cast("bigint").alias("overlaps"),
+                                F.lit(0).cast("bigint").alias("depth"))
     cov = F.when(F.col("t") == 0, F.col("cmin") - F.col("cmax")).otherwise(F.lit(-1)).cast("bigint")
     values = s.select(F.col("_idx").alias("idx"), cov.alias("val"))
     lo = s.filter(F.col("t") == 0).select("part", F.col("_idx").alias("l"), F.col("cmax").alias("max_before"))
     hi = s.filter(F.col("t") == 1).select("part", F.col("_idx").alias("r"), F.col("cmin").alias("min_upto"))
     q = lo.join(hi, "part")
-    depth = range_max(values, q.select(F.col("part").alias("qid"), "l", "r"), 2 * n)
+    depth = range_max(values, q.select(F.col("part").alias("qid"), "l", "r"), n_events)
     return (q.join(depth, q["part"] == depth["qid"])
              .select("part", (F.col("min_upto") - 1 - F.col("max_before")).cast("bigint").alias("overlaps"),
                      F.col("max").cast("bigint").alias("depth")))

@@ -26,22 +26,38 @@ from cairn.session import checkpoint_dir
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition id << 33 | row index
 
 
-def sorted_indexed(df: DataFrame, order: Sequence[Column], index_col: str = "_idx") -> DataFrame:
-    """Sort globally and attach the 0-based global position of every row."""
+def _sorted_with_offsets(df: DataFrame, order: Sequence[Column], sums: Mapping[str, Column] | None = None):
+    """Sort globally, checkpoint, and in one aggregation job get, per range
+    partition, its row count and the totals of ``sums``. Returns the
+    checkpointed frame (with ``_mid``), the row offsets per partition id and
+    the per-partition totals."""
     checkpoint_dir(df.sparkSession)
     s = (df.orderBy(*order)
            .withColumn("_mid", F.monotonically_increasing_id())
            .checkpoint(eager=True))
     pid = F.shiftright(F.col("_mid"), _LOCAL_BITS)
-    local = F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
-    counts = {r["p"]: r["n"] for r in s.groupBy(pid.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    aggs = [F.count(F.lit(1)).alias("_n")] + [F.sum(v.cast("bigint")).alias(k) for k, v in (sums or {}).items()]
+    rows = s.groupBy(pid.alias("_p")).agg(*aggs).collect()
+    per = {r["_p"]: r for r in rows}
     offsets, acc = {}, 0
-    for p in sorted(counts):
+    for p in sorted(per):
         offsets[p] = acc
-        acc += counts[p]
+        acc += per[p]["_n"]
+    return s, offsets, per, acc
+
+
+def _with_index(s: DataFrame, offsets: dict, index_col: str) -> DataFrame:
+    pid = F.shiftright(F.col("_mid"), _LOCAL_BITS)
+    local = F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
     off = F.create_map(*[x for p, o in offsets.items() for x in (F.lit(p), F.lit(o))]) if offsets \
         else F.create_map()
-    return s.withColumn(index_col, (F.element_at(off, pid) + local).cast("bigint")).drop("_mid")
+    return s.withColumn(index_col, (F.element_at(off, pid) + local).cast("bigint"))
+
+
+def sorted_indexed(df: DataFrame, order: Sequence[Column], index_col: str = "_idx") -> DataFrame:
+    """Sort globally and attach the 0-based global position of every row."""
+    s, offsets, _, _ = _sorted_with_offsets(df, order)
+    return _with_index(s, offsets, index_col).drop("_mid")
 
 
 def row_number_within(df: DataFrame, partition_cols: Sequence[str], order: Sequence[Column],
@@ -80,29 +96,31 @@ def _local_cumsum(cols: list[str], out: list[str]):
     return run
 
 
-def running_counts(df: DataFrame, order: Sequence[Column], flags: Mapping[str, Column]) -> DataFrame:
+def running_counts(df: DataFrame, order: Sequence[Column], flags: Mapping[str, Column]) -> tuple[DataFrame, int]:
     """Global inclusive running sums of 0/1 ``flags`` in sort order, plus the
-    global index ``_idx``. Partition totals give offsets; the in-partition
-    cumulative sum runs over Arrow batches (vectorised numpy)."""
-    base = df.withColumns({f"_f_{k}": v.cast("bigint") for k, v in flags.items()})
-    s = sorted_indexed(base, order)
-    pid = F.spark_partition_id()
-    s = s.withColumn("_pid", pid)
+    global index ``_idx``; also returns the total row count. One sort, one
+    aggregation job for partition totals (counts and flag sums together),
+    then the in-partition cumulative sum over Arrow batches."""
     names = list(flags)
-    totals = s.groupBy("_pid").agg(*[F.sum(f"_f_{k}").alias(k) for k in names]).collect()
-    totals = {r["_pid"]: [r[k] or 0 for k in names] for r in totals}
-    n_parts = s.rdd.getNumPartitions()
-    offsets, acc = [], [0] * len(names)
-    for p in range(n_parts):
-        offsets.append(list(acc))
-        acc = [a + b for a, b in zip(acc, totals.get(p, [0] * len(names)))]
+    base = df.withColumns({f"_f_{k}": v.cast("bigint") for k, v in flags.items()})
+    s, offsets, per, total = _sorted_with_offsets(base, order, {k: F.col(f"_f_{k}") for k in names})
+    s = _with_index(s, offsets, "_idx")
+    # partition id of the row = the id encoded in _mid (same as spark_partition_id
+    # of the checkpointed frame, which keeps the sort's partitioning)
+    s = s.withColumn("_pid", F.shiftright(F.col("_mid"), _LOCAL_BITS).cast("int")).drop("_mid")
+    flag_offsets, acc = {}, [0] * len(names)
+    for p in sorted(per):
+        flag_offsets[p] = list(acc)
+        acc = [a + (per[p][k] or 0) for a, k in zip(acc, names)]
     schema = T.StructType(s.schema.fields + [T.StructField(f"_l_{k}", T.LongType()) for k in names])
     local = s.mapInPandas(_local_cumsum([f"_f_{k}" for k in names], [f"_l_{k}" for k in names]), schema)
     outs = {}
     for j, k in enumerate(names):
-        arr = F.array(*[F.lit(o[j]).cast("bigint") for o in offsets]) if offsets else F.array()
-        outs[k] = F.element_at(arr, F.col("_pid") + 1) + F.col(f"_l_{k}")
-    return local.withColumns(outs).drop("_pid", *[f"_f_{k}" for k in names], *[f"_l_{k}" for k in names])
+        m = F.create_map(*[x for p, o in flag_offsets.items() for x in (F.lit(p), F.lit(o[j]).cast("bigint"))]) \
+            if flag_offsets else F.create_map()
+        outs[k] = F.element_at(m, F.col("_pid")) + F.col(f"_l_{k}")
+    out = local.withColumns(outs).drop("_pid", *[f"_f_{k}" for k in names], *[f"_l_{k}" for k in names])
+    return out, total
 
 
 def _floor_log2(x: Column) -> Column:
