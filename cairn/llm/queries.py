@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cairn.llm import minhash, quality_rules, urls
+from cairn.llm import minhash, quality_rules, substring, urls
 from cairn.session import read_table
 
 
@@ -16,9 +17,14 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read_table(spark, sf_dir, "documents"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring.cut_repeats(read_table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(read_table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op4_quality_rules, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op4_quality_rules, op5_substring_dedup, op10_url_filter)}
 ORACLES = {"op4_quality_rules": quality_rules.oracle(), "op10_url_filter": urls.oracle()}
