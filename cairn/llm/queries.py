@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm import minhash, packing, quality_rules, substring, token_orc, urls
+from cairn.llm import classifier, minhash, packing, quality_rules, substring, token_orc, urls
 from cairn.session import read_table
 
 
@@ -33,9 +33,13 @@ def op6_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(read_table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op3_packing, op4_quality_rules, op5_substring_dedup, op6_token_orc, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op3_packing, op4_quality_rules, op5_substring_dedup, op6_token_orc, op9_quality_classifier, op10_url_filter)}
 ORACLES = {"op4_quality_rules": quality_rules.oracle(), "op10_url_filter": urls.oracle()}
