@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cairn.llm.common import ddl
 from cairn.llm.minhash import WordHashes, mixed
 
 #: Bounds of the fitting sample, in rows.
@@ -174,17 +175,21 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     return co_train(matrix("x", Content.size), matrix("m", Metadata.size), rows["label"].to_numpy()[order])
 
 
-def score(df: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality", keep_from: float = KEEP_FROM) -> DataFrame:
-    """One row per input row: key, content_score, metadata_score, quality_score, kept."""
+def score(df: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality", keep_from: float = KEEP_FROM,
+          carry: list[str] | None = None) -> DataFrame:
+    """One row per input row: key, content_score, metadata_score,
+    quality_score, kept, and a struct ``row`` of the columns in ``carry``."""
     docs = df.select(F.col(key).cast("long").alias("id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"),
-                     F.col("source").cast("string").alias("source"), F.col("n_chars").cast("long").alias("n_chars"))
-    model = fit(docs, labels.select(F.col(key).cast("long").alias("id"), F.col(label).cast("int").alias("label")))
+                     F.col("source").cast("string").alias("source"), F.col("n_chars").cast("long").alias("n_chars"),
+                     F.struct(*(carry or [F.lit(None).cast("int").alias("none")])).alias("row"))
+    model = fit(docs.drop("row"), labels.select(F.col(key).cast("long").alias("id"), F.col(label).cast("int").alias("label")))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         content, meta = Content(), Metadata()
         for batch in batches:
             found = model.scores(*_features(batch, content, meta))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *map(pa.array, found), pa.array(found[2] >= keep_from)],
-                                             names=[key, "content_score", "metadata_score", "quality_score", "kept"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *map(pa.array, found), pa.array(found[2] >= keep_from), batch.column("row")],
+                                             names=[key, "content_score", "metadata_score", "quality_score", "kept", "row"])
 
-    return docs.mapInArrow(scored, f"`{key}` long, content_score double, metadata_score double, quality_score double, kept boolean")
+    out = docs.mapInArrow(scored, f"`{key}` long, content_score double, metadata_score double, quality_score double, kept boolean, {ddl(docs.select('row'))}")
+    return out if carry else out.drop("row")

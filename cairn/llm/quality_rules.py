@@ -76,14 +76,14 @@ def covered_words(starts: Column) -> Column:
                        F.lit(0).cast("long"), lambda a, x: a + x)
 
 
-def measured(df: DataFrame, key: str, text: str) -> DataFrame:
-    """key and the counts that the measures are made of."""
-    base = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    cut = base.select("key", "t", words(F.col("t")).alias("w"), F.filter(F.split("t", "\n", -1), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")).alias("lines"))
+def measured(df: DataFrame, key: str, text: str, carry: list[str] | None = None) -> DataFrame:
+    """key, the counts that the measures are made of, and a struct ``row``."""
+    base = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("t"), F.struct(*(carry or [F.col(key)])).alias("row"))
+    cut = base.select("key", "row", "t", words(F.col("t")).alias("w"), F.filter(F.split("t", "\n", -1), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")).alias("lines"))
     hashed = cut.withColumn("hashes", window_hashes(F.col("w")))
     n = F.size
     found = hashed.select(
-        "key",
+        "key", "row",
         n("w").cast("long").alias("n_words"),
         F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         matches(F.col("t"), SYMBOLS).alias("n_symbols"),
@@ -123,12 +123,13 @@ def within(thresholds=THRESHOLDS) -> Column:
     return ok
 
 
-def judge(df: DataFrame, key: str = "doc_id", text: str = "text", thresholds=THRESHOLDS) -> DataFrame:
-    """One row per input row: key, counts, base_failed, kept."""
-    counts = measured(df, key, text)
+def judge(df: DataFrame, key: str = "doc_id", text: str = "text", thresholds=THRESHOLDS, carry: list[str] | None = None) -> DataFrame:
+    """One row per input row: key, counts, base_failed, kept, and a struct
+    ``row`` of the columns in ``carry``."""
+    counts = measured(df, key, text, carry)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return counts.select(F.col("key").alias(key), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                         failed.alias("base_failed"), (~failed & within(thresholds)).alias("kept"))
+                         failed.alias("base_failed"), (~failed & within(thresholds)).alias("kept"), *(["row"] if carry else []))
 
 
 def oracle() -> str:

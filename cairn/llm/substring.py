@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.llm.common import staged
+from cairn.llm.common import ddl, staged
 from cairn.llm.minhash import WordHashes, _odd, mixed
 
 WINDOW = 35
@@ -178,11 +178,14 @@ def repeated_stretches(runs: DataFrame) -> DataFrame:
 
 
 def cut_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, gram: int = GRAM,
-                cells: int = CELLS) -> DataFrame:
+                cells: int = CELLS, carry: list[str] | None = None) -> DataFrame:
     """One row per input row: key, text_print (64-bit hash of the text),
-    n_words, n_removed, kept_text (kept words joined by one space)."""
-    docs = df.select(F.col(key).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("print"), F.col(text).cast("string").alias("text"))
-    runs = staged(suspected(docs, lambda: Runs(window, gram), cells), "runs")
+    n_words, n_removed, kept_text (kept words joined by one space); with
+    ``carry`` also the input text as ``full_text`` and a struct ``row`` of the
+    other columns named there."""
+    docs = df.select(F.col(key).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("print"), F.col(text).cast("string").alias("text"),
+                     F.struct(*(carry or [F.lit(None).cast("int").alias("none")])).alias("row"))
+    runs = staged(suspected(docs.drop("row"), lambda: Runs(window, gram), cells), "runs")
     # a document's own stretches, at most its own words
     cuts = repeated_stretches(runs).groupBy("id", "print").agg(F.collect_set(F.struct("start", "length")).alias("cuts"))
     cuts = staged(cuts, "cuts").withColumnsRenamed({"id": "cut_id", "print": "cut_print"})
@@ -202,8 +205,11 @@ def cut_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", window:
                 gone.append(len(words) - int(stay.sum()))
                 kept.append(b" ".join(words if stay.all() else [words[i] for i in np.flatnonzero(stay)]).decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("print"), pa.array(total, pa.int64()), pa.array(gone, pa.int64()),
-                                              pa.array(kept, pa.string())], names=["id", "print", "n_words", "n_removed", "kept_text"])
+                                              pa.array(kept, pa.string()), *map(batch.column, more)], names=["id", "print", "n_words", "n_removed", "kept_text", *more])
+
+    more = ["text", "row"] if carry else []
 
     joined = docs.join(cuts, F.col("id").eqNullSafe(F.col("cut_id")) & (F.col("print") == F.col("cut_print")), "left")
-    done = joined.select("id", "print", "text", "cuts").mapInArrow(cut, "id long, print long, n_words long, n_removed long, kept_text string")
-    return done.withColumnsRenamed({"id": key, "print": "text_print"})
+    kinds = ", ".join(["id long, print long, n_words long, n_removed long, kept_text string", *([ddl(docs.select(*more))] if more else [])])
+    done = joined.select("id", "print", "text", "cuts", *more[1:]).mapInArrow(cut, kinds)
+    return done.withColumnsRenamed({"id": key, "print": "text_print", "text": "full_text"})
