@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm import classifier, minhash, packing, quality_rules, substring, token_orc, urls, warc
+from cairn.llm import classifier, embeddings, minhash, packing, quality_rules, substring, token_orc, urls, warc
 from cairn.session import read_table
 
 
@@ -33,6 +33,10 @@ def op6_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = warc.round_trip(read_table(spark, sf_dir, "pages"))
     return stored.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -46,7 +50,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(read_table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op3_packing, op4_quality_rules, op5_substring_dedup, op6_token_orc, op8_warc, op9_quality_classifier, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op3_packing, op4_quality_rules, op5_substring_dedup, op6_token_orc, op7_embedding_dedup, op8_warc, op9_quality_classifier, op10_url_filter)}
 ORACLES = {"op4_quality_rules": quality_rules.oracle(), "op10_url_filter": urls.oracle()}
 ORACLES["op8_warc"] = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
