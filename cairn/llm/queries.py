@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm import classifier, embeddings, minhash, packing, quality_rules, substring, token_orc, urls, warc
+from cairn.llm import bpe, classifier, embeddings, minhash, packing, quality_rules, substring, token_orc, urls, warc
 from cairn.session import read_table
 
 
@@ -14,6 +14,12 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, ranks).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = packing.pieces(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     packed = packing.pack(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
@@ -50,7 +56,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(read_table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op3_packing, op4_quality_rules, op5_substring_dedup, op6_token_orc, op7_embedding_dedup, op8_warc, op9_quality_classifier, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_bpe, op3_packing, op4_quality_rules, op5_substring_dedup, op6_token_orc, op7_embedding_dedup, op8_warc, op9_quality_classifier, op10_url_filter)}
 ORACLES = {"op4_quality_rules": quality_rules.oracle(), "op10_url_filter": urls.oracle()}
 ORACLES["op8_warc"] = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
