@@ -13,8 +13,9 @@ sketch, whose Hamming distance bounds the similarity in the second round.
    (a star, not all pairs). Confirmed links give components.
 3. Buckets that still hold several components are joined with themselves
    *across* components. Size ratio (exact) and sketch distance (within 3.5
-   standard deviations of the threshold) are join conditions; what passes is
-   confirmed on the full sets. Pairs inside a component need no link.
+   standard deviations of the threshold) are join conditions, and a pair is
+   met only in the first bucket it shares; what passes is confirmed on the
+   full sets. Pairs inside a component need no link.
 
 Links are confirmed in blocks of pairs that carry both texts, from a table of
 those documents that share a bucket at all. No bucket, class or component is
@@ -176,25 +177,26 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     reps = staged(usable.join(classes, (usable.digest == classes.digest) & (F.col("id") == F.col("rep")), "left_semi")
                   .dropDuplicates(["id", "digest"]).select("id", "n", "keys", "bits"), "reps")
 
-    members = reps.select("id", F.explode("keys").alias("bucket")).distinct()
+    members = reps.select("id", F.posexplode("keys").alias("band", "bucket"))
     shared = staged(members.groupBy("bucket").agg(F.min("id").alias("lead"), F.max("id").alias("top"))
                     .filter("lead < top").select("bucket", "lead"), "buckets")
-    members = staged(reps.select("id", F.explode("keys").alias("bucket")).join(shared, "bucket"), "members")
+    members = staged(members.join(shared, "bucket"), "members")
     texts = staged(docs.join(members.select("id").distinct(), "id", "left_semi"), "texts")
     star = members.filter("id > lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
     links = staged(confirmed(star, texts), "links")
 
     # the second round: across the components of a bucket
     first = connected(links)
-    placed = staged(members.join(first, "id", "left").select("id", "bucket", F.coalesce("component", "id").alias("part")), "placed")
+    placed = staged(members.join(first, "id", "left").select("id", "band", "bucket", F.coalesce("component", "id").alias("part")), "placed")
     split = staged(placed.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high"))
                    .filter("low < high").select("bucket"), "split")
-    open_rows = placed.join(split, "bucket").join(reps.select("id", "n", "bits"), "id")
-    side = staged(open_rows.select("bucket", "part", "id", "n", *(F.col("bits")[i].alias(f"s{i}") for i in range(SKETCH_LONGS))), "open")
+    open_rows = placed.join(split, "bucket").join(reps.select("id", "n", "bits", "keys"), "id")
+    side = staged(open_rows.select("band", "bucket", "part", "id", "n", "keys", *(F.col("bits")[i].alias(f"s{i}") for i in range(SKETCH_LONGS))), "open")
     a, b = side.alias("x"), side.alias("y")
     apart = sum((F.bit_count(F.col(f"x.s{i}").bitwiseXOR(F.col(f"y.s{i}"))) for i in range(SKETCH_LONGS)), F.lit(0))
     near = ((F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.part") != F.col("y.part"))
-            & (100 * F.least("x.n", "y.n") >= THRESHOLD * F.greatest("x.n", "y.n")) & (apart <= SKETCH_LIMIT))
+            & (100 * F.least("x.n", "y.n") >= THRESHOLD * F.greatest("x.n", "y.n")) & (apart <= SKETCH_LIMIT)
+            & (F.array_position(F.zip_with("x.keys", "y.keys", lambda p, q: p == q), True) == F.col("x.band") + 1))  # their first common bucket
     crossing = a.join(b, near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
     more = staged(confirmed(crossing, texts), "links")
 
