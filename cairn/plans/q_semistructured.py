@@ -1,8 +1,9 @@
 """Registered semi-structured queries.
 
-JSON input is derived from the driver tables: order documents are built
-from orders, customers, nations and line items with ``to_json`` and parsed
-back into VARIANT, so the oracle can state the same question relationally.
+JSON documents are made from single rows of ``documents`` with ``to_json``
+(the text's lines are the items) and parsed back into VARIANT, so the oracle
+can state the same question relationally. Making them needs no shuffle, and an
+array is as long as the text has lines.
 """
 
 from __future__ import annotations
@@ -11,77 +12,45 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairn.operators import semistructured as js
-from cairn.operators.ordered import row_number_within
 from cairn.plans.registry import register
 from cairn.session import read_table
 
 
-MAX_ITEMS = 64
-
-
-def order_documents(spark, root, max_items: int = MAX_ITEMS) -> DataFrame:
-    """Order documents: ``{order_id, part, customer{name, country, vip},
-    items[{sku, qty, price}]}``. An order's lines, sorted by (sku, qty,
-    price), are cut into parts of at most ``max_items`` items, so no group
-    collected into one array is larger than ``max_items`` even when one
-    order holds a third of all lines. Positions come from the skew-safe
-    row number (a global sort, not a per-order window)."""
-    li = read_table(spark, root, "lineitem").select(
-        "l_orderkey",
-        F.concat(F.lit("P-"), F.col("l_partkey").cast("string")).alias("sku"),
-        F.col("l_quantity").cast("int").alias("qty"),
-        F.col("l_extendedprice").cast("decimal(12,2)").alias("price"))
-    li = row_number_within(li, ["l_orderkey"], [F.col("sku"), F.col("qty"), F.col("price")], "_pos")
-    li = li.select("l_orderkey", ((F.col("_pos") - 1) / max_items).cast("bigint").alias("part"),
-                   F.struct(((F.col("_pos") - 1) % max_items).alias("i"), "sku", "qty", "price").alias("item"))
-    items = li.groupBy("l_orderkey", "part").agg(F.array_sort(F.collect_list("item")).alias("_items"))
-    items = items.withColumn("items", F.transform("_items", lambda x: F.struct(
-        x["sku"].alias("sku"), x["qty"].alias("qty"), x["price"].alias("price"))))
-    o = read_table(spark, root, "orders").select("o_orderkey", "o_custkey")
-    c = read_table(spark, root, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
-    n = F.broadcast(read_table(spark, root, "nation").select("n_nationkey", "n_name"))  # fixed 25 rows
-    head = (o.join(c, F.col("o_custkey") == F.col("c_custkey"))
-             .join(n, F.col("c_nationkey") == F.col("n_nationkey")))
-    doc = F.to_json(F.struct(
-        F.col("o_orderkey").alias("order_id"), F.col("part"),
-        F.struct(F.col("c_name").alias("name"), F.col("n_name").alias("country"),
-                 (F.col("c_acctbal") > 5000).alias("vip")).alias("customer"),
-        F.col("items")))
-    return head.join(items, F.col("o_orderkey") == F.col("l_orderkey")).select(
-        F.col("o_orderkey").alias("doc_id"), "part", doc.alias("json"))
+def order_documents(docs: DataFrame) -> DataFrame:
+    """``{order_id, customer{name, country, vip}, items[{sku, qty, price}]}``
+    of each row (doc_id, text, lang, source, n_chars): an item is a line."""
+    size = F.length
+    item = lambda line: F.struct(
+        F.concat(F.lit("L-"), size(line).cast("string")).alias("sku"), (size(line) % 7 + 1).alias("qty"),
+        (size(line) * F.lit(0.25).cast("decimal(3,2)")).cast("decimal(10,2)").alias("price"))
+    doc = F.struct(
+        F.col("doc_id").alias("order_id"),
+        F.struct(F.col("source").alias("name"), F.col("lang").alias("country"), (F.col("n_chars") > 2000).alias("vip")).alias("customer"),
+        F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), item).alias("items"))
+    return docs.select("doc_id", F.to_json(doc).alias("json"))
 
 
 def order_variants(spark, root) -> DataFrame:
     """The documents as one VARIANT column ``v``."""
-    return order_documents(spark, root).select(js.parse(F.col("json")).alias("v"))
+    docs = read_table(spark, root, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    return order_documents(docs).select(js.parse(F.col("json")).alias("v"))
 
 
-_ITEMS = """
-raw_items AS (
-  SELECT l_orderkey AS order_id, 'P-' || CAST(l_partkey AS VARCHAR) AS sku, CAST(l_quantity AS INTEGER) AS qty,
-         CAST(l_extendedprice AS DECIMAL(12,2)) AS price
-  FROM lineitem),
+_LINES = """
+lines AS (SELECT doc_id AS order_id, source, lang, n_chars, string_split(coalesce(text, ''), chr(10)) AS cut FROM documents),
 items AS (
-  SELECT *, (rn - 1) // 64 AS part, (rn - 1) % 64 AS idx
-  FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY sku, qty, price) AS rn FROM raw_items))"""
+  SELECT order_id, idx, 'L-' || CAST(length(cut[idx + 1]) AS VARCHAR) AS sku, CAST(length(cut[idx + 1]) % 7 + 1 AS INTEGER) AS qty,
+         CAST(length(cut[idx + 1]) * 0.25 AS DECIMAL(10,2)) AS price
+  FROM (SELECT order_id, cut, unnest(range(len(cut))) AS idx FROM lines))"""
 
-_HEAD = """
-head AS (
-  SELECT o_orderkey AS order_id, c_name AS customer_name, n_name AS country, c_acctbal > 5000 AS is_vip
-  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-  WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem))"""
 
-
-@register("json_variant_scan", oracle="WITH " + _ITEMS + """
-SELECT order_id, CAST(part AS BIGINT) AS part, CAST(count(*) AS BIGINT) AS n_items FROM items
-WHERE order_id IN (SELECT o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey)
-GROUP BY order_id, part""")
+@register("json_variant_scan", oracle="WITH " + _LINES + """
+SELECT order_id, CAST(len(cut) AS BIGINT) AS n_items FROM lines""")
 def json_variant_scan(spark, root):
     """S3: documents land as one VARIANT each; schema on read."""
     v = F.col("v")
     return order_variants(spark, root).select(
         js.get(v, "$.order_id", "bigint").alias("order_id"),
-        js.get(v, "$.part", "bigint").alias("part"),
         F.array_size(js.get(v, "$.items", "array<variant>")).cast("bigint").alias("n_items"))
 
 
@@ -93,8 +62,8 @@ def json_parse(spark, root):
     return e.select("event_id", js.get(js.parse(F.col("props")), "$.k", "int").alias("k"))
 
 
-@register("json_path", oracle="WITH " + _ITEMS + "," + _HEAD + """
-SELECT head.* FROM head JOIN (SELECT DISTINCT order_id, part FROM items) p ON head.order_id = p.order_id""")
+@register("json_path", oracle="""
+SELECT doc_id AS order_id, source AS customer_name, lang AS country, n_chars > 2000 AS is_vip FROM documents""")
 def json_path(spark, root):
     """nested dot paths with casts."""
     v = F.col("v")
@@ -105,9 +74,8 @@ def json_path(spark, root):
         js.get(v, "$.customer.vip", "boolean").alias("is_vip"))
 
 
-@register("json_array_index", oracle="WITH " + _ITEMS + """
-SELECT order_id, sku AS first_sku, qty AS first_qty FROM items
-WHERE idx = 0 AND order_id IN (SELECT o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey)""")
+@register("json_array_index", oracle="WITH " + _LINES + """
+SELECT order_id, sku AS first_sku, qty AS first_qty FROM items WHERE idx = 0""")
 def json_array_index(spark, root):
     """array element by position (``v:items[0].sku``)."""
     v = F.col("v")
@@ -117,10 +85,10 @@ def json_array_index(spark, root):
         js.get(v, "$.items[0].qty", "int").alias("first_qty"))
 
 
-@register("json_typeof", oracle="WITH " + _ITEMS + "," + _HEAD + """
-SELECT head.order_id, 'OBJECT' AS doc_type, 'ARRAY' AS items_type, 'INTEGER' AS id_type,
+@register("json_typeof", oracle="""
+SELECT doc_id AS order_id, 'OBJECT' AS doc_type, 'ARRAY' AS items_type, 'INTEGER' AS id_type,
        'VARCHAR' AS name_type, 'BOOLEAN' AS vip_type, 'DECIMAL' AS price_type, CAST(NULL AS VARCHAR) AS missing_type
-FROM head JOIN (SELECT DISTINCT order_id, part FROM items) p ON head.order_id = p.order_id""")
+FROM documents""")
 def json_typeof(spark, root):
     """TYPEOF of variant values of each kind."""
     v = F.col("v")
@@ -148,10 +116,10 @@ def filter_not_null(spark, root):
         F.count(F.when(js.get(F.col("v"), "$.missing", "variant").isNotNull(), 1)).alias("with_missing"))
 
 
-@register("flatten_items", oracle="WITH " + _ITEMS + """
+@register("flatten_items", oracle="WITH " + _LINES + """
 SELECT order_id, CAST(idx AS INTEGER) AS index,
        sku, qty, CAST(price AS DECIMAL(10,2)) AS price, CAST(qty * price AS DOUBLE) AS line_total
-FROM items WHERE order_id IN (SELECT o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey)""")
+FROM items""")
 def flatten_items(spark, root):
     """LATERAL FLATTEN of ``v:items``, one row per item."""
     rows = js.flatten(order_variants(spark, root), F.col("v"), "$.items")
@@ -165,10 +133,8 @@ def flatten_items(spark, root):
                        (qty * price).cast("double").alias("line_total"))
 
 
-@register("order_total_from_json", oracle="WITH " + _ITEMS + """
-SELECT order_id, CAST(sum(qty * price) AS DOUBLE) AS order_total FROM items
-WHERE order_id IN (SELECT o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey)
-GROUP BY order_id""")
+@register("order_total_from_json", oracle="WITH " + _LINES + """
+SELECT order_id, CAST(sum(qty * price) AS DOUBLE) AS order_total FROM items GROUP BY order_id""")
 def order_total_from_json(spark, root):
     """A5: GROUP BY a select-list alias over flattened items."""
     rows = js.flatten(order_variants(spark, root), F.col("v"), "$.items")
