@@ -7,25 +7,25 @@ closed interval [min, max] of the audited column.
 * depth(p)    = the largest number of partitions (p included) covering one
                 point of p.
 
-Both come from one sweep over the sorted interval endpoints (mins before
-maxes at equal values, since intervals are closed):
+Endpoints are aggregated to their distinct values. Sums of the minima and
+maxima at smaller values (``ordered.with_sums_before``) give, at any value v,
+coverage(v) = #mins up to v - #maxes before v, and then
 
-* overlaps(p) = (#mins <= p.max) - 1 - (#maxes < p.min): two running counts
-  read at p's own endpoints;
-* depth(p) = the maximum coverage (#mins so far - #maxes so far) over the
-  min-endpoints inside p's span: a range-max query, answered by a sparse
-  table built with equi-joins.
+* overlaps(p) = (#mins <= p.max) - 1 - (#maxes < p.min);
+* depth(p) = the maximum coverage over the endpoints inside p: the maximum to
+  the end of p.min's bucket, of the whole buckets between (a bounded array),
+  and from the start of p.max's bucket.
 
-No pair of partitions is ever materialised, so a badly clustered table
-(every partition overlapping every other) costs O(n log n), not O(n^2).
+No pair of partitions is ever formed, so a badly clustered table (every
+partition overlapping every other) costs no more than a good one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cairn.operators.ordered import range_max, running_counts
+from cairn.operators.ordered import with_sums_before
 
 
 def partition_intervals(df: DataFrame, part: str, column: str) -> DataFrame:
@@ -41,23 +41,29 @@ def file_intervals(df: DataFrame, column: str) -> DataFrame:
 
 
 def partition_stats(intervals: DataFrame) -> DataFrame:
-    """(part, overlaps, depth) for every partition of ``intervals``."""
-    ev = (intervals.select("part", F.col("lo").alias("v"), F.lit(0).alias("t"))
-          .unionByName(intervals.select("part", F.col("hi").alias("v"), F.lit(1).alias("t"))))
-    s, n_events = running_counts(ev, [F.col("v"), F.col("t"), F.col("part")],
-                                 {"cmin": F.col("t") == 0, "cmax": F.col("t") == 1})
-    if n_events == 0:
-        return intervals.select("part", F.lit(0).cast("bigint").alias("overlaps"),
-                                F.lit(0).cast("bigint").alias("depth"))
-    cov = F.when(F.col("t") == 0, F.col("cmin") - F.col("cmax")).otherwise(F.lit(-1)).cast("bigint")
-    values = s.select(F.col("_idx").alias("idx"), cov.alias("val"))
-    lo = s.filter(F.col("t") == 0).select("part", F.col("_idx").alias("l"), F.col("cmax").alias("max_before"))
-    hi = s.filter(F.col("t") == 1).select("part", F.col("_idx").alias("r"), F.col("cmin").alias("min_upto"))
-    q = lo.join(hi, "part")
-    depth = range_max(values, q.select(F.col("part").alias("qid"), "l", "r"), n_events)
-    return (q.join(depth, q["part"] == depth["qid"])
-             .select("part", (F.col("min_upto") - 1 - F.col("max_before")).cast("bigint").alias("overlaps"),
-                     F.col("max").cast("bigint").alias("depth")))
+    """(part, overlaps, depth) for every partition of ``intervals``; a NULL
+    partition key is a partition like any other."""
+    one, none = F.lit(1).alias, F.lit(0).alias
+    ends = (intervals.select(F.col("lo").alias("v"), one("mins"), none("maxes"))
+            .union(intervals.select(F.col("hi").alias("v"), none("mins"), one("maxes")))
+            .groupBy("v").agg(F.sum("mins").alias("mins"), F.sum("maxes").alias("maxes")))
+    swept = with_sums_before(ends, "v", ["mins", "maxes"])
+    cover = (F.col("before_mins") + F.col("mins") - F.col("before_maxes")).alias("cover")
+    swept = swept.select("v", "_bucket", cover, (F.col("before_mins") + F.col("mins")).alias("min_upto"), F.col("before_maxes").alias("max_before"))
+    here = Window.partitionBy("_bucket").orderBy("v")
+    edges = swept.withColumns({"to_end": F.max("cover").over(here.rowsBetween(0, Window.unboundedFollowing)),
+                               "from_start": F.max("cover").over(here.rowsBetween(Window.unboundedPreceding, 0))})
+    tops = swept.groupBy("_bucket").agg(F.max("cover").alias("top")).agg(F.collect_list(F.struct("_bucket", "top"))).scalar()
+    first = edges.select(F.col("v").alias("lo"), F.col("_bucket").alias("b1"), "max_before", "to_end")
+    last = edges.select(F.col("v").alias("hi"), F.col("_bucket").alias("b2"), "min_upto", "from_start")
+    spans = intervals.join(first, "lo").join(last, "hi").withColumn("tops", tops)
+    inner = spans.filter("b1 = b2").select("lo", "hi", "b1").distinct()
+    inside = (inner.join(swept, (F.col("b1") == F.col("_bucket")) & F.col("v").between(F.col("lo"), F.col("hi")))
+              .groupBy(F.col("lo").alias("in_lo"), F.col("hi").alias("in_hi")).agg(F.max("cover").alias("inside")))
+    between = F.array_max(F.transform(F.filter("tops", lambda t: (t["_bucket"] > F.col("b1")) & (t["_bucket"] < F.col("b2"))), lambda t: t["top"]))
+    depth = F.coalesce("inside", F.greatest("to_end", "from_start", between))
+    return (spans.join(inside, (F.col("lo") == F.col("in_lo")) & (F.col("hi") == F.col("in_hi")), "left")
+            .select("part", (F.col("min_upto") - 1 - F.col("max_before")).cast("bigint").alias("overlaps"), depth.cast("bigint").alias("depth")))
 
 
 def clustering_information(df: DataFrame, part: str, column: str) -> DataFrame:

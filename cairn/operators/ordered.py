@@ -1,204 +1,94 @@
 """Order-dependent computations without a single-partition window.
 
 ``Window.orderBy`` with no partition key moves every row to one task. The
-helpers here keep the work distributed:
-
-1. ``orderBy`` range-partitions and sorts (equal keys share a partition).
-2. The sorted frame is checkpointed into the shared checkpoint folder, so
-   its partitioning is fixed and a lost executor does not redo the sort.
-3. Per-partition totals (one row per partition: a bounded, tiny result) give
-   each partition its offset.
-4. A per-partition pass adds the offset to a local index or running sum.
+helpers here first aggregate to distinct values, cut their range into
+``BUCKETS`` equal-width buckets (a monotone function of the value, bounded by
+two scalar subqueries), and add sums over earlier buckets to a running sum
+inside the bucket. Nothing is collected or checkpointed, no Python runs, and
+building the frame starts no job.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
+from functools import reduce
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cairn.session import checkpoint_dir
-
-_LOCAL_BITS = 33  # monotonically_increasing_id: partition id << 33 | row index
-
-
-def _sorted_with_offsets(df: DataFrame, order: Sequence[Column], sums: Mapping[str, Column] | None = None):
-    """Sort globally, checkpoint, and in one aggregation job get, per range
-    partition, its row count and the totals of ``sums``. Returns the
-    checkpointed frame (with ``_mid``), the row offsets per partition id and
-    the per-partition totals."""
-    checkpoint_dir(df.sparkSession)
-    s = (df.orderBy(*order)
-           .withColumn("_mid", F.monotonically_increasing_id())
-           .checkpoint(eager=True))
-    pid = F.shiftright(F.col("_mid"), _LOCAL_BITS)
-    aggs = [F.count(F.lit(1)).alias("_n")] + [F.sum(v.cast("bigint")).alias(k) for k, v in (sums or {}).items()]
-    rows = s.groupBy(pid.alias("_p")).agg(*aggs).collect()
-    per = {r["_p"]: r for r in rows}
-    offsets, acc = {}, 0
-    for p in sorted(per):
-        offsets[p] = acc
-        acc += per[p]["_n"]
-    return s, offsets, per, acc
-
-
-def _with_index(s: DataFrame, offsets: dict, index_col: str) -> DataFrame:
-    pid = F.shiftright(F.col("_mid"), _LOCAL_BITS)
-    local = F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
-    off = F.create_map(*[x for p, o in offsets.items() for x in (F.lit(p), F.lit(o))]) if offsets \
-        else F.create_map()
-    return s.withColumn(index_col, (F.element_at(off, pid) + local).cast("bigint"))
-
-
-def sorted_indexed(df: DataFrame, order: Sequence[Column], index_col: str = "_idx") -> DataFrame:
-    """Sort globally and attach the 0-based global position of every row."""
-    s, offsets, _, _ = _sorted_with_offsets(df, order)
-    return _with_index(s, offsets, index_col).drop("_mid")
-
-
-def row_number_within(df: DataFrame, partition_cols: Sequence[str], order: Sequence[Column],
-                      out: str = "row_number") -> DataFrame:
-    """ROW_NUMBER() OVER (PARTITION BY keys ORDER BY ...) without putting a
-    whole key group in one task.
-
-    The frame is sorted globally on (keys, order); range partitioning splits
-    a hot key (a third of all rows, say) across many partitions. The first
-    global position of each key is a ``min`` aggregate (partial-aggregated,
-    one row per key per task), joined back null-safely on the keys; AQE
-    broadcasts that per-key table when it is small and splits skewed
-    partitions when it is not. row number = position - first position + 1."""
-    keys = [F.col(c).asc_nulls_first() for c in partition_cols]
-    s = sorted_indexed(df, keys + list(order))
-    firsts = s.groupBy(*partition_cols).agg(F.min("_idx").alias("_first"))
-    firsts = firsts.select(*[F.col(c).alias(f"_k_{c}") for c in partition_cols], "_first")
-    cond = None
-    for c in partition_cols:
-        e = F.col(c).eqNullSafe(F.col(f"_k_{c}"))
-        cond = e if cond is None else cond & e
-    j = s.join(firsts, cond)
-    return (j.withColumn(out, (F.col("_idx") - F.col("_first") + 1).cast("bigint"))
-             .drop("_idx", "_first", *[f"_k_{c}" for c in partition_cols]))
-
-
-def _local_cumsum(cols: list[str], out: list[str]):
-    def run(batches):
-        acc = np.zeros(len(cols), dtype="int64")
-        for pdf in batches:
-            vals = pdf[cols].to_numpy(dtype="int64")
-            cs = np.cumsum(vals, axis=0) + acc if len(pdf) else vals
-            if len(pdf):
-                acc = cs[-1]
-            yield pdf.assign(**{o: cs[:, i] for i, o in enumerate(out)})
-    return run
-
-
-def running_counts(df: DataFrame, order: Sequence[Column], flags: Mapping[str, Column]) -> tuple[DataFrame, int]:
-    """Global inclusive running sums of 0/1 ``flags`` in sort order, plus the
-    global index ``_idx``; also returns the total row count. One sort, one
-    aggregation job for partition totals (counts and flag sums together),
-    then the in-partition cumulative sum over Arrow batches."""
-    names = list(flags)
-    base = df.withColumns({f"_f_{k}": v.cast("bigint") for k, v in flags.items()})
-    s, offsets, per, total = _sorted_with_offsets(base, order, {k: F.col(f"_f_{k}") for k in names})
-    s = _with_index(s, offsets, "_idx")
-    # partition id of the row = the id encoded in _mid (same as spark_partition_id
-    # of the checkpointed frame, which keeps the sort's partitioning)
-    s = s.withColumn("_pid", F.shiftright(F.col("_mid"), _LOCAL_BITS).cast("int")).drop("_mid")
-    flag_offsets, acc = {}, [0] * len(names)
-    for p in sorted(per):
-        flag_offsets[p] = list(acc)
-        acc = [a + (per[p][k] or 0) for a, k in zip(acc, names)]
-    schema = T.StructType(s.schema.fields + [T.StructField(f"_l_{k}", T.LongType()) for k in names])
-    local = s.mapInPandas(_local_cumsum([f"_f_{k}" for k in names], [f"_l_{k}" for k in names]), schema)
-    outs = {}
-    for j, k in enumerate(names):
-        m = F.create_map(*[x for p, o in flag_offsets.items() for x in (F.lit(p), F.lit(o[j]).cast("bigint"))]) \
-            if flag_offsets else F.create_map()
-        outs[k] = F.element_at(m, F.col("_pid")) + F.col(f"_l_{k}")
-    out = local.withColumns(outs).drop("_pid", *[f"_f_{k}" for k in names], *[f"_l_{k}" for k in names])
-    return out, total
-
-
-def _floor_log2(x: Column) -> Column:
-    """floor(log2(x)) for x >= 1, exactly, with integer shifts."""
-    return F.size(F.filter(F.sequence(F.lit(0), F.lit(62)), lambda j: _pow2(j) <= x)) - 1
-
-
-def _pow2(k: Column) -> Column:
-    """2^k as bigint (Math.pow is exact on powers of two)."""
-    return F.pow(F.lit(2.0), k).cast("bigint")
-
-
-def range_max(values: DataFrame, queries: DataFrame, n: int) -> DataFrame:
-    """For each query row (qid, l, r) the max of ``val`` over positions
-    l..r of ``values`` (idx, val), idx = 0..n-1.
-
-    Sparse table: level k holds the max of 2^k consecutive positions; each
-    level is an equi-join of the previous one with itself shifted by
-    2^(k-1), checkpointed to cut lineage. O(n log n) rows, equi-joins only,
-    and no pairs of overlapping ranges are ever formed."""
-    levels = [values.select(F.lit(0).alias("k"), "idx", "val")]
-    cur = values.select("idx", "val")
-    k = 1
-    while (1 << k) <= n:
-        h = 1 << (k - 1)
-        shifted = cur.select((F.col("idx") - h).alias("idx"), F.col("val").alias("_v2"))
-        cur = (cur.join(shifted, "idx").select("idx", F.greatest("val", "_v2").alias("val"))
-                  .checkpoint(eager=True))
-        levels.append(cur.select(F.lit(k).alias("k"), "idx", "val"))
-        k += 1
-    table = levels[0]
-    for lv in levels[1:]:
-        table = table.unionByName(lv)
-    q = queries.withColumn("k", _floor_log2(F.col("r") - F.col("l") + 1))
-    q = q.withColumn("r2", F.col("r") - _pow2(F.col("k")) + 1)
-    t1 = table.select(F.col("k").alias("k1"), F.col("idx").alias("i1"), F.col("val").alias("v1"))
-    t2 = table.select(F.col("k").alias("k2"), F.col("idx").alias("i2"), F.col("val").alias("v2"))
-    j = (q.join(t1, (F.col("k") == F.col("k1")) & (F.col("l") == F.col("i1")))
-          .join(t2, (F.col("k") == F.col("k2")) & (F.col("r2") == F.col("i2"))))
-    return j.select("qid", F.greatest("v1", "v2").alias("max"))
-
-
-def rank_global(df: DataFrame, order_cols: Sequence[str], descending: bool = True,
-                rank_col: str = "rank") -> DataFrame:
-    """RANK over the whole set. Equal keys are adjacent after the global
-    sort and always share a range partition, so RANK = 1 + global index of
-    the first row of the tie block; that first index is found per partition
-    by a running count of block starts (no window, no single task)."""
-    order = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_last() for c in order_cols]
-    s = sorted_indexed(df, order)
-    s = s.withColumn("_pid", F.spark_partition_id())
-    schema = T.StructType(s.schema.fields + [T.StructField("_first", T.LongType())])
-    out = s.mapInPandas(_block_first(list(order_cols)), schema)
-    return out.withColumn(rank_col, F.col("_first") + 1).drop("_first", "_idx", "_pid")
-
-
-def _block_first(key_cols: list[str]):
-    """Within a sorted partition, the global index of the first row of each
-    row's tie block (ties never cross a partition boundary)."""
-
-    def run(batches):
-        last = None
-        last_first = 0
-        for pdf in batches:
-            if pdf.empty:
-                yield pdf.assign(_first=np.zeros(0, dtype="int64"))
-                continue
-            keys = pdf[key_cols].reset_index(drop=True)
-            prev = keys.shift(1) if last is None else pd.concat([last, keys.iloc[:-1]], ignore_index=True)
-            same = ((keys == prev) | (keys.isna() & prev.isna())).all(axis=1).to_numpy()
-            if last is None:
-                same[0] = False
-            idx = pdf["_idx"].to_numpy(dtype="int64")
-            first = pd.Series(np.where(same, np.nan, idx))
-            if same[0]:
-                first.iloc[0] = last_first
-            firsts = first.ffill().astype("int64").to_numpy()
-            last, last_first = keys.iloc[-1:], int(firsts[-1])
-            yield pdf.assign(_first=firsts)
-
-    return run
+BUCKETS, GROUP = 4096, 64
+
+
+def as_number(c: Column, kind: T.DataType) -> Column:
+    """A double that never decreases where the value grows (values may tie)."""
+    if isinstance(kind, T.NumericType):
+        return c.cast("double")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if isinstance(kind, T.StringType):
+        head = F.rpad(F.hex(F.substring(F.encode(c, "utf-8"), 1, 6)), 12, "0")
+        return F.conv(head, 16, 10).cast("double")
+    raise TypeError(f"no order for {kind.simpleString()}")
+
+
+def bucketed(values: DataFrame, v: str, out: str = "_bucket") -> Column:
+    """The bucket, 0 to ``BUCKETS`` - 1, of a non-NULL value of ``values``."""
+    x = as_number(F.col(v), values.schema[v].dataType)
+    span = values.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
+    share = (x - span["lo"]) / F.when(span["hi"] > span["lo"], span["hi"] - span["lo"]).otherwise(1.0)
+    return F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1)).cast("int").alias(out)
+
+
+def with_sums_before(values: DataFrame, v: str, sums: Sequence[str]) -> DataFrame:
+    """``values`` (distinct, non-NULL ``v``) with ``_bucket`` and, for each
+    column of ``sums``, ``before_<column>``: its total over all smaller values."""
+    placed = values.withColumn("_bucket", bucketed(values, v))
+    totals = lambda df, by: df.groupBy(by).agg(*(F.sum(s).cast("bigint").alias(s) for s in sums))
+    per_bucket = totals(placed, "_bucket").withColumn("_group", F.floor(F.col("_bucket") / GROUP).cast("int"))
+    # at most BUCKETS / GROUP rows
+    groups = totals(per_bucket, "_group").agg(F.collect_list(F.struct("_group", *sums))).scalar()
+    inside = lambda by, order: Window.partitionBy(by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    per_bucket = per_bucket.withColumn("_groups", groups)  # a subquery may not stand inside a higher-order function
+    earlier = lambda s: F.aggregate(F.filter("_groups", lambda g: g["_group"] < F.col("_group")), F.lit(0).cast("bigint"), lambda a, g: a + g[s])
+    starts = per_bucket.select(F.col("_bucket").alias("_b"), *(
+        (earlier(s) + F.coalesce(F.sum(s).over(inside("_group", "_bucket")), F.lit(0))).alias(f"_start_{s}") for s in sums))
+    local = placed.withColumns({f"_in_{s}": F.coalesce(F.sum(s).over(inside("_bucket", v)), F.lit(0)) for s in sums})
+    joined = local.join(starts, F.col("_bucket") == F.col("_b"))
+    return joined.select(*values.columns, "_bucket", *((F.col(f"_start_{s}") + F.col(f"_in_{s}")).alias(f"before_{s}") for s in sums))
+
+
+def rank_global(df: DataFrame, order_cols: Sequence[str], descending: bool = True, rank_col: str = "rank") -> DataFrame:
+    """RANK over the whole set by one column, NULLs last. Equal values are
+    one row with a count before anything is ordered, so a value held by a
+    third of the rows costs no more than any other; the rank is joined back."""
+    (v,) = order_cols
+    counts = df.filter(F.col(v).isNotNull()).groupBy(v).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = with_sums_before(counts, v, ["_n"])
+    known = df.select(F.count(v)).scalar()
+    ahead = known - F.col("before__n") - F.col("_n") if descending else F.col("before__n")
+    ranks = ranked.select(F.col(v).alias("_v"), (ahead + 1).cast("bigint").alias("_rank"))
+    return (df.join(ranks, F.col(v) == F.col("_v"), "left")
+              .withColumn(rank_col, F.coalesce("_rank", known + 1).cast("bigint")).drop("_v", "_rank"))
+
+
+def row_number_within(df: DataFrame, partition_cols: Sequence[str], order: Sequence[Column], out: str = "row_number",
+                      step: Column | None = None) -> DataFrame:
+    """ROW_NUMBER() OVER (PARTITION BY keys ORDER BY ...) for hot keys.
+
+    ``step`` is a coarse monotone function of the first order column (a
+    month, say): rows are numbered within (key, step), and the counts of the
+    key's earlier steps, a row per key and step, are added. A key that holds
+    a third of all rows is spread over its steps. Without ``step`` a key is
+    numbered in one task."""
+    if step is None:
+        return df.withColumn(out, F.row_number().over(Window.partitionBy(*partition_cols).orderBy(*order)).cast("bigint"))
+    stepped = df.withColumn("_step", step)
+    keys = [*partition_cols, "_step"]
+    counts = stepped.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*partition_cols).orderBy("_step").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(*(F.col(c).alias(f"_k_{c}") for c in keys), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    local = stepped.withColumn("_nth", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys))
+    return (local.join(before, same).withColumn(out, (F.col("_before") + F.col("_nth")).cast("bigint"))
+                 .drop("_step", "_nth", "_before", *(f"_k_{c}" for c in keys)))

@@ -16,20 +16,15 @@ def not_in_subquery(outer: DataFrame, outer_key: str, inner: DataFrame, inner_ke
 
     Spark plans a literal ``NOT IN`` as a null-aware anti join, which needs
     the subquery side broadcast and degrades to a nested-loop join when it is
-    large. Here one aggregate over the subquery (one row back to the driver)
-    picks the case, and the common case is a plain shuffled ``left_anti``
-    join that scales with both sides.
+    large. Here the two counts that decide the case are a scalar subquery of
+    the plan (no job while the query is built), and the join is a plain
+    shuffled ``left_anti`` that scales with both sides. A NULL key never
+    equals a subquery key, so the filter alone decides about it.
     """
-    stats = inner.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count(F.when(F.col(inner_key).isNull(), 1)).alias("n_null"),
-    ).first()
-    if stats["n"] == 0:
-        return outer
-    if stats["n_null"] > 0:
-        return outer.filter(F.lit(False))
+    none = inner.select(F.count(F.lit(1)) == 0).scalar()
+    no_null = inner.select(F.count(F.when(F.col(inner_key).isNull(), 1)) == 0).scalar()
     keys = inner.select(F.col(inner_key).alias("_nin_key"))
-    return (outer.filter(F.col(outer_key).isNotNull())
+    return (outer.filter(none | (no_null & F.col(outer_key).isNotNull()))
                  .join(keys, F.col(outer_key) == F.col("_nin_key"), "left_anti"))
 
 

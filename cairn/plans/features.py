@@ -44,7 +44,8 @@ def delivery_features(spark: SparkSession, root: str) -> DataFrame:
     df = df.join(vol, "courier")
     # Position in the customer's history, ties broken by the key (the
     # skew-safe row number: a hot customer does not sit in one task)
-    df = row_number_within(df, ["customer_id"], [F.col("order_ts"), F.col("order_id")], "customer_order_seq")
+    df = row_number_within(df, ["customer_id"], [F.col("order_ts"), F.col("order_id")], "customer_order_seq",
+                           step=F.date_format("order_ts", "yyyyMM"))
     delay = (F.unix_timestamp("last_ship") - F.unix_timestamp("order_ts")) / 60.0
     return df.select("order_id",
                      (F.col("o_totalprice") / 1000).alias("distance_km"),
@@ -56,11 +57,10 @@ def delivery_features(spark: SparkSession, root: str) -> DataFrame:
 
 
 def regression_metrics(pred: DataFrame, label: str, prediction: str) -> DataFrame:
-    """Mean absolute error and R^2 as aggregates (two passes: the
-    label mean first, then the sums; each pass partial-aggregates map-side)."""
-    mean = pred.agg(F.avg(label).alias("m")).first()["m"]
-    sums = pred.agg(F.avg(F.abs(F.col(label) - F.col(prediction))).alias("mae"),
-                    F.sum((F.col(label) - F.col(prediction)) ** 2).alias("sse"),
-                    F.sum((F.col(label) - F.lit(mean)) ** 2).alias("sst"))
+    """Mean absolute error and R^2 as one pass of aggregates: the
+    total sum of squares is n times the population variance of the label."""
+    error = F.col(label) - F.col(prediction)
+    sums = pred.agg(F.avg(F.abs(error)).alias("mae"), F.sum(error * error).alias("sse"),
+                    F.count(label).alias("n"), F.var_pop(label).alias("spread"))
     return sums.select(F.round("mae", 2).alias("mae"),
-                       F.round(F.lit(1.0) - F.col("sse") / F.col("sst"), 6).alias("r2"))
+                       F.round(F.lit(1.0) - F.col("sse") / (F.col("n") * F.col("spread")), 6).alias("r2"))

@@ -370,7 +370,8 @@ def sequence_in_group(spark, root):
     Skew-safe form (a customer with a third of all orders is spread over
     many tasks), see ``ordered.row_number_within``."""
     o = _t(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return row_number_within(o, ["o_custkey"], [F.col("o_orderdate"), F.col("o_orderkey")], "seq").select(
+    return row_number_within(o, ["o_custkey"], [F.col("o_orderdate"), F.col("o_orderkey")], "seq",
+                             step=F.date_format("o_orderdate", "yyyyMM")).select(
         "o_orderkey", "o_custkey", "seq")
 
 
@@ -386,10 +387,14 @@ def sort_multi(spark, root):
             .orderBy(F.col("o_orderdate").desc_nulls_last(), F.col("o_orderkey").asc_nulls_last()))
 
 
-@register("limit_rows")
+@register("limit_rows", oracle="""
+SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT o_orderkey) AS BIGINT) AS n_keys
+FROM (SELECT o_orderkey FROM orders LIMIT 10)""")
 def limit_rows(spark, root):
-    """O2: LIMIT without order (any 10 rows; rows-only check)."""
-    return _t(spark, root, "orders").limit(10)
+    """O2: LIMIT without order. Any 10 rows do, so what is compared is their
+    number and that they are 10 different rows."""
+    some = _t(spark, root, "orders").select("o_orderkey").limit(10)
+    return some.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("o_orderkey").alias("n_keys"))
 
 
 @register("topk_orders", oracle="""
