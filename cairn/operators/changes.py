@@ -10,6 +10,7 @@ the key and nothing passes through the driver.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +29,15 @@ def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "source") -> N
         raise ValueError(f"{what} keys {list(keys)} are not unique")
 
 
+def outer_by_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Full outer join on ``keys`` where NULL key parts equal each other."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys))
+    joined = left.withColumn("_in_left", F.lit(True)).join(renamed, same, "full_outer")
+    key = lambda k: F.when(F.col("_in_left"), F.col(k)).otherwise(F.col(f"_r_{k}"))
+    return joined.withColumns({k: key(k) for k in keys}).drop("_in_left", *(f"_r_{k}" for k in keys))
+
+
 # ------------------------------------------------------------- K5 - K7
 
 
@@ -46,7 +56,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     t = target.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in cols], F.lit(True).alias("_t"))
     s = source.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in cols if c in source.columns],
                       F.lit(True).alias("_s"))
-    j = t.join(s, list(keys), "full_outer")
+    j = outer_by_key(t, s, keys)
     out = []
     for c in cols:
         if c in update_cols and c in source.columns:
@@ -88,7 +98,7 @@ def change_feed(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> Dat
     DELETE of the old row plus an INSERT of the new one, both with
     ``is_update`` TRUE; pure inserts and deletes have FALSE; unchanged rows
     and rows inserted then deleted in between do not appear. Keys must be
-    unique in each state.
+    unique in each state; a NULL key part is a value like any other.
 
     Plan: one full outer join on the keys (both sides shuffled once), a
     null-safe comparison of the non-key columns packed in a struct, and a
@@ -96,7 +106,7 @@ def change_feed(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> Dat
     cols = [c for c in before.columns if c not in keys]
     b = before.select(*keys, F.struct(*cols).alias("_old"), F.lit(True).alias("_b"))
     a = after.select(*keys, F.struct(*cols).alias("_new"), F.lit(True).alias("_a"))
-    j = b.join(a, list(keys), "full_outer")
+    j = outer_by_key(b, a, keys)
     both = F.col("_b").isNotNull() & F.col("_a").isNotNull()
     changed = j.filter(~both | ~F.col("_old").eqNullSafe(F.col("_new")))
     images = F.array(
@@ -114,7 +124,7 @@ def has_changes(feed: DataFrame) -> bool:
 
 
 def has_changes_frame(feed: DataFrame) -> DataFrame:
-    """C2 as a one-row frame (reads at most one row of the feed)."""
+    """C2 as a one-row frame (the feed's join runs; one row of it is kept)."""
     return feed.select(F.lit(1).alias("_x")).limit(1).agg((F.count("_x") > 0).alias("has_changes"))
 
 
@@ -148,9 +158,12 @@ def run_if_changed(feed: DataFrame, fn):
 
 def aggregate_state(df: DataFrame, keys: Sequence[str], measures: Sequence[str],
                     count_col: str = "row_count") -> DataFrame:
-    """Initial state of a maintained COUNT / SUM aggregate."""
+    """Initial state of a maintained COUNT / SUM aggregate: the rows of each
+    key, and for each measure its sum and how many values it has (a sum over
+    NULLs alone is NULL)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col),
-                                 *[F.sum(m).alias(f"sum_{m}") for m in measures])
+                                 *[F.sum(m).alias(f"sum_{m}") for m in measures],
+                                 *[F.count(m).alias(f"count_{m}") for m in measures])
 
 
 def refresh_aggregate(state: DataFrame, feed: DataFrame, keys: Sequence[str],
@@ -158,21 +171,33 @@ def refresh_aggregate(state: DataFrame, feed: DataFrame, keys: Sequence[str],
     """Fold a change feed into a stored COUNT / SUM aggregate.
 
     Each feed row is a signed delta (+1 for INSERT, -1 for DELETE; an update
-    is its two halves). Deltas are aggregated per key (map-side partial
-    aggregation, so a hot key costs one row per task), full-outer-joined
-    onto the state, and keys whose count drops to 0 disappear. The result
-    equals a recompute over the new table state."""
+    is its two halves). State and deltas are one union, aggregated once per
+    key: no join, NULL keys group like any other, and partial aggregation
+    leaves one row of a hot key per task. Keys whose count drops to 0
+    disappear. The result equals a recompute over the new table state."""
     sign = F.when(F.col(ACTION) == INSERT, 1).otherwise(-1)
-    delta = feed.groupBy(*keys).agg(F.sum(sign).alias("_dn"),
-                                    *[F.sum(sign * F.col(m)).alias(f"_d_{m}") for m in measures])
-    j = state.join(delta, list(keys), "full_outer")
-    n = F.coalesce(F.col(count_col), F.lit(0)) + F.coalesce(F.col("_dn"), F.lit(0))
-    sums = []
-    for m in measures:
-        s = F.coalesce(F.col(f"sum_{m}"), F.lit(0)) + F.coalesce(F.col(f"_d_{m}"), F.lit(0))
-        sums.append(s.cast(state.schema[f"sum_{m}"].dataType).alias(f"sum_{m}"))
-    return (j.select(*keys, n.cast("bigint").alias(count_col), *sums)
-             .filter(F.col(count_col) > 0))
+    delta = feed.select(*keys, sign.alias(count_col), *[(sign * F.col(m)).alias(f"sum_{m}") for m in measures],
+                        *[F.when(F.col(m).isNotNull(), sign).otherwise(0).alias(f"count_{m}") for m in measures])
+    total = lambda c: F.sum(c).cast(state.schema[c].dataType).alias(c)
+    parts = [count_col, *[f"sum_{m}" for m in measures], *[f"count_{m}" for m in measures]]
+    both = state.select(*keys, *parts).unionByName(delta).groupBy(*keys).agg(*map(total, parts)).filter(F.col(count_col) > 0)
+    return both.withColumns({f"sum_{m}": F.when(F.col(f"count_{m}") > 0, F.col(f"sum_{m}")) for m in measures})
+
+
+def last_changes(feed: DataFrame, keys: Sequence[str], time_col: str = "changed_at") -> DataFrame:
+    """The last change of every key in a feed that may hold several. Both
+    halves of an update share a time; the new row is the later one."""
+    others = [c for c in feed.columns if c not in keys]
+    order = F.struct(F.col(time_col), (F.col(ACTION) == INSERT).alias("new"))
+    last = feed.groupBy(*keys).agg(F.max_by(F.struct(*others), order).alias("_last"))
+    return last.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in others])
+
+
+def apply_changes(current: DataFrame, last: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``current`` without the keys of ``last``, plus the rows of ``new``."""
+    touched = last.select(*[F.col(k).alias(f"_t_{k}") for k in keys])
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys))
+    return current.join(touched, same, "left_anti").unionByName(new.select(*current.columns))
 
 
 # ------------------------------------------------------------- C11, C12

@@ -67,7 +67,7 @@ def change_feed(spark, root):
 
 @register("has_changes", oracle=_FEED + "SELECT count(*) > 0 AS has_changes FROM feed")
 def has_changes(spark, root):
-    """Does the feed hold any row (reads at most one)."""
+    """Does the feed hold any row."""
     return ch.has_changes_frame(order_feed(spark, root))
 
 
@@ -116,6 +116,47 @@ def incremental_aggregate(spark, root):
     return new.select("o_custkey", "row_count", money.to_money(F.col("sum_amount")).alias("sum_amount"))
 
 
+_TWO_STATES = """
+WITH before AS (SELECT CASE WHEN o_custkey % 10 <> 3 THEN o_custkey END AS custkey, o_orderkey,
+    CASE WHEN o_orderkey % 4 <> 1 THEN CAST(o_totalprice AS DECIMAL(12,2)) END AS amount FROM orders WHERE o_orderkey % 7 <> 0),
+after AS (SELECT CASE WHEN o_custkey % 10 <> 3 THEN o_custkey END AS custkey, o_orderkey,
+    CASE WHEN o_orderkey % 4 <> 1 THEN CAST(o_totalprice AS DECIMAL(12,2)) END AS amount FROM orders WHERE o_orderkey % 5 <> 0)"""
+
+
+def _null_key_states(spark, root):
+    o = read_table(spark, root, "orders")
+    rows = o.select(F.when(F.col("o_custkey") % 10 != 3, F.col("o_custkey")).alias("custkey"), "o_orderkey",
+                    F.when(F.col("o_orderkey") % 4 != 1, money.price("o_totalprice")).alias("amount"))
+    return rows.filter(F.col("o_orderkey") % 7 != 0), rows.filter(F.col("o_orderkey") % 5 != 0)
+
+
+@register("change_feed_null_keys", oracle=_TWO_STATES + """
+, b AS (SELECT custkey, CAST(sum(amount) AS DOUBLE) AS total FROM before GROUP BY custkey),
+a AS (SELECT custkey, CAST(sum(amount) AS DOUBLE) AS total FROM after GROUP BY custkey)
+SELECT b.custkey, b.total, 'DELETE' AS action, a.total IS NOT NULL OR EXISTS (SELECT 1 FROM a x WHERE x.custkey IS NOT DISTINCT FROM b.custkey) AS is_update
+FROM b LEFT JOIN a ON a.custkey IS NOT DISTINCT FROM b.custkey
+WHERE a.total IS DISTINCT FROM b.total OR NOT EXISTS (SELECT 1 FROM a x WHERE x.custkey IS NOT DISTINCT FROM b.custkey)
+UNION ALL
+SELECT a.custkey, a.total, 'INSERT', EXISTS (SELECT 1 FROM b x WHERE x.custkey IS NOT DISTINCT FROM a.custkey)
+FROM a LEFT JOIN b ON a.custkey IS NOT DISTINCT FROM b.custkey
+WHERE a.total IS DISTINCT FROM b.total OR NOT EXISTS (SELECT 1 FROM b x WHERE x.custkey IS NOT DISTINCT FROM a.custkey)""")
+def change_feed_null_keys(spark, root):
+    """C1 on a table whose key may be NULL (totals per customer)."""
+    total = lambda df: df.groupBy("custkey").agg(F.sum("amount").cast("double").alias("total"))
+    before, after = _null_key_states(spark, root)
+    return ch.change_feed(total(before), total(after), ["custkey"]).select("custkey", "total", "action", "is_update")
+
+
+@register("incremental_aggregate_nulls", oracle=_TWO_STATES + """
+SELECT custkey, CAST(count(*) AS BIGINT) AS row_count, CAST(sum(amount) AS DOUBLE) AS sum_amount FROM after GROUP BY custkey""")
+def incremental_aggregate_nulls(spark, root):
+    """C8 with a NULL group key and sums over NULLs."""
+    before, after = _null_key_states(spark, root)
+    state = ch.aggregate_state(before, ["custkey"], ["amount"])
+    new = ch.refresh_aggregate(state, ch.change_feed(before, after, ["o_orderkey"]), ["custkey"], ["amount"])
+    return new.select("custkey", "row_count", F.col("sum_amount").cast("double").alias("sum_amount"))
+
+
 _AS_OF = """
 WITH live AS (SELECT * FROM events WHERE ts {op} TIMESTAMP '2024-01-15 00:00:00'),
 latest AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM live)

@@ -33,23 +33,35 @@ def publish_changes(feed: DataFrame, log_path: str) -> None:
 
 def consume(spark: SparkSession, log_path: str, schema: T.StructType, checkpoint: str, fn: BatchFn,
             available_now: bool = True, interval: str | None = None,
-            run_log: str | None = None, name: str = "consume") -> StreamingQuery:
+            run_log: str | None = None, name: str = "consume", max_files: int | None = None) -> StreamingQuery:
     """Apply ``fn(batch, batch_id)`` to changes not yet consumed,
     then advance the offset (the checkpoint commits after ``fn`` returns).
     No new changes means no micro-batch, so ``fn`` does not run at all.
     ``fn`` must be idempotent per ``batch_id``: a batch whose commit was
-    lost is replayed with the same id."""
-    stream = spark.readStream.schema(schema).parquet(log_path)
-    w = stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
+    lost is replayed with the same id. The run log gets its row inside the
+    batch, so it is complete however many batches a run has."""
+    stream = spark.readStream.schema(schema)
+    if max_files:
+        stream = stream.option("maxFilesPerTrigger", max_files)
+    ran = []
+
+    def logged(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            fn(batch, batch_id)
+            if run_log:
+                runlog.log_run(spark, run_log, name, "SUCCEEDED", "INCREMENTAL", batch.count(), batch_id)
+            ran.append(batch_id)
+        finally:
+            batch.unpersist()
+
+    w = stream.parquet(log_path).writeStream.foreachBatch(logged).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval or "1 minute")
     q = w.start()
     if available_now:
         q.awaitTermination()
-        if run_log:
-            if q.recentProgress and any(p.get("numInputRows", 0) for p in q.recentProgress):
-                runlog.log_progress(spark, run_log, name, q)
-            else:
-                runlog.log_run(spark, run_log, name, "SKIPPED", "NO_DATA")
+        if run_log and not ran:
+            runlog.log_run(spark, run_log, name, "SKIPPED", "NO_DATA")
     return q
 
 
@@ -87,27 +99,22 @@ def maintain_aggregate(state_root: str, keys: Sequence[str], measures: Sequence[
 def maintain_enriched(target_root: str, keys: Sequence[str],
                       enrich: Callable[[DataFrame], DataFrame]) -> BatchFn:
     """T9 body: keep an enriched table current from a change feed, scoring
-    only what changed. New images (INSERT, including the new half of an
-    update) are enriched and upserted by key; keys whose only change is a
-    DELETE are removed. Rows that did not change keep their stored scores,
-    so the costly enrichment runs once per changed row. Exactly-once per
-    batch id, as in ``maintain_aggregate``."""
+    only what changed. A batch may hold several changes of a key: it is
+    reduced to the last one of each. Keys whose last change is an INSERT (or
+    the new half of an update) are enriched and replace the stored row, keys
+    whose last change is a DELETE leave, and all other rows keep their
+    stored scores. Exactly-once per batch id, as in ``maintain_aggregate``."""
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         done = writers.current_batch_id(spark, target_root)
         if done is not None and done >= batch_id:
             return
+        last = ch.last_changes(batch, keys)
         data_cols = [c for c in batch.columns if c not in (ch.ACTION, ch.IS_UPDATE, ch.ROW_ID, "changed_at")]
-        new = enrich(batch.filter(F.col(ch.ACTION) == ch.INSERT).select(*data_cols))
-        gone = (batch.filter(F.col(ch.ACTION) == ch.DELETE).select(*keys)
-                     .join(batch.filter(F.col(ch.ACTION) == ch.INSERT).select(*keys), list(keys), "left_anti"))
+        out = enrich(last.filter(F.col(ch.ACTION) == ch.INSERT).select(*data_cols))
         if writers.exists(spark, target_root):
-            cur = writers.read_current(spark, target_root)
-            out = ch.upsert(cur.join(gone, list(keys), "left_anti"), new.select(*cur.columns), keys,
-                            check_unique=False)
-        else:
-            out = new
+            out = ch.apply_changes(writers.read_current(spark, target_root), last, out, keys)
         writers.write_version(out, target_root, batch_id=batch_id)
         writers.vacuum(spark, target_root, keep=2)
 

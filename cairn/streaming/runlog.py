@@ -26,13 +26,5 @@ def log_run(spark: SparkSession, path: str, name: str, state: str, action: str,
     spark.createDataFrame(row, RUN_LOG_SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
-def log_progress(spark: SparkSession, path: str, name: str, query) -> None:
-    """Append one row per finished micro-batch of a streaming query, from
-    its ``recentProgress``."""
-    for p in query.recentProgress:
-        n = int(p.get("numInputRows", 0))
-        log_run(spark, path, name, "SUCCEEDED", "INCREMENTAL" if n else "NO_DATA", n, int(p["batchId"]))
-
-
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RUN_LOG_SCHEMA).parquet(path)

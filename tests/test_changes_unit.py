@@ -155,3 +155,31 @@ def test_run_if_changed(spark):
     assert ch.run_if_changed(ch.change_feed(a, a, ["k"]), lambda f: ran.append(1)) is None
     ch.run_if_changed(ch.change_feed(a, b, ["k"]), lambda f: ran.append(f.count()))
     assert ran == [2]
+
+
+def test_feed_and_aggregate_with_null_keys(spark):
+    """A NULL key is a value like any other, and a sum over NULLs
+    alone is NULL."""
+    s = "k int, id int, amount int"
+    a = spark.createDataFrame([(None, 1, 10), (1, 2, 5), (2, 3, None)], s)
+    b = spark.createDataFrame([(None, 1, 10), (None, 4, 7), (1, 5, None), (2, 3, None)], s)
+    same = ch.change_feed(a.select("k", "amount"), a.select("k", "amount"), ["k"])
+    assert same.count() == 0
+    state = ch.aggregate_state(a, ["k"], ["amount"])
+    new = ch.refresh_aggregate(state, ch.change_feed(a, b, ["id"]), ["k"], ["amount"])
+    want = ch.aggregate_state(b, ["k"], ["amount"])
+    key = lambda r: (r["k"] is not None, r["k"] or 0)
+    assert sorted(new.collect(), key=key) == sorted(want.select(*new.columns).collect(), key=key)
+
+
+def test_last_change_of_each_key(spark):
+    """Several changes of a key in one batch leave its last one."""
+    rows = [(1, "a", "INSERT", 1), (1, "a", "DELETE", 2), (1, "aa", "INSERT", 2), (1, "aa", "DELETE", 3), (1, "aaa", "INSERT", 3),
+            (2, "b", "INSERT", 1), (3, "c", "INSERT", 1), (3, "c", "DELETE", 2), (None, "n", "INSERT", 1)]
+    feed = spark.createDataFrame(rows, "k int, v string, action string, changed_at int")
+    last = ch.last_changes(feed, ["k"])
+    assert sorted(((r["k"] or 0), r["v"], r["action"]) for r in last.collect()) == [
+        (0, "n", "INSERT"), (1, "aaa", "INSERT"), (2, "b", "INSERT"), (3, "c", "DELETE")]
+    current = spark.createDataFrame([(3, "c"), (4, "d"), (None, "old")], "k int, v string")
+    out = ch.apply_changes(current, last, last.filter("action = 'INSERT'").select("k", "v"), ["k"])
+    assert sorted(((r["k"] or 0), r["v"]) for r in out.collect()) == [(0, "n"), (1, "aaa"), (2, "b"), (4, "d")]

@@ -183,3 +183,18 @@ def test_enrichment_kept_incrementally(spark, tmp_dir):
     assert out[1]["scored_in"] == 0                       # unchanged: not rescored
     assert out[2]["scored_in"] == 1 and out[4]["scored_in"] == 1
     assert out[2]["sentiment_score"] < 0 and out[4]["sentiment_score"] > 0
+
+
+def test_run_log_is_complete_over_many_batches(spark, tmp_dir):
+    """A row per micro-batch, however few of them Spark remembers."""
+    log, runs = f"{tmp_dir}/changes", f"{tmp_dir}/runs"
+    for i in range(6):
+        spark.range(i, i + 1).selectExpr("id", "'INSERT' AS action").coalesce(1).write.mode("append").parquet(log)
+    old = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        inc.consume(spark, log, spark.read.parquet(log).schema, f"{tmp_dir}/ck", lambda b, i: None, run_log=runs, max_files=1)
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", old)
+    rows = runlog.read_runs(spark, runs).collect()
+    assert sorted(r["batch_id"] for r in rows) == list(range(6)) and {r["state"] for r in rows} == {"SUCCEEDED"}
