@@ -62,9 +62,12 @@ SPLIT = 1_000_000
 
 
 def cents(c: str | Column) -> Column:
-    """An exact-cent double as integer hundredths."""
+    """A money value as integer hundredths, rounded as ``price`` rounds it:
+    near a half cent by the decimal cast itself, else in double arithmetic."""
     x = F.col(c) if isinstance(c, str) else c
-    return F.when(x < 0, -F.floor(-x * 100 + 0.5)).otherwise(F.floor(x * 100 + 0.5)).cast("bigint")
+    size = F.abs(x) * 100
+    near_half = F.abs(size - F.floor(size) - 0.5) < 1e-6
+    return F.when(near_half, (price(x) * 100).cast("bigint")).otherwise((F.signum(x) * F.floor(size + 0.5)).cast("bigint"))
 
 
 def net_units(price_col: str = "l_extendedprice", disc_col: str = "l_discount") -> Column:

@@ -12,7 +12,7 @@ value per row back in the same order.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from decimal import ROUND_HALF_UP, Decimal
+from decimal import Decimal
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -63,35 +63,36 @@ def call_batched(df: DataFrame, in_cols: Sequence[str], out_col: str, out_type:
 
     ``make_fn`` runs once per task (open a session / client there); the
     function it returns gets a pandas frame of ``in_cols`` and returns one
-    value per row, in order. Batch size is
+    value per row, in order. Only ``in_cols`` go to Python; every other
+    column stays in the JVM as it is. Batch size is
     ``spark.sql.execution.arrow.maxRecordsPerBatch``. A failed task is
     retried by Spark, so the remote call must be idempotent."""
-    schema = T.StructType(df.schema.fields + [T.StructField(out_col, out_type)])
-    cols = list(in_cols)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches):
         fn = make_fn()
         for pdf in batches:
-            res = fn(pdf[cols])
+            res = fn(pdf)
             if len(res) != len(pdf):
                 raise ValueError("batch function returned a different number of rows")
-            yield pdf.assign(**{out_col: pd.Series(res).to_numpy()})
+            yield pd.Series(res)
 
-    return df.mapInPandas(run, schema)
+    run.__annotations__ = {"batches": Iterator[pd.DataFrame], "return": Iterator[pd.Series]}
+    return df.withColumn(out_col, F.pandas_udf(run, out_type)(F.struct(*in_cols)))
 
 
 def tax_service(rate: str = "0.08") -> Callable[[], Callable[[pd.DataFrame], pd.Series]]:
     """Stand-in for the remote tax service: amount * (1 + rate), half-up to
-    cents (exact decimal arithmetic on the amount's text)."""
-    factor = Decimal(1) + Decimal(rate)
-    cents = Decimal("0.01")
+    cents, in integers of a hundredth of a cent for the whole batch."""
+    places = max(0, -Decimal(rate).as_tuple().exponent)
+    factor, unit = int((1 + Decimal(rate)) * 10**places), 100 * 10**places
 
     def make():
         def fn(pdf: pd.DataFrame) -> pd.Series:
-            amounts = pdf.iloc[:, 0]
-            return pd.Series([None if pd.isna(a) else
-                              float((Decimal(repr(float(a))) * factor).quantize(cents, ROUND_HALF_UP))
-                              for a in amounts])
+            amounts = pd.to_numeric(pdf.iloc[:, 0]).astype(float)
+            known = amounts.fillna(0.0)
+            units = (known.abs() * 10_000).round().astype("int64") * factor
+            cents = (units + unit // 2) // unit
+            return (cents.astype(float) / 100).where(known >= 0, -cents.astype(float) / 100).where(amounts.notna())
         return fn
 
     return make

@@ -26,9 +26,14 @@ def dimension(df: DataFrame, name: str) -> DataFrame:
     return F.broadcast(df)
 
 
+def everyone(value: str | None) -> bool:
+    """Does an optional filter's value ask for all rows?"""
+    return value is None or str(value).upper() == "ALL"
+
+
 def filter_optional_equal(df: DataFrame, column: str, value: str | None) -> DataFrame:
     """Case-insensitive equality, skipped when value is None or 'ALL'."""
-    if value is None or str(value).upper() == "ALL":
+    if everyone(value):
         return df
     return df.filter(F.upper(F.col(column)) == F.upper(F.lit(value)))
 

@@ -139,28 +139,26 @@ def summarize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
       inside its row (``array_distinct``), exploded, and counted per token:
       one shuffle, partially aggregated map-side (a token such as "the"
       that occurs everywhere is one row per task).
-    * Sentence scores: the token stream joins the frequency table on the
-      token with a shuffled hash join (no sort of the token stream; the
-      table grows with the vocabulary, so it is not assumed broadcastable),
-      then aggregates per sentence.
+    * Sentence scores: tokens are counted per sentence, joined to the
+      frequency table on the token (it grows with the vocabulary, so no join
+      is forced), and aggregated per sentence.
     * The best sentence per document is a ``max`` over (score, -position),
       an aggregate rather than a window; its text is joined back by
-      (document, position).
-    Explode and filter are plain generators and predicates, so the token
-    stream stays in whole-stage code generation."""
+      (document, position)."""
     sents = (docs.select(id_col, F.posexplode(F.split(F.col(text_col), SENTENCE_SPLIT)).alias("pos", "s"))
                  .select(id_col, "pos", F.trim("s").alias("sentence")))
     toks = (sents.select(id_col, "pos", F.explode(F.split(F.lower("sentence"), TOKEN_SPLIT)).alias("tok"))
                  .filter(F.col("tok") != ""))
     doc_toks = docs.select(F.explode(F.array_distinct(F.split(F.lower(F.col(text_col)), TOKEN_SPLIT))).alias("tok"))
     dfreq = doc_toks.filter(F.col("tok") != "").groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
-    # hash join, no sort: the frequency table is built per partition (its
-    # size grows with the vocabulary, so it is not broadcast by default)
-    scored = (toks.join(dfreq.hint("shuffle_hash"), "tok").groupBy(id_col, "pos")
-                  .agg((F.sum("df").cast("double") / F.count(F.lit(1))).alias("score")))
+    # counted per (document, sentence, token) before the join: a token costs
+    # one row a sentence, and the join may spill or broadcast as AQE measures
+    per_token = toks.groupBy(id_col, "pos", "tok").agg(F.count(F.lit(1)).alias("n"))
+    scored = (per_token.join(dfreq, "tok").groupBy(id_col, "pos")
+              .agg((F.sum(F.col("df") * F.col("n")).cast("double") / F.sum("n")).alias("score")))
     best = scored.groupBy(id_col).agg(F.max(F.struct("score", (-F.col("pos")).alias("neg_pos"))).alias("b"))
     best = best.select(id_col, F.col("b.score").alias("score"), (-F.col("b.neg_pos")).alias("pos"))
-    return (best.hint("shuffle_hash").join(sents, [id_col, "pos"])
+    return (best.join(sents, [id_col, "pos"])
                 .select(id_col, F.col("sentence").alias("summary"), F.round("score", 6).alias("score")))
 
 
@@ -175,7 +173,7 @@ def enrich_with(df: DataFrame, text_col: str, fn: Callable[[pd.Series], pd.Serie
     if not dedupe:
         return df.withColumn(out_col, udf(F.col(text_col)))
     key = F.xxhash64(F.col(text_col))
-    distinct = df.select(key.alias("_h"), F.col(text_col).alias("_t")).distinct()
+    distinct = df.filter(F.col(text_col).isNotNull()).select(key.alias("_h"), F.col(text_col).alias("_t")).distinct()
     answers = distinct.select(F.col("_h").alias("_ah"), "_t", udf(F.col("_t")).alias(out_col))
     return (df.withColumn("_h", key)
               .join(answers, (F.col("_h") == F.col("_ah")) & (F.col(text_col) == F.col("_t")), "left")
@@ -186,11 +184,11 @@ def translate_route(df: DataFrame, text_col: str, lang_col: str,
                     fn: Callable[[pd.Series], pd.Series], target: str = "en",
                     out_col: str = "english_text") -> DataFrame:
     """T5: only rows whose language differs from ``target`` go through the
-    translator; the rest pass through unchanged."""
-    other = df.filter(F.col(lang_col) != target)
-    same = df.filter(~(F.col(lang_col) != target) | F.col(lang_col).isNull())
-    done = enrich_with(other, text_col, fn, out_col)
-    return done.unionByName(same.withColumn(out_col, F.col(text_col)))
+    translator; the rest pass through unchanged. One frame: what is not to be
+    translated is NULL for the translator, which is joined back by text."""
+    sent = F.when(F.col(lang_col) != target, F.col(text_col))
+    done = enrich_with(df.withColumn("_sent", sent), "_sent", fn, "_answer")
+    return done.withColumn(out_col, F.when(F.col("_sent").isNull(), F.col(text_col)).otherwise(F.col("_answer"))).drop("_sent", "_answer")
 
 
 def stand_in_translator(s: pd.Series) -> pd.Series:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.functions import money
-from cairn.operators.relational import dimension, filter_optional_equal, top_n_per_group
+from cairn.operators.relational import dimension, everyone, filter_optional_equal, top_n_per_group
 from cairn.session import read_table
 
 LATE_AFTER_DAYS = 60
@@ -53,6 +53,12 @@ def customer_rollup(spark: SparkSession, root: str, target_segment: str | None =
         "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     if min_order_date is not None:
         orders = orders.filter(F.col("o_orderdate") >= F.lit(str(min_order_date)).cast("timestamp_ntz"))
+    customer = filter_optional_equal(
+        read_table(spark, root, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"),
+        "c_mktsegment", target_segment)
+    if not everyone(target_segment):  # the segment's orders only, before the fact join
+        wanted = customer.select(F.col("c_custkey").alias("o_custkey"))
+        orders = orders.join(wanted, "o_custkey", "left_semi")
     lineitem = read_table(spark, root, "lineitem").select(
         "l_orderkey", "l_extendedprice", "l_discount", "l_shipdate")
     lines = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -63,9 +69,6 @@ def customer_rollup(spark: SparkSession, root: str, target_segment: str | None =
         *money.split_sum(money.cents("o_totalprice"), "ov"),   # 1e-2 units
         F.sum(is_late()).alias("late"),
     )
-    customer = filter_optional_equal(
-        read_table(spark, root, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"),
-        "c_mktsegment", target_segment)
     nation = dimension(read_table(spark, root, "nation").select("n_nationkey", "n_regionkey"), "nation")
     region = dimension(read_table(spark, root, "region").select("r_regionkey", "r_name"), "region")
     return (per_customer

@@ -87,7 +87,8 @@ def write_version(df: DataFrame, root: str, fmt: str = "parquet",
 
 
 def vacuum(spark: SparkSession, root: str, keep: int = 2) -> int:
-    """Remove all but the newest ``keep`` committed versions."""
+    """Remove all but the newest ``keep`` committed versions. A reader that
+    is still on an older one fails: keep as many as the longest read lasts."""
     fs, _ = _fs(spark, root)
     jvm = spark.sparkContext._jvm
     old = _versions(spark, root)[:-keep] if keep else _versions(spark, root)
@@ -110,15 +111,15 @@ def overwrite(df: DataFrame, root: str, fmt: str = "parquet") -> str:
 
 
 def append(df: DataFrame, root: str, fmt: str = "parquet") -> str:
-    """K2: append rows. The new version is the union of the current rows and
-    the new ones written as a fresh version, so readers of the old version
-    are unaffected. For append-only logs that are never rewritten, prefer
-    ``append_files``, which writes only the new rows."""
+    """K2: append rows: new files are added to the current version, whose
+    files stay as they are (a reader that listed them before is unaffected).
+    Nothing stored is read or written again."""
     spark = df.sparkSession
-    if exists(spark, root):
-        cur = read_current(spark, root, fmt)
-        df = cur.unionByName(df.select(*cur.columns))
-    return write_version(df, root, fmt)
+    path = current_version(spark, root)
+    if path is None:
+        return write_version(df, root, fmt)
+    append_files(df.select(*spark.read.format(fmt).load(path).columns), path, fmt)
+    return path
 
 
 def append_files(df: DataFrame, path: str, fmt: str = "parquet") -> None:

@@ -11,7 +11,7 @@ from tests.conftest import SF_SMALL
 
 def test_sales_refresh_idempotent_and_audited(spark, tmp_dir):
     msg = refresh_sales_analytics(spark, SF_SMALL, tmp_dir, "BUILDING", "1997-01-01", 5)
-    assert msg.startswith("Refreshed 5 segment rows")
+    assert msg.startswith("5 segments and ")
     summary = writers.read_current(spark, f"{tmp_dir}/sales_summary")
     assert summary.count() == 5
     assert {r["market_segment"] for r in summary.collect()} == {"BUILDING"}
