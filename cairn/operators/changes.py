@@ -200,6 +200,21 @@ def apply_changes(current: DataFrame, last: DataFrame, new: DataFrame, keys: Seq
     return current.join(touched, same, "left_anti").unionByName(new.select(*current.columns))
 
 
+def refresh_layer(current: DataFrame, feed: DataFrame, keys: Sequence[str],
+                  transform, time_col: str = "changed_at") -> tuple[DataFrame, DataFrame]:
+    """One layer of a chain brought up to date from the changes of the
+    layer before: the last change of each key is applied, and only rows that
+    changed go through ``transform`` (which may drop some). Returns the new
+    state and the layer's own changes, the feed of the next layer."""
+    last = last_changes(feed, keys, time_col)
+    data = [c for c in feed.columns if c not in (ACTION, IS_UPDATE, ROW_ID, time_col)]
+    new = transform(last.filter(F.col(ACTION) == INSERT).select(*data)).select(*current.columns)
+    touched = last.select(*[F.col(k).alias(f"_t_{k}") for k in keys], time_col)
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys))
+    timed = lambda df, action: df.join(touched, same).select(*current.columns, F.lit(action).alias(ACTION), time_col)
+    return apply_changes(current, last, new, keys), timed(current, DELETE).unionByName(timed(new, INSERT))
+
+
 # ------------------------------------------------------------- C11, C12
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cairn.functions import scalars
+from cairn.operators import changes as ch
 from cairn.operators import text as tx
 from cairn.plans.registry import register
 from cairn.session import read_table
@@ -177,3 +178,51 @@ def enriched_table(spark, root):
                  "category", "route_to")
     return tx.translate_route(d, "text", "lang", tx.stand_in_translator).select(
         "doc_id", "lang", "english_text", "sentiment_score", "sentiment_label", "category", "route_to")
+
+
+_AFTER = """
+WITH after AS (
+  SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN 'good thanks ' || text ELSE text END AS text, lang, source
+  FROM documents WHERE doc_id % 5 <> 0),"""
+
+
+def _document_changes(spark, root):
+    """Two states of ``documents`` (rows gone, new and changed) and the feed between them."""
+    d = read_table(spark, root, "documents").select("doc_id", "text", "lang", "source")
+    changed = F.when(F.col("doc_id") % 11 == 0, F.concat(F.lit("good thanks "), "text")).otherwise(F.col("text"))
+    before, after = d.filter("doc_id % 7 <> 0"), d.filter("doc_id % 5 <> 0").withColumn("text", changed)
+    return before, ch.change_feed(before, after, ["doc_id"]).withColumn("changed_at", F.lit(1))
+
+
+def _scored(df):
+    return tx.with_sentiment(tx.with_tokens(df, "text"), "_tok")
+
+
+@register("incremental_enriched", oracle=_AFTER + _SENTIMENT[6:].replace("FROM documents", "FROM after")
+          + "SELECT doc_id, sentiment_score FROM scores")
+def incremental_enriched(spark, root):
+    """A scored table brought up to date by scoring changed rows only;
+    equals a recompute over the new state."""
+    before, feed = _document_changes(spark, root)
+    score = lambda df: _scored(df).select("doc_id", "sentiment_score")
+    return ch.refresh_layer(score(before), feed, ["doc_id"], score)[0]
+
+
+@register("ticket_chain", oracle=_AFTER + _SENTIMENT[6:].replace("FROM documents", "FROM after").replace("d.lang, d.text", "d.lang, d.source, d.text")
+          .rstrip() + "," + _labels_sql("category", tx.CATEGORIES, list(tx.CATEGORIES)[-1]).replace("FROM documents", "FROM after") + """
+SELECT s.doc_id AS ticket_id, upper(s.source) AS channel, s.lang, s.sentiment_score, c.category,
+       CASE WHEN s.sentiment_score < -0.3 THEN 'HIGH' WHEN s.sentiment_score < 0.3 THEN 'MEDIUM' ELSE 'LOW' END AS priority
+FROM scores s JOIN category c USING (doc_id) WHERE s.lang <> 'de'""")
+def ticket_chain(spark, root):
+    """Clean, enriched and served layers, each refreshed from the changes
+    of the one before (German rows leave in the clean layer)."""
+    before, feed = _document_changes(spark, root)
+    clean = lambda df: df.filter("lang <> 'de'").withColumn("source", F.upper("source"))
+    enrich = lambda df: tx.with_label(_scored(df), "_tok", tx.CATEGORIES, "category").select(
+        "doc_id", "source", "lang", "sentiment_score", "category")
+    serve = lambda df: df.withColumn("priority", scalars.priority_band(F.col("sentiment_score")))
+    state = before
+    for layer in (clean, enrich, serve):
+        state = layer(state)
+        current, feed = ch.refresh_layer(state, feed, ["doc_id"], layer)
+    return current.select(F.col("doc_id").alias("ticket_id"), F.col("source").alias("channel"), "lang", "sentiment_score", "category", "priority")
