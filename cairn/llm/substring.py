@@ -79,6 +79,8 @@ def cells_of(anchors: np.ndarray, row: int, cells: int) -> np.ndarray:
 
 def sketch_of(docs: DataFrame, runs, cells: int) -> bytes:
     """The merged sketch as bits: 1 where a cell counts at least two."""
+    if cells & (cells - 1) or cells < 8 * SHARDS:
+        raise ValueError(f"cells must be a power of two of at least {8 * SHARDS}")
     wide = cells // SHARDS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

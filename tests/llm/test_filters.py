@@ -105,7 +105,7 @@ def test_archives_round_trip(spark):
     assert warc.round_trip(pages(spark, rows).limit(0)).count() == 0
 
 
-def test_archive_layout():
+def test_archive_layout(tmp_path):
     """Dictionary in a leading skippable frame; each record is a frame of its own."""
     import struct
 
@@ -113,7 +113,7 @@ def test_archive_layout():
     from pyarrow import fs
 
     records = [warc.page_record(i, f"http://h/{i}", (f"<html><p>common words and more {i}</p>" * 30).encode(), None) for i in range(300)]
-    system, path = fs._MockFileSystem() if hasattr(fs, "_MockFileSystem") else fs.LocalFileSystem(), "/tmp/cairn-archive-layout.warc.zst"
+    system, path = fs.LocalFileSystem(), f"{tmp_path}/one.warc.zst"
     archive = warc.Archive(system, path, records[:200])
     for r in records[200:]:
         archive.add(r)
