@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm import bpe, classifier, embeddings, minhash, packing, quality_rules, substring, token_orc, urls, warc
+from cairn.llm import bpe, classifier, embeddings, minhash, packing, quality_rules, substring, token_orc, twins, urls, warc
 from cairn.session import read_table
 
 
@@ -57,7 +57,13 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_bpe, op3_packing, op4_quality_rules, op5_substring_dedup, op6_token_orc, op7_embedding_dedup, op8_warc, op9_quality_classifier, op10_url_filter)}
-ORACLES = {"op4_quality_rules": quality_rules.oracle(), "op10_url_filter": urls.oracle()}
+ORACLES = {
+    "op1_minhash_dedup": twins.MINHASH,
+    "op4_quality_rules": quality_rules.oracle(),
+    "op5_substring_dedup": twins.SUBSTRING,
+    "op7_embedding_dedup": twins.EMBEDDINGS,
+    "op10_url_filter": urls.oracle(),
+}
 ORACLES["op8_warc"] = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
 d AS (SELECT page_id, octet_length(payload) AS n, sha1(payload) AS digest FROM p),
