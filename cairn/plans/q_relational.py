@@ -6,14 +6,13 @@ from __future__ import annotations
 
 import uuid
 
-
 from pyspark.sql import functions as F
 
 from cairn.functions import money, scalars
 from cairn.operators.predicates import not_in_subquery
 from cairn.operators.ordered import rank_global, row_number_within
 from cairn.plans.registry import register
-from cairn.session import read_table
+from cairn.session import checkpoint_dir, read_table
 from cairn.sources import writers
 
 
@@ -317,10 +316,11 @@ def count_sum_global(spark, root):
 
 @register("mv_revenue_by_status", oracle=_REV_BY.format(k="o_orderstatus"))
 def mv_revenue_by_status(spark, root):
-    """A stored aggregate, refreshed by recompute and an atomic pointer
-    swap (no in-place overwrite of files being read)."""
-    from cairn.session import checkpoint_dir
-    path = f"{checkpoint_dir(spark)}/mv_revenue_by_status"
+    """A stored aggregate, refreshed by recompute and published as a new
+    version (no in-place overwrite of files being read). Storing is the
+    feature, so this query writes when it is built, each run in a folder of
+    its own."""
+    path = f"{checkpoint_dir(spark)}/mv_revenue_by_status-{uuid.uuid4().hex}"
     writers.refresh_materialized(_revenue_by(spark, root, "o_orderstatus"), path)
     return writers.read_current(spark, path)
 

@@ -130,21 +130,23 @@ def summarize_extract(spark, root):
 SELECT doc_id,
        regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]+')[1] AS email_answer,
        regexp_extract_all(text, '[0-9]{3}-[0-9]{4}')[1] AS phone_answer,
-       CAST(len(regexp_extract_all(text, '[0-9]{3}-[0-9]{4}')) AS INTEGER) AS phone_answers
+       CAST(len(regexp_extract_all(text, '[0-9]{3}-[0-9]{4}')) AS INTEGER) AS phone_answers,
+       regexp_extract_all(text, '(?i)order\s*(?:number\s*)?#?\s*([0-9]+)', 1)[1] AS order_answer
 FROM documents
-WHERE len(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]+')) > 0
+WHERE len(regexp_extract_all(text, '(?i)order\s*(?:number\s*)?#?\s*([0-9]+)')) > 0 OR len(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]+')) > 0
    OR len(regexp_extract_all(text, '[0-9]{3}-[0-9]{4}')) > 0""")
 def extract_answer(spark, root):
-    """T4: first answer of EXTRACT_ANSWER for two question types (e-mail,
-    phone), over documents that answer either."""
+    """T4: first answer of EXTRACT_ANSWER for three question types (e-mail,
+    phone, order number), over documents that answer any."""
     d = _docs(spark, root)
     t = F.col("text")
-    emails, phones = tx.extract_answers(t, "email"), tx.extract_answers(t, "phone")
-    return (d.select("doc_id", emails.alias("e"), phones.alias("p"))
-             .filter((F.size("e") > 0) | (F.size("p") > 0))
+    emails, phones, orders = (tx.extract_answers(t, k) for k in ("email", "phone", "order"))
+    return (d.select("doc_id", emails.alias("e"), phones.alias("p"), orders.alias("o"))
+             .filter((F.size("e") > 0) | (F.size("p") > 0) | (F.size("o") > 0))
              .select("doc_id", F.try_element_at("e", F.lit(1))["answer"].alias("email_answer"),
                      F.try_element_at("p", F.lit(1))["answer"].alias("phone_answer"),
-                     F.size("p").alias("phone_answers")))
+                     F.size("p").alias("phone_answers"),
+                     F.try_element_at("o", F.lit(1))["answer"].alias("order_answer")))
 
 
 @register("translate_route", oracle="""
