@@ -1,25 +1,24 @@
 """Token ids of whole texts by a byte-level BPE file of the tokenizers library.
 
-Its pattern never matches across a space that follows a non-space, so a text
-may be cut before every such space and its chunks encoded one by one. Tasks
+Its pattern never matches across the start of white space that follows a
+non-space, so a text may be cut there and its chunks encoded one by one. Tasks
 remember the ids of the first chunks they meet and send only new ones to the
-library, in one call a batch.
+library, many in one call.
 """
 
 from __future__ import annotations
 
 import os
 import re
-
-import numpy as np
+from array import array
 
 #: Chunks a task remembers, and the longest one it does.
-CHUNK_CACHE, CHUNK_CHARS = 500_000, 48
+CHUNK_CACHE, CHUNK_CHARS = 200_000, 48
 #: Texts that are encoded together hold so many characters, or are one text.
-CHARS_AT_ONCE = 4_000_000
+CHARS_AT_ONCE = 1_000_000
 
-_GAP = re.compile(r"(?<=\S) ")
-_ODD_GAP = re.compile(r"\s |^ ")
+_BEFORE_SPACE = re.compile(r"(?<=\S)(?=[ \t\n\r\x0b\x0c])")
+_DOUBLE_SPACE = re.compile(r"\s\s")
 
 
 def read_vocabulary(path: str) -> str:
@@ -29,8 +28,18 @@ def read_vocabulary(path: str) -> str:
 
 
 def chunks(text: str) -> list[str]:
-    """The text before its first cut, then what follows each cut's space."""
-    return _GAP.split(text) if _ODD_GAP.search(text) else text.split(" ")
+    """The text up to its first cut, then a key for every further chunk: the
+    chunk without its one space, or as it is after a line break; chunks that
+    start with other white space keep it, behind a space as a mark."""
+    if not _DOUBLE_SPACE.search(text):
+        return text.replace("\n", " \n").split(" ")
+    head, *rest = _BEFORE_SPACE.split(text)
+    plain = lambda c: c[0] in " \n" and not c[1:2].isspace() and len(c) > 1
+    return [head, *((c[1:] if c[0] == " " else c) if plain(c) else f" {c}" for c in rest)]
+
+
+def chunk_of(key: str) -> str:
+    return key if key.startswith("\n") else key[1:] if key.startswith(" ") else f" {key}"
 
 
 class Encoder:
@@ -44,12 +53,12 @@ class Encoder:
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        return [array("I", x.ids).tobytes() for x in found]
 
     def _few(self, texts: list[str]) -> list[bytes]:
         cut = [chunks(t) for t in texts]
         new = {c for parts in cut for c in parts[1:]} - self.known.keys()
-        fresh = dict(zip(new, self._encode([f" {c}" for c in new]), strict=True))
+        fresh = dict(zip(new, self._encode([chunk_of(c) for c in new]), strict=True))
         heads = self._encode([parts[0] for parts in cut])
         known = self.known
         of = lambda c: known[c] if c in known else fresh[c]
