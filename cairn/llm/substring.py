@@ -13,10 +13,13 @@ about one run for 14 windows, and no window occurs twice inside a run.
    is broadcast, whatever the corpus. A fuller sketch lets more through and
    loses nothing; ``cells`` is the knob for larger corpora.
 2. The second pass emits only runs whose anchor is estimated repeated, and
-   groups them exactly: whole runs by (anchor, hash of the run), then, where
-   an anchor has different runs, their single windows by (anchor, window
-   hash) - 128 bits, sums of partial counts, no group collected.
-3. Starts of repeated windows go back to their documents.
+   groups whole runs exactly by (anchor, hash of the run): equal runs settle
+   all their windows at once.
+3. Anchors that have different runs are marked in a bitmap of the same size.
+   A third pass emits the window hashes of those runs alone, and groups them
+   exactly by (anchor, window hash) - 128 bits, sums of partial counts, no
+   group collected.
+4. Starts of repeated windows go back to their documents.
 
 Defined cases: NULL or empty text has no words and keeps nothing; texts of
 fewer than 35 words are kept whole; rows that repeat count as further
@@ -27,7 +30,7 @@ empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +46,7 @@ DEPTH = 2
 CELLS = 1 << 27
 SHARDS = 64
 #: Anchors a task counts before it emits a partial sketch.
-FLUSH = 2_000_000
+FLUSH = 500_000
 
 
 class Runs:
@@ -55,17 +58,24 @@ class Runs:
         self.hashes, self.grams, self.windows, self.spans = WordHashes(), _odd(rng, gram), _odd(rng, window), _odd(rng, window)
 
     def __call__(self, text: str | None):
-        """Anchors, first starts, lengths, and all windows' hashes; None for short texts."""
+        """Anchors, first starts, lengths, first start minus anchor, and word hashes; None for short texts."""
         words = (text or "").encode("utf-8", "surrogatepass").split()
         n = len(words) - self.window + 1
         if n < 1:
             return None
         w = np.fromiter(map(self.hashes.__getitem__, words), np.uint64, len(words))
-        sums = lambda factors, size: sum((w[i : i + size] * f for i, f in enumerate(factors)), np.uint64(0))
-        grams = mixed(sums(self.grams, len(w) - self.gram + 1))
+        grams = self._sums(w, self.grams)
         at = np.arange(n) + np.lib.stride_tricks.sliding_window_view(grams, self.window - self.gram + 1).argmin(1)
         first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-        return grams[at[first]], first, np.diff(np.r_[first, n]), mixed(sums(self.windows, n)), first - at[first]
+        return grams[at[first]], first, np.diff(np.r_[first, n]), first - at[first], w
+
+    @staticmethod
+    def _sums(w: np.ndarray, factors: np.ndarray) -> np.ndarray:
+        size = len(w) - len(factors) + 1
+        return mixed(sum((w[i : i + size] * f for i, f in enumerate(factors)), np.uint64(0)))
+
+    def window_hashes(self, w: np.ndarray) -> np.ndarray:
+        return self._sums(w, self.windows)
 
     def span_hashes(self, first: np.ndarray, length: np.ndarray, offset: np.ndarray, windows: np.ndarray) -> np.ndarray:
         """A hash of each run: its windows in order and its place at the anchor."""
@@ -77,43 +87,43 @@ def cells_of(anchors: np.ndarray, row: int, cells: int) -> np.ndarray:
     return (mixed(anchors + np.uint64(row + 1)) & np.uint64(cells - 1)).astype(np.int64)
 
 
-def sketch_of(docs: DataFrame, runs, cells: int) -> bytes:
-    """The merged sketch as bits: 1 where a cell counts at least two."""
+def partial_bits(anchors: np.ndarray, cells: int) -> Iterator[tuple[int, bytes]]:
+    """(shard, cells met there with whether more than once) of a task's anchors."""
+    wide = cells // SHARDS
+    for row in range(DEPTH):
+        cell, n = np.unique(cells_of(anchors, row, cells), return_counts=True)
+        cuts = np.searchsorted(cell, np.arange(0, cells + 1, wide))
+        for s, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            if hi > lo:
+                yield row * SHARDS + s, ((cell[lo:hi] - s * wide) * 2 + (n[lo:hi] > 1)).astype(np.uint32).tobytes()
+
+
+def merged_bits(rows: DataFrame, anchors_of: Callable[[], Callable[[pa.RecordBatch], Iterator[np.ndarray]]], cells: int, least: int) -> bytes:
+    """The merged sketch of all anchors as bits: 1 where a cell counts ``least`` or more."""
     if cells & (cells - 1) or cells < 8 * SHARDS:
         raise ValueError(f"cells must be a power of two of at least {8 * SHARDS}")
     wide = cells // SHARDS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, held, size = runs(), [], 0
-
-        def partial():
-            anchors = np.concatenate(held)
-            for row in range(DEPTH):
-                cell, n = np.unique(cells_of(anchors, row, cells), return_counts=True)
-                cuts = np.searchsorted(cell, np.arange(0, cells + 1, wide))
-                for s, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-                    if hi > lo:
-                        blob = ((cell[lo:hi] - s * wide) * 2 + (n[lo:hi] > 1)).astype(np.uint32)
-                        yield row * SHARDS + s, blob.tobytes()
-
-        def batch_of(rows):
-            shard, blob = zip(*rows, strict=True)
+        find, held, size = anchors_of(), [], 0
+
+        def partial() -> pa.RecordBatch:
+            shard, blob = zip(*partial_bits(np.concatenate(held), cells), strict=True)
             return pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), pa.array(blob, pa.binary())], names=["shard", "blob"])
 
         for batch in batches:
-            for text in batch.column("text"):
-                if found := find(text.as_py()):
-                    held.append(found[0])
-                    size += len(found[0])
+            for anchors in find(batch):
+                held.append(anchors)
+                size += len(anchors)
                 if size >= FLUSH:
-                    yield batch_of(list(partial()))
+                    yield partial()
                     held, size = [], 0
         if size:
-            yield batch_of(list(partial()))
+            yield partial()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, counts = None, np.zeros(wide, np.uint8)
-        done = lambda: pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([np.packbits(counts > 1).tobytes()], pa.binary())], names=["shard", "bits"])
+        done = lambda: pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([np.packbits(counts >= least).tobytes()], pa.binary())], names=["shard", "bits"])
         for batch in batches:
             for shard, blob in zip(batch.column("shard").to_pylist(), batch.column("blob"), strict=True):
                 if shard != now:
@@ -125,52 +135,75 @@ def sketch_of(docs: DataFrame, runs, cells: int) -> bytes:
         if now is not None:
             yield done()
 
-    merged = (docs.select("text").mapInArrow(count, "shard int, blob binary").repartition(DEPTH * SHARDS, "shard")
+    merged = (rows.mapInArrow(count, "shard int, blob binary").repartition(DEPTH * SHARDS, "shard")
               .sortWithinPartitions("shard").mapInArrow(merge, "shard int, bits binary"))
     by_shard = {r.shard: bytes(r.bits) for r in merged.collect()}  # DEPTH * cells bits at most
     return b"".join(by_shard.get(s, bytes(wide // 8)) for s in range(DEPTH * SHARDS))
 
 
-def suspected(docs: DataFrame, runs, cells: int) -> DataFrame:
-    """Runs whose anchor the sketch counts at least twice."""
-    shared = docs.sparkSession.sparkContext.broadcast(sketch_of(docs, runs, cells))
+def marked(bits: np.ndarray, anchors: np.ndarray, cells: int) -> np.ndarray:
+    """Which anchors have all their cells set."""
+    keep = np.ones(len(anchors), bool)
+    for row in range(DEPTH):
+        cell = cells_of(anchors, row, cells) + row * cells
+        keep &= (bits[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8) & 1).astype(bool)
+    return keep
+
+
+def marked_runs(docs: DataFrame, runs, bits: bytes, cells: int, hashes: bool) -> DataFrame:
+    """Runs whose anchor is marked: id, print, anchor, span, start, length, and
+    with ``hashes`` the hashes of their windows."""
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+    names = ["id", "print", "anchor", "span", "start", "length", *(["hashes"] if hashes else [])]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, bits = runs(), np.frombuffer(shared.value, np.uint8)
+        find, held = runs(), np.frombuffer(shared.value, np.uint8)
+        longs = lambda xs: pa.array(np.concatenate(xs).view(np.int64))
         for batch in batches:
-            rows, anchors, spans, starts, lengths, hashes = [], [], [], [], [], []
+            rows, anchors, spans, starts, lengths, each = [], [], [], [], [], []
             for i, text in enumerate(batch.column("text")):
                 if not (found := find(text.as_py())):
                     continue
-                anchor, first, length, windows, offset = found
-                keep = np.ones(len(anchor), bool)
-                for row in range(DEPTH):
-                    cell = cells_of(anchor, row, cells) + row * cells
-                    keep &= (bits[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8) & 1).astype(bool)
-                if keep.any():
-                    span = find.span_hashes(first, length, offset, windows)
-                    rows.append(np.full(keep.sum(), i))
-                    for out, x in ((anchors, anchor), (spans, span), (starts, first), (lengths, length)):
-                        out.append(x[keep])
-                    hashes.append(windows[np.repeat(keep, length)])
+                anchor, first, length, offset, w = found
+                keep = marked(held, anchor, cells)
+                if not keep.any():
+                    continue
+                windows = find.window_hashes(w)
+                span = find.span_hashes(first, length, offset, windows)
+                rows.append(np.full(keep.sum(), i))
+                for out, x in ((anchors, anchor), (spans, span), (starts, first), (lengths, length)):
+                    out.append(x[keep])
+                if hashes:
+                    each.append(windows[np.repeat(keep, length)])
             if rows:
-                of, size = np.concatenate(rows), np.concatenate(lengths)
-                longs = lambda xs: pa.array(np.concatenate(xs).view(np.int64))
-                each = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(size)].astype(np.int32)), longs(hashes))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").take(pa.array(of)), batch.column("print").take(pa.array(of)), longs(anchors), longs(spans),
-                     pa.array(np.concatenate(starts).astype(np.int32)), pa.array(size.astype(np.int32)), each],
-                    names=["id", "print", "anchor", "span", "start", "length", "hashes"])
+                of, size = pa.array(np.concatenate(rows)), np.concatenate(lengths)
+                columns = [batch.column("id").take(of), batch.column("print").take(of), longs(anchors), longs(spans),
+                           pa.array(np.concatenate(starts).astype(np.int32)), pa.array(size.astype(np.int32))]
+                if hashes:
+                    columns.append(pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(size)].astype(np.int32)), longs(each)))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return docs.mapInArrow(emit, "id long, print long, anchor long, span long, start int, length int, hashes array<long>")
+    schema = "id long, print long, anchor long, span long, start int, length int" + ", hashes array<long>" * hashes
+    return docs.mapInArrow(emit, schema)
 
 
-def repeated_stretches(runs: DataFrame) -> DataFrame:
+def repeated_stretches(docs: DataFrame, runs, cells: int) -> DataFrame:
     """(id, print, start, length): windows that occur more than once."""
-    spans = staged(runs.groupBy("anchor", "span").agg(F.count("*").alias("n")), "spans")
-    whole = runs.join(spans.filter("n > 1").select("anchor", "span"), ["anchor", "span"]).select("id", "print", "start", "length")
-    several = staged(spans.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1").select("anchor"), "anchors")
-    differing = runs.join(several, "anchor")
+
+    def in_texts():
+        find = runs()
+        return lambda batch: (found[0] for text in batch.column("text") if (found := find(text.as_py())))
+
+    def in_rows():
+        return lambda batch: iter([batch.column("anchor").to_numpy().view(np.uint64)])
+
+    bits = merged_bits(docs.select("text"), in_texts, cells, 2)
+    suspected = staged(marked_runs(docs, runs, bits, cells, False), "runs")
+    spans = staged(suspected.groupBy("anchor", "span").agg(F.count("*").alias("n")), "spans")
+    whole = suspected.join(spans.filter("n > 1").select("anchor", "span"), ["anchor", "span"]).select("id", "print", "start", "length")
+    several = spans.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1").select("anchor")
+    bits = merged_bits(several, in_rows, cells, 1)
+    differing = staged(marked_runs(docs, runs, bits, cells, True), "differing")
     again = staged(differing.select("anchor", F.explode("hashes").alias("hash")).groupBy("anchor", "hash")
                    .agg(F.count("*").alias("n")).filter("n > 1").select("anchor", "hash"), "windows")
     single = differing.join(spans.filter("n = 1").select("anchor", "span"), ["anchor", "span"])
@@ -187,9 +220,9 @@ def cut_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", window:
     other columns named there."""
     docs = df.select(F.col(key).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("print"), F.col(text).cast("string").alias("text"),
                      F.struct(*(carry or [F.lit(None).cast("int").alias("none")])).alias("row"))
-    runs = staged(suspected(docs.drop("row"), lambda: Runs(window, gram), cells), "runs")
+    stretches = repeated_stretches(docs.drop("row"), lambda: Runs(window, gram), cells)
     # a document's own stretches, at most its own words
-    cuts = repeated_stretches(runs).groupBy("id", "print").agg(F.collect_set(F.struct("start", "length")).alias("cuts"))
+    cuts = stretches.groupBy("id", "print").agg(F.collect_set(F.struct("start", "length")).alias("cuts"))
     cuts = staged(cuts, "cuts").withColumnsRenamed({"id": "cut_id", "print": "cut_print"})
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
