@@ -37,6 +37,7 @@ ROUNDS, HELD_OUT = 4, 0.25
 #: Pool documents of a class a view hands over each round, and how sure it must be.
 HANDED, SURE = 300, 0.98
 WORD_BINS, SOURCE_BINS, LANG_BINS = 256, 64, 16
+ROWS_AT_ONCE = 500
 #: Documents less likely good than this are rejected.
 KEEP_FROM = 0.1
 
@@ -149,6 +150,13 @@ def co_train(content: np.ndarray, meta: np.ndarray, label: np.ndarray) -> Model:
     return Model(weights, lines, logistic(np.stack(logits, 1), y, 0.1))
 
 
+def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of ``ROWS_AT_ONCE`` rows, to bound a task's memory."""
+    for batch in batches:
+        for at in range(0, len(batch), ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
+
+
 def _features(batch: pa.RecordBatch, content: Content, meta: Metadata) -> tuple[np.ndarray, np.ndarray]:
     x = np.array([content(t) for t in batch.column("text").to_pylist()]).reshape(-1, Content.size)
     m = np.array([meta(*r) for r in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "n_chars")), strict=True)])
@@ -164,7 +172,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         content, meta = Content(), Metadata()
-        for batch in batches:
+        for batch in parts(batches):
             x, m = _features(batch, content, meta)
             rows = lambda a: pa.array([r.astype(np.float32).tobytes() for r in a], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), rows(x), rows(m)], names=["id", "label", "x", "m"])
@@ -186,7 +194,7 @@ def score(df: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "q
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         content, meta = Content(), Metadata()
-        for batch in batches:
+        for batch in parts(batches):
             found = model.scores(*_features(batch, content, meta))
             yield pa.RecordBatch.from_arrays([batch.column("id"), *map(pa.array, found), pa.array(found[2] >= keep_from), batch.column("row")],
                                              names=[key, "content_score", "metadata_score", "quality_score", "kept", "row"])

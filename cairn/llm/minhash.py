@@ -48,7 +48,7 @@ SKETCH_LONGS = 2 * PERMUTATIONS // 64
 AGREE = (1 + THRESHOLD / 100) / 2
 SKETCH_LIMIT = int((1 - AGREE + 3.5 * (AGREE * (1 - AGREE) / (2 * PERMUTATIONS)) ** 0.5) * 2 * PERMUTATIONS)
 #: Words a task remembers the hash of.
-WORD_CACHE = 500_000
+WORD_CACHE = 120_000
 
 
 def _odd(rng: np.random.Generator, n: int) -> np.ndarray:
