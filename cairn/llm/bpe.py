@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding from a file of ranks.
 
 1. Words (matches of the pattern) of all documents are counted by Spark, and
-   the ``KNOWN`` most frequent distinct ones, at most ``LONG`` bytes each, are
+   the most frequent distinct ones, at most ``KNOWN`` of ``LONG`` bytes, are
    encoded with higher-order functions: an aggregate folds ranked merges over
    the word's array of bytes; ranks come from a literal map, held as an array
    of hash buckets so that a look-up reads one bucket.
@@ -85,10 +85,17 @@ def folded(word: Column, ranks: dict[bytes, int]) -> Column:
 
 
 def frequent_words(df: DataFrame, text: str, pattern: str, known: int = KNOWN) -> DataFrame:
-    """The most frequent distinct words of all texts; ties by the word."""
+    """The distinct words, counted over all texts, from the least power of two
+    of occurrences that leaves at most ``known`` of them. (No global sort: the
+    driver sees how many words each power has.)"""
     found = df.select(F.explode(F.regexp_extract_all(text, F.lit(spark_pattern(pattern)), F.lit(0))).alias("word"))
     counts = found.groupBy("word").agg(F.count("*").alias("n")).filter(F.octet_length("word").between(1, LONG))
-    return counts.orderBy(F.desc("n"), "word").limit(known).select("word")
+    powers = staged(counts.select("word", F.floor(F.log2("n")).cast("int").alias("power")), "words")
+    sizes = {r.power: r.n for r in powers.groupBy("power").agg(F.count("*").alias("n")).collect()}  # at most 63
+    least = max(sizes, default=0) + 1
+    while sizes and least > 0 and sum(n for p, n in sizes.items() if p >= least - 1) <= known:
+        least -= 1
+    return powers.filter(F.col("power") >= least).select("word")
 
 
 def merged(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -117,8 +124,9 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id", te
     """One row per input row: key, n_tokens, ids (unsigned 32-bit, little-endian)."""
     ranks = read_ranks(ranks_path)
     docs = df.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    words = staged(frequent_words(docs, "text", pattern, known), "words")
-    rows = words.select("word", folded(F.col("word"), ranks).alias("ids")).toArrow()  # at most ``known`` words
+    words = frequent_words(docs, "text", pattern, known)
+    tasks = 4 * df.sparkSession.sparkContext.defaultParallelism
+    rows = words.repartition(tasks).select("word", folded(F.col("word"), ranks).alias("ids")).toArrow()  # at most ``known`` words
     table = {w: np.array(i, "<u4").tobytes() for w, i in zip(rows["word"].to_pylist(), rows["ids"].to_pylist(), strict=True)}
     sent = df.sparkSession.sparkContext.broadcast((ranks, table))
 
