@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,11 +41,3 @@ def words(text: Column) -> Column:
 
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, ASCII_UPPER, ASCII_UPPER.lower())
-
-
-def until_stable(step: Callable[[DataFrame], tuple[DataFrame, int]], frame: DataFrame) -> DataFrame:
-    """Repeat ``step`` until it reports no change."""
-    changed = 1
-    while changed:
-        frame, changed = step(frame)
-    return frame
