@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm import bpe, classifier, embeddings, minhash, packing, quality_rules, substring, token_orc, twins, urls, warc
+from cairn.llm import bpe, classifier, divergence, embeddings, minhash, mixing, packing, quality_rules, substring, token_orc, twins, urls, variants, warc
 from cairn.session import read_table
 
 
@@ -56,13 +56,30 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(read_table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_bpe, op3_packing, op4_quality_rules, op5_substring_dedup, op6_token_orc, op7_embedding_dedup, op8_warc, op9_quality_classifier, op10_url_filter)}
+def op11_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group(read_table(spark, sf_dir, "documents"), slips=variants.SLIP)
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_minhash_dedup, op2_bpe, op3_packing, op4_quality_rules, op5_substring_dedup, op6_token_orc, op7_embedding_dedup, op8_warc,
+    op9_quality_classifier, op10_url_filter, op11_pareto_mix, op12_spelling_variants, op13_source_divergence)}
 ORACLES = {
     "op1_minhash_dedup": twins.MINHASH,
     "op4_quality_rules": quality_rules.oracle(),
     "op5_substring_dedup": twins.SUBSTRING,
     "op7_embedding_dedup": twins.EMBEDDINGS,
     "op10_url_filter": urls.oracle(),
+    "op11_pareto_mix": mixing.oracle(),
+    "op12_spelling_variants": variants.oracle(),
+    "op13_source_divergence": divergence.oracle(),
 }
 ORACLES["op8_warc"] = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),

@@ -19,4 +19,4 @@ def test_one_query_for_each_operator():
     import __spark_entry__ as entry
 
     numbers = [int(m[1]) for x in entry.queries() if (m := re.match(r"op(\d+)_", x))]
-    assert sorted(numbers) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(numbers) == list(range(1, 14)) and "pipeline" in entry.queries()
