@@ -86,7 +86,7 @@ def delete_rows(df: DataFrame, predicate: Column) -> DataFrame:
 def row_id(keys: Sequence[str]) -> Column:
     """A stable id per key: SHA-256 of the key values as text."""
     if len(keys) == 1:
-        return F.sha2(F.col(keys[0]).cast("string"), 256)
+        return F.sha2(F.coalesce(F.col(keys[0]).cast("string"), F.lit("\u0000")), 256)
     return F.sha2(F.concat_ws("\u001f", *[F.coalesce(F.col(k).cast("string"), F.lit("\u0000"))
                                           for k in keys]), 256)
 
@@ -118,6 +118,11 @@ def change_feed(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> Dat
                        F.col("_img.a").alias(ACTION), F.col(IS_UPDATE), row_id(keys).alias(ROW_ID))
 
 
+def as_inserts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """C1 for the first rows of a table: all of them are new (no join)."""
+    return df.select("*", F.lit(INSERT).alias(ACTION), F.lit(False).alias(IS_UPDATE), row_id(keys).alias(ROW_ID))
+
+
 def has_changes(feed: DataFrame) -> bool:
     """Does the feed hold any row? (stops at the first row found)."""
     return not feed.isEmpty()
@@ -166,27 +171,43 @@ def aggregate_state(df: DataFrame, keys: Sequence[str], measures: Sequence[str],
                                  *[F.count(m).alias(f"count_{m}") for m in measures])
 
 
-def refresh_aggregate(state: DataFrame, feed: DataFrame, keys: Sequence[str],
-                      measures: Sequence[str], count_col: str = "row_count") -> DataFrame:
-    """Fold a change feed into a stored COUNT / SUM aggregate.
-
+def signed_sums(feed: DataFrame, keys: Sequence[str], measures: Sequence[str], count_col: str = "row_count") -> DataFrame:
+    """A feed as one row per key: what it adds to the key's count and sums.
     Each feed row is a signed delta (+1 for INSERT, -1 for DELETE; an update
-    is its two halves). State and deltas are one union, aggregated once per
-    key: no join, NULL keys group like any other, and partial aggregation
-    leaves one row of a hot key per task. Keys whose count drops to 0
-    disappear. The result equals a recompute over the new table state."""
+    is its two halves)."""
     sign = F.when(F.col(ACTION) == INSERT, 1).otherwise(-1)
-    delta = feed.select(*keys, sign.alias(count_col), *[(sign * F.col(m)).alias(f"sum_{m}") for m in measures],
-                        *[F.when(F.col(m).isNotNull(), sign).otherwise(0).alias(f"count_{m}") for m in measures])
+    rows = feed.select(*keys, sign.alias(count_col), *[(sign * F.col(m)).alias(f"sum_{m}") for m in measures],
+                       *[F.when(F.col(m).isNotNull(), sign).otherwise(0).alias(f"count_{m}") for m in measures])
+    return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in _parts(measures, count_col)])
+
+
+def _parts(measures: Sequence[str], count_col: str) -> list[str]:
+    return [count_col, *[f"sum_{m}" for m in measures], *[f"count_{m}" for m in measures]]
+
+
+def fold(state: DataFrame, deltas: DataFrame, keys: Sequence[str], measures: Sequence[str], count_col: str = "row_count") -> DataFrame:
+    """A stored COUNT / SUM aggregate and signed sums, as the new aggregate.
+    State and deltas are one union, aggregated once per key: no join, and NULL
+    keys group like any other. Keys whose count drops to 0 disappear."""
+    parts = _parts(measures, count_col)
     total = lambda c: F.sum(c).cast(state.schema[c].dataType).alias(c)
-    parts = [count_col, *[f"sum_{m}" for m in measures], *[f"count_{m}" for m in measures]]
-    both = state.select(*keys, *parts).unionByName(delta).groupBy(*keys).agg(*map(total, parts)).filter(F.col(count_col) > 0)
+    both = state.select(*keys, *parts).unionByName(deltas.select(*keys, *parts)).groupBy(*keys).agg(*map(total, parts)).filter(F.col(count_col) > 0)
     return both.withColumns({f"sum_{m}": F.when(F.col(f"count_{m}") > 0, F.col(f"sum_{m}")) for m in measures})
 
 
+def refresh_aggregate(state: DataFrame, feed: DataFrame, keys: Sequence[str],
+                      measures: Sequence[str], count_col: str = "row_count") -> DataFrame:
+    """Fold a change feed into a stored COUNT / SUM aggregate. Partial
+    aggregation leaves one row of a hot key per task. The result equals a
+    recompute over the new table state."""
+    return fold(state, signed_sums(feed, keys, measures, count_col), keys, measures, count_col)
+
+
 def last_changes(feed: DataFrame, keys: Sequence[str], time_col: str = "changed_at") -> DataFrame:
     """The last change of every key in a feed that may hold several. Both
-    halves of an update share a time; the new row is the later one."""
+    halves of an update share a time; the new row is the later one. Feeds that
+    may share a time are told apart by a number: pass their version (as
+    ``streaming.layers`` does) or a struct of time and sequence."""
     others = [c for c in feed.columns if c not in keys]
     order = F.struct(F.col(time_col), (F.col(ACTION) == INSERT).alias("new"))
     last = feed.groupBy(*keys).agg(F.max_by(F.struct(*others), order).alias("_last"))
@@ -200,21 +221,6 @@ def apply_changes(current: DataFrame, last: DataFrame, new: DataFrame, keys: Seq
     return current.join(touched, same, "left_anti").unionByName(new.select(*current.columns))
 
 
-def refresh_layer(current: DataFrame, feed: DataFrame, keys: Sequence[str],
-                  transform, time_col: str = "changed_at") -> tuple[DataFrame, DataFrame]:
-    """One layer of a chain brought up to date from the changes of the
-    layer before: the last change of each key is applied, and only rows that
-    changed go through ``transform`` (which may drop some). Returns the new
-    state and the layer's own changes, the feed of the next layer."""
-    last = last_changes(feed, keys, time_col)
-    data = [c for c in feed.columns if c not in (ACTION, IS_UPDATE, ROW_ID, time_col)]
-    new = transform(last.filter(F.col(ACTION) == INSERT).select(*data)).select(*current.columns)
-    touched = last.select(*[F.col(k).alias(f"_t_{k}") for k in keys], time_col)
-    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys))
-    timed = lambda df, action: df.join(touched, same).select(*current.columns, F.lit(action).alias(ACTION), time_col)
-    return apply_changes(current, last, new, keys), timed(current, DELETE).unionByName(timed(new, INSERT))
-
-
 # ------------------------------------------------------------- C11, C12
 
 

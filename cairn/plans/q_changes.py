@@ -15,6 +15,9 @@ from cairn.functions import money
 from cairn.operators import changes as ch
 from cairn.plans.registry import register
 from cairn.session import read_table
+from cairn.sources import files
+from cairn.sources.keyed import KeyedTable
+from cairn.streaming.deltas import DeltaAggregate
 
 NEW_KEY_OFFSET = 1_000_000_000
 
@@ -157,6 +160,38 @@ def incremental_aggregate_nulls(spark, root):
     return new.select("custkey", "row_count", F.col("sum_amount").cast("double").alias("sum_amount"))
 
 
+@register("aggregate_of_deltas", oracle=_FEED + f"""
+SELECT o_custkey, CAST(count(*) AS BIGINT) AS row_count, {_MONEY.format(c='o_totalprice')} AS sum_amount
+FROM after GROUP BY o_custkey""")
+def aggregate_of_deltas(spark, root):
+    """C8 / C3 stored: the aggregate as a base and one delta per batch of
+    changes (by key, so an order's two halves meet in one), folded into a new base after
+    the second. Equals a recompute; the state lies in a folder of its own."""
+    before, after = order_states(spark, root)
+    amt = money.price("o_totalprice")
+    state = DeltaAggregate(files.shared_folder(spark, "aggregate"), ("o_custkey",), ("amount",))
+    state.start(before.withColumn("amount", amt))
+    feed = files.staged(ch.change_feed(before, after, ["o_orderkey"]).withColumn("amount", amt), "order-changes")
+    for batch, pick in enumerate((F.col("o_orderkey") % 3 == 0, F.col("o_orderkey") % 3 == 1, F.col("o_orderkey") % 3 == 2), start=1):
+        state.add(feed.filter(pick), batch)
+        if batch == 2:
+            state.compact(spark, share=0.0)
+    return state.read(spark).select("o_custkey", "row_count", money.to_money(F.col("sum_amount")).alias("sum_amount"))
+
+
+@register("update_touched_folders", oracle="""
+SELECT o_orderkey, CASE WHEN o_orderkey % 100 = 7 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_totalprice
+FROM orders WHERE NOT coalesce(o_orderkey % 100 = 13, false)""")
+def update_touched_folders(spark, root):
+    """K6 / K7 on a stored keyed table: an update and a delete that rewrite
+    the folders of their keys only."""
+    table = KeyedTable(files.shared_folder(spark, "orders-by-key"), ("o_orderkey",), 16)
+    table.create(read_table(spark, root, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice"))
+    table.update_where(spark, F.col("o_orderkey") % 100 == 7, {"o_orderstatus": F.lit("X")}, 1)
+    table.delete_where(spark, F.col("o_orderkey") % 100 == 13, 2)
+    return table.read(spark)
+
+
 _AS_OF = """
 WITH live AS (SELECT * FROM events WHERE ts {op} TIMESTAMP '2024-01-15 00:00:00'),
 latest AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM live)

@@ -14,6 +14,9 @@ from cairn.operators import changes as ch
 from cairn.operators import text as tx
 from cairn.plans.registry import register
 from cairn.session import read_table
+from cairn.sources import files
+from cairn.sources.keyed import KeyedTable
+from cairn.streaming.layers import Layer, Source
 
 
 def _q(s: str) -> str:
@@ -203,11 +206,16 @@ def _scored(df):
 @register("incremental_enriched", oracle=_AFTER + _SENTIMENT[6:].replace("FROM documents", "FROM after")
           + "SELECT doc_id, sentiment_score FROM scores")
 def incremental_enriched(spark, root):
-    """A scored table brought up to date by scoring changed rows only;
-    equals a recompute over the new state."""
+    """A stored scored table brought up to date by scoring changed rows
+    only and rewriting only the folders they touch; equals a recompute over
+    the new state. Storing is the feature: each run has a folder of its own."""
     before, feed = _document_changes(spark, root)
     score = lambda df: _scored(df).select("doc_id", "sentiment_score")
-    return ch.refresh_layer(score(before), feed, ["doc_id"], score)[0]
+    table = KeyedTable(files.shared_folder(spark, "incremental-enriched"), ("doc_id",), 16)
+    table.create(score(before))
+    last = files.staged(ch.last_changes(feed, ["doc_id"]), "last-changes")
+    table.apply(last, score(last.filter(F.col(ch.ACTION) == ch.INSERT)), 1)
+    return table.read(spark)
 
 
 @register("ticket_chain", oracle=_AFTER + _SENTIMENT[6:].replace("FROM documents", "FROM after").replace("d.lang, d.text", "d.lang, d.source, d.text")
@@ -216,15 +224,26 @@ SELECT s.doc_id AS ticket_id, upper(s.source) AS channel, s.lang, s.sentiment_sc
        CASE WHEN s.sentiment_score < -0.3 THEN 'HIGH' WHEN s.sentiment_score < 0.3 THEN 'MEDIUM' ELSE 'LOW' END AS priority
 FROM scores s JOIN category c USING (doc_id) WHERE s.lang <> 'de'""")
 def ticket_chain(spark, root):
-    """Clean, enriched and served layers, each refreshed from the changes
-    of the one before (German rows leave in the clean layer)."""
+    """Stored clean, enriched and served layers. They are filled once,
+    then two increments are published and the served layer is asked for: each
+    layer reads only the changes of the one before (German rows leave in the
+    clean layer). Equals a recompute; the layers lie in a folder of their own."""
     before, feed = _document_changes(spark, root)
+    feed = files.staged(feed.drop("changed_at"), "document-changes")
+    source, served = ticket_layers(files.shared_folder(spark, "ticket-chain"), "doc_id")
+    for changes in (ch.as_inserts(before, ["doc_id"]), feed.filter("doc_id % 2 = 0"), feed.filter("doc_id % 2 = 1")):
+        source.log.publish(changes)
+        served.refresh(spark)
+    return served.read(spark).select(F.col("doc_id").alias("ticket_id"), F.col("source").alias("channel"), "lang", "sentiment_score", "category", "priority")
+
+
+def ticket_layers(folder, key, buckets=8, lag=None):
+    """The source of a ticket chain and its served layer."""
     clean = lambda df: df.filter("lang <> 'de'").withColumn("source", F.upper("source"))
     enrich = lambda df: tx.with_label(_scored(df), "_tok", tx.CATEGORIES, "category").select(
-        "doc_id", "source", "lang", "sentiment_score", "category")
+        key, "source", "lang", "sentiment_score", "category")
     serve = lambda df: df.withColumn("priority", scalars.priority_band(F.col("sentiment_score")))
-    state = before
-    for layer in (clean, enrich, serve):
-        state = layer(state)
-        current, feed = ch.refresh_layer(state, feed, ["doc_id"], layer)
-    return current.select(F.col("doc_id").alias("ticket_id"), F.col("source").alias("channel"), "lang", "sentiment_score", "category", "priority")
+    source = Source(f"{folder}/source", (key,))
+    cleaned = Layer("clean", folder, source, clean, buckets=buckets)
+    enriched = Layer("enriched", folder, cleaned, enrich, lag=lag, buckets=buckets)
+    return source, Layer("served", folder, enriched, serve, buckets=buckets)

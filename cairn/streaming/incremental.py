@@ -1,6 +1,6 @@
 """Incremental pipelines: consume a change log once (C3), skip empty runs
-(C6), keep an aggregate current from a change stream (C8), and run a chain
-of layers in dependency order (C9).
+(C6), keep an aggregate current from a change stream (C8) and an enriched
+table from a change feed (T9). Chains of stored layers (C9): ``layers``.
 
 A change log is an append-only folder of change rows (the output of
 ``cairn.operators.changes.change_feed`` plus a change time). Consumers read
@@ -12,7 +12,6 @@ leaves every consumer's offset alone (a SELECT does not drain a stream).
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,14 +19,23 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cairn.operators import changes as ch
-from cairn.sources import writers
+from cairn.sources import files
+from cairn.sources.keyed import KeyedTable
 from cairn.streaming import runlog
+from cairn.streaming.deltas import DeltaAggregate
 
 BatchFn = Callable[[DataFrame, int], None]
 
 
-def publish_changes(feed: DataFrame, log_path: str) -> None:
-    """Append a change feed (with its change time) to the change log."""
+SEQUENCE = "sequence"
+
+
+def publish_changes(feed: DataFrame, log_path: str, sequence: int | None = None) -> None:
+    """Append a change feed, with its change time, to the change log.
+    ``sequence`` numbers the feeds of a log whose writers may stamp two of
+    them alike: a key's last change is then the one of the later feed."""
+    if sequence is not None:
+        feed = feed.withColumn(SEQUENCE, F.lit(sequence).cast("bigint"))
     feed.withColumn("changed_at", F.localtimestamp()).write.mode("append").parquet(log_path)
 
 
@@ -77,75 +85,37 @@ def append_history(history_path: str) -> BatchFn:
     return fn
 
 
-def maintain_aggregate(state_root: str, keys: Sequence[str], measures: Sequence[str],
-                       count_col: str = "row_count") -> BatchFn:
-    """C8 body: fold each batch of changes into the stored aggregate and
-    publish a new version tagged with the batch id; a replayed batch id that
-    is already applied is skipped (exactly-once)."""
-
-    def fn(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        done = writers.current_batch_id(spark, state_root)
-        if done is not None and done >= batch_id:
-            return
-        state = writers.read_current(spark, state_root)
-        new = ch.refresh_aggregate(state, batch, keys, measures, count_col)
-        writers.write_version(new, state_root, batch_id=batch_id)
-        writers.vacuum(spark, state_root, keep=2)
-
-    return fn
+def maintain_aggregate(state_root: str, keys: Sequence[str], measures: Sequence[str], share: float = 0.5) -> BatchFn:
+    """C8 body: each batch adds its signed sums to the stored aggregate of
+    ``deltas.DeltaAggregate`` (read it there), which writes no more than the
+    batch changes; a replayed batch id changes nothing."""
+    return DeltaAggregate(state_root, tuple(keys), tuple(measures)).maintain(share)
 
 
-def maintain_enriched(target_root: str, keys: Sequence[str],
-                      enrich: Callable[[DataFrame], DataFrame]) -> BatchFn:
+def maintain_enriched(target_root: str, keys: Sequence[str], enrich: Callable[[DataFrame], DataFrame], buckets: int = 64) -> BatchFn:
     """T9 body: keep an enriched table current from a change feed, scoring
-    only what changed. A batch may hold several changes of a key: it is
-    reduced to the last one of each. Keys whose last change is an INSERT (or
+    only what changed and rewriting only the folders of the keys it touches
+    (``keyed.KeyedTable``; read it there). A batch may hold several changes of
+    a key: it is reduced to the last one of each, by publication (sequence,
+    where the log has it) before time. Keys whose last change is an INSERT (or
     the new half of an update) are enriched and replace the stored row, keys
-    whose last change is a DELETE leave, and all other rows keep their
-    stored scores. Exactly-once per batch id, as in ``maintain_aggregate``."""
+    whose last change is a DELETE leave, and all other rows keep their stored
+    scores. A replayed batch id changes nothing."""
+    table = KeyedTable(target_root, tuple(keys), buckets)
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        done = writers.current_batch_id(spark, target_root)
+        done = table.applied(spark)
         if done is not None and done >= batch_id:
             return
-        last = ch.last_changes(batch, keys)
-        data_cols = [c for c in batch.columns if c not in (ch.ACTION, ch.IS_UPDATE, ch.ROW_ID, "changed_at")]
-        out = enrich(last.filter(F.col(ch.ACTION) == ch.INSERT).select(*data_cols))
-        if writers.exists(spark, target_root):
-            out = ch.apply_changes(writers.read_current(spark, target_root), last, out, keys)
-        writers.write_version(out, target_root, batch_id=batch_id)
-        writers.vacuum(spark, target_root, keep=2)
+        stamps = [c for c in (SEQUENCE, "changed_at") if c in batch.columns]
+        ordered = batch.withColumn("_order", F.struct(*stamps))
+        last = ch.last_changes(ordered, keys, "_order").drop("_order")
+        data_cols = [c for c in batch.columns if c not in (ch.ACTION, ch.IS_UPDATE, ch.ROW_ID, *stamps)]
+        out = files.staged(enrich(last.filter(F.col(ch.ACTION) == ch.INSERT).select(*data_cols)), "enriched-batch")
+        if table.exists(spark):
+            table.apply(last, out, batch_id)
+        else:
+            table.create(out, batch_id)
 
     return fn
-
-
-@dataclass
-class Step:
-    """One layer of a chain: ``build(spark)`` returns the layer's rows from
-    its upstream layers; the result is published as a new version."""
-    name: str
-    build: Callable[[SparkSession], DataFrame]
-    path: str
-
-
-def run_chain(spark: SparkSession, steps: Sequence[Step], run_log: str | None = None) -> dict[str, str]:
-    """Refresh layers in order, each from the freshly published version
-    of the one before (raw -> clean -> enriched -> served). A failing step
-    is logged FAILED and stops the chain; downstream keeps its last good
-    version."""
-    out = {}
-    for step in steps:
-        try:
-            path = writers.write_version(step.build(spark), step.path)
-            writers.vacuum(spark, step.path, keep=2)
-            out[step.name] = path
-            if run_log:
-                n = spark.read.parquet(path).count()
-                runlog.log_run(spark, run_log, step.name, "SUCCEEDED", "FULL", n)
-        except Exception as exc:
-            if run_log:
-                runlog.log_run(spark, run_log, step.name, "FAILED", "FULL", message=str(exc))
-            raise
-    return out
