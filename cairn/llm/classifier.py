@@ -2,13 +2,15 @@
 
 The *content* view sees the text: shape ratios and hashed word counts. The
 *metadata* view sees lang, source and length only. Each view is a logistic
-regression. In every round each view labels the pool documents it is surest of
-and hands them to the *other* view's training set. At the end both views are
+regression. In every round each view labels all documents, and hands those it
+is surest of to the *other* view's training set. At the end both views are
 calibrated on held-out labelled rows (Platt scaling), combined by a second
-small regression there, and score every document in one pass.
+small regression there, and score every document.
 
-Fitting uses a bounded sample: ``LABELLED`` labelled rows and ``POOL`` other
-documents, those with the least hash of their id. Scoring covers all rows.
+The features of all texts are written to the shared folder, and every round is
+a pass over those. Fitted are at most ``LABELLED`` labelled rows
+(least hash of their id), and ``HANDED`` rows more of either kind a round and
+view; both are parameters. The pool they are chosen from is every document.
 
 Defined cases: NULL or empty text has zero content features; NULL lang, source
 or length are values of their own; a label row that is NULL is no label; with
@@ -20,24 +22,26 @@ scored alike; extra columns are ignored.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cairn.llm.common import ddl
-from cairn.llm.minhash import WordHashes, mixed
+from cairn.llm.common import bounded_batches, staged
+from cairn.llm.minhash import WordHashes
 
-#: Bounds of the fitting sample, in rows.
-LABELLED, POOL = 6000, 6000
+#: Labelled rows that are fitted, at most.
+LABELLED = 6000
 ROUNDS, HELD_OUT = 4, 0.25
-#: Pool documents of a class a view hands over each round, and how sure it must be.
+#: Documents of a kind a view hands over each round, at most, and how sure it must be.
 HANDED, SURE = 300, 0.98
+ROWS_AT_ONCE = 1000
 WORD_BINS, SOURCE_BINS, LANG_BINS = 256, 64, 16
-ROWS_AT_ONCE = 500
 #: Documents less likely good than this are rejected.
 KEEP_FROM = 0.1
 
@@ -76,11 +80,13 @@ class Metadata:
 
     size = SOURCE_BINS + LANG_BINS + 3
 
+    def __init__(self) -> None:
+        self.hashes = WordHashes()
+
     def __call__(self, lang: str | None, source: str | None, n_chars: int | None) -> np.ndarray:
         out = np.zeros(self.size)
         for value, at, bins in ((source, 0, SOURCE_BINS), (lang, SOURCE_BINS, LANG_BINS)):
-            code = np.frombuffer(("?" if value is None else f"={value}").encode().ljust(64, b"\0")[:64], np.uint64)
-            out[at + int(mixed(mixed(code) + np.arange(8, dtype=np.uint64)).sum(dtype=np.uint64) % np.uint64(bins))] = 1
+            out[at + self.hashes[("?" if value is None else f"={value}").encode("utf-8", "surrogatepass")] % bins] = 1
         size = np.log1p(max(0, n_chars or 0)) / 10
         out[-3:] = n_chars is None, size, size * size
         return out
@@ -123,81 +129,185 @@ class Model:
         return chance(logits[0]), chance(logits[1]), chance(np.stack(logits, 1) @ self.both[:-1] + self.both[-1])
 
 
-def co_train(content: np.ndarray, meta: np.ndarray, label: np.ndarray) -> Model:
-    """Fit on sampled rows; ``label`` is 1, 0, or -1 for pool documents."""
-    known, pool = np.flatnonzero(label >= 0), np.flatnonzero(label < 0)
-    if len({*label[known]}) < 2:
-        return Model(constant=float(label[known][0]) if len(known) else 1.0)
-    held = np.zeros(len(label), bool)
-    for kind in (0, 1):  # every fourth row of either kind
-        held[known[label[known] == kind][:: round(1 / HELD_OUT)]] = True
-    views = (content, meta)
-    train = [{int(i): int(label[i]) for i in known if not held[i]} for _ in views]
-    fit = lambda v: logistic(views[v][list(train[v])], np.array(list(train[v].values())))
-    for _ in range(ROUNDS):
-        for v in (0, 1):
-            w = fit(v)
-            p = chance(views[v][pool] @ w[:-1] + w[-1])
-            other = train[1 - v]
-            for kind, sure in ((1, p), (0, 1 - p)):
-                free = [j for j in np.argsort(-sure, kind="stable") if sure[j] >= SURE and int(pool[j]) not in other]
-                other.update((int(pool[j]), kind) for j in free[:HANDED])
-    weights = [fit(v) for v in (0, 1)]
-    y = label[held]
-    raw = [views[v][held] @ w[:-1] + w[-1] for v, w in enumerate(weights)]
-    lines = [logistic(r[:, None], y, 0.1) for r in raw]
-    logits = [np.clip(r * a[0] + a[1], -12, 12) for r, a in zip(raw, lines, strict=True)]
-    return Model(weights, lines, logistic(np.stack(logits, 1), y, 0.1))
+def surest(p: np.ndarray, kind: int) -> np.ndarray:
+    """How sure a view is that rows are of a kind, from their chance to be good."""
+    return p if kind else 1 - p
 
 
-def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batches in slices of ``ROWS_AT_ONCE`` rows, to bound a task's memory."""
-    for batch in batches:
-        for at in range(0, len(batch), ROWS_AT_ONCE):
-            yield batch.slice(at, ROWS_AT_ONCE)
+#: Gives, for the two views' weights, rows to hand to each view: (x, m, y) of view 0 and of view 1.
+Hand = Callable[[list[np.ndarray]], list[tuple[np.ndarray, np.ndarray, np.ndarray]]]
 
 
-def _features(batch: pa.RecordBatch, content: Content, meta: Metadata) -> tuple[np.ndarray, np.ndarray]:
-    x = np.array([content(t) for t in batch.column("text").to_pylist()]).reshape(-1, Content.size)
-    m = np.array([meta(*r) for r in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "n_chars")), strict=True)])
-    return x, m.reshape(-1, Metadata.size)
+def from_arrays(content: np.ndarray, meta: np.ndarray, handed: int) -> Hand:
+    """Pool rows held in memory."""
+    taken: list[set[int]] = [set(), set()]
 
+    def hand(weights: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        out = []
+        for to in (0, 1):
+            w, x = weights[1 - to], (content, meta)[1 - to]
+            p, rows, kinds = chance(x @ w[:-1] + w[-1]), [], []
+            for kind in (1, 0):
+                sure = surest(p, kind)
+                best = [int(j) for j in np.argsort(-sure, kind="stable") if sure[j] >= SURE and int(j) not in taken[to]][:handed]
+                taken[to].update(best)
+                rows, kinds = rows + best, kinds + [kind] * len(best)
+            out.append((content[rows], meta[rows], np.array(kinds, int)))
+        return out
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """``docs`` (id, text, lang, source, n_chars) and ``labels`` (id, label)."""
-    first = lambda df, n: df.orderBy(F.xxhash64("id"), "id").limit(n)
-    known = first(labels.filter("id IS NOT NULL AND label IS NOT NULL").groupBy("id").agg(F.max("label").alias("label")), LABELLED)
-    others = first(docs.filter("id IS NOT NULL").select("id").join(labels.select("id"), "id", "left_anti"), POOL)
-    sample = known.union(others.distinct().select("id", F.lit(-1).alias("label")))
+    return hand
 
-    def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        content, meta = Content(), Metadata()
-        for batch in parts(batches):
-            x, m = _features(batch, content, meta)
-            rows = lambda a: pa.array([r.astype(np.float32).tobytes() for r in a], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), rows(x), rows(m)], names=["id", "label", "x", "m"])
 
-    rows = docs.join(sample, "id").mapInArrow(featured, "id long, label int, x binary, m binary").toArrow()  # bounded by LABELLED + POOL ids
-    order = np.lexsort((rows["x"].to_pylist(), rows["id"].to_numpy()))
-    matrix = lambda c, n: np.frombuffer(b"".join(rows[c].to_pylist()), np.float32).reshape(-1, n)[order].astype(float)
-    return co_train(matrix("x", Content.size), matrix("m", Metadata.size), rows["label"].to_numpy()[order])
+def co_train(content: np.ndarray, meta: np.ndarray, label: np.ndarray, hand: Hand | None = None, rounds: int = ROUNDS, handed: int = HANDED) -> Model:
+    """Fit on labelled rows; ``label`` is 1 or 0, or -1 for pool rows in memory.
+    In every round both views are fitted, and each hands the pool rows that it
+    is surest of to the *other* view's training set."""
+    known = label >= 0
+    if len({*label[known]}) < 2:
+        return Model(constant=float(label[known][0]) if known.any() else 1.0)
+    hand = hand or from_arrays(content[~known], meta[~known], handed)
+    views, y = (content[known], meta[known]), label[known]
+    held = np.zeros(len(y), bool)
+    for kind in (0, 1):  # every fourth row of either kind
+        held[np.flatnonzero(y == kind)[:: round(1 / HELD_OUT)]] = True
+    train = [(views[v][~held], y[~held]) for v in (0, 1)]
+    for _ in range(rounds):
+        given = hand([logistic(*t) for t in train])
+        train = [(np.r_[x, g[v]], np.r_[t, g[2]]) for v, ((x, t), g) in enumerate(zip(train, given, strict=True))]
+    weights = [logistic(*t) for t in train]
+    raw = [views[v][held] @ w[:-1] + w[-1] for v, w in enumerate(weights)]
+    lines = [logistic(r[:, None], y[held], 0.1) for r in raw]
+    logits = [np.clip(r * a[0] + a[1], -12, 12) for r, a in zip(raw, lines, strict=True)]
+    return Model(weights, lines, logistic(np.stack(logits, 1), y[held], 0.1))
+
+
+def packed(rows: np.ndarray) -> pa.Array:
+    """Feature rows as 32-bit floats, a binary value each."""
+    return pa.array([r.tobytes() for r in rows.astype(np.float32, copy=False)], pa.binary())
+
+
+def unpacked(column: pa.Array, size: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(-1, size)
+
+
+def view_features(content: Content, meta: Metadata, text: pa.Array, *about: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Both views' features of text and of lang, source and n_chars."""
+    x = np.empty((len(text), Content.size), np.float32)
+    for i, t in enumerate(text):  # one text at a time is a Python string
+        x[i] = content(t.as_py())
+    m = np.array([meta(*r) for r in zip(*(c.to_pylist() for c in about), strict=True)], np.float32).reshape(-1, Metadata.size)
+    return x, m
+
+
+@F.arrow_udf(T.StructType([T.StructField("x", T.BinaryType()), T.StructField("m", T.BinaryType())]))
+def features(columns: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    content, meta = Content(), Metadata()
+    for batch in columns:
+        yield pa.StructArray.from_arrays([packed(f) for f in view_features(content, meta, *batch)], ["x", "m"])
+
+
+def from_table(table: DataFrame, known: np.ndarray, handed: int) -> Hand:
+    """Pool rows in ``table`` (id, x, m): all documents but the ``known`` ids.
+    Every round scores all of them with both views. A task keeps the surest
+    ``handed`` different rows per view and kind, and so does the whole job;
+    equal features count as one row, so copies do not crowd out the rest."""
+    taken: list[set[bytes]] = [set(), set()]
+    names = ["to", "kind", "sure", "print", "id", "x", "m"]
+
+    def hand(weights: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        gone = [set(t) for t in taken]
+
+        def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            import xxhash
+
+            held: dict[tuple[int, int], dict[bytes, tuple[float, int, bytes, bytes]]] = {(to, kind): {} for to in (0, 1) for kind in (1, 0)}
+            for batch in (b.slice(i, ROWS_AT_ONCE) for b in batches for i in range(0, len(b), ROWS_AT_ONCE)):
+                ids = pc.fill_null(batch.column("id"), -1).to_numpy()
+                raw = [batch.column(c) for c in ("x", "m")]
+                free = ~np.isin(ids, known)
+                for to in (0, 1):
+                    w = weights[1 - to]
+                    p = chance(unpacked(raw[1 - to], len(w) - 1) @ w[:-1] + w[-1])
+                    for kind in (1, 0):
+                        sure = np.where(free, surest(p, kind), 0)
+                        top = held[to, kind]
+                        for j in np.argsort(-sure, kind="stable"):
+                            if sure[j] < SURE or (len(top) >= 2 * handed and sure[j] < min(v[0] for v in top.values())):
+                                break
+                            x, m = (r[int(j)].as_py() for r in raw)
+                            key = xxhash.xxh3_128_digest(x + m)
+                            if key not in gone[to] and (key not in top or top[key][1] > ids[j]):
+                                top[key] = (float(sure[j]), int(ids[j]), x, m)
+                            if len(top) >= 4 * handed:
+                                break
+                        held[to, kind] = dict(sorted(top.items(), key=lambda e: (-e[1][0], e[0]))[:handed])
+            rows = [(to, kind, v[0], key, *v[1:]) for (to, kind), top in held.items() for key, v in top.items()]
+            if rows:
+                yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows], pa.schema(
+                    [("to", pa.int32()), ("kind", pa.int32()), ("sure", pa.float64()), ("print", pa.binary()), ("id", pa.int64()), ("x", pa.binary()), ("m", pa.binary())]))
+
+        found = table.mapInArrow(best, "to int, kind int, sure double, print binary, id long, x binary, m binary")
+        one = found.groupBy("to", "kind", "print").agg(F.max("sure").alias("sure"), F.first("x").alias("x"), F.first("m").alias("m"))
+        rank = lambda *by: F.row_number().over(Window.partitionBy("to", "kind", *by).orderBy(F.desc("sure"), "print"))
+        salted = one.withColumn("salt", F.pmod(F.xxhash64("print"), F.lit(64)))  # so that the last ranking sees 64 * handed rows of a kind at most
+        few = salted.withColumn("rank", rank("salt")).filter(F.col("rank") <= handed)
+        rows = few.withColumn("rank", rank()).filter(F.col("rank") <= handed).orderBy("to", "kind", "rank").collect()  # 4 * handed rows at most
+        out = []
+        for to in (0, 1):
+            mine = [r for r in rows if r["to"] == to]
+            taken[to].update(bytes(r["print"]) for r in mine)
+            matrix = lambda c, n: np.frombuffer(b"".join(bytes(r[c]) for r in mine), np.float32).reshape(-1, n).astype(float)  # noqa: B023, E731
+            out.append((matrix("x", Content.size), matrix("m", Metadata.size), np.array([r["kind"] for r in mine], int)))
+        return out
+
+    return hand
+
+
+def fit(table: DataFrame, labels: DataFrame, labelled: int = LABELLED, rounds: int = ROUNDS, handed: int = HANDED) -> Model:
+    """``table`` (id, x, m) and ``labels`` (id, label): at most ``labelled``
+    label rows, those with the least hash of their id, a row for each id."""
+    known = labels.filter("id IS NOT NULL AND label IS NOT NULL").groupBy("id").agg(F.max("label").alias("label"))
+    known = known.orderBy(F.xxhash64("id"), "id").limit(labelled)
+    one = F.min(F.struct("x", "m")).alias("f")
+    rows = table.join(known, "id").groupBy("id", "label").agg(one).select("id", "label", "f.x", "f.m").orderBy("id").toArrow()  # ``labelled`` rows at most
+    ids, label = rows["id"].to_numpy(), rows["label"].to_numpy()
+    x, m = (unpacked(rows[c].combine_chunks(), n).astype(float) for c, n in (("x", Content.size), ("m", Metadata.size)))
+    return co_train(x, m, label, from_table(table, ids, handed), rounds, handed)
 
 
 def score(df: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality", keep_from: float = KEEP_FROM,
-          carry: list[str] | None = None) -> DataFrame:
+          carry: list[str] | None = None, labelled: int = LABELLED, rounds: int = ROUNDS, handed: int = HANDED) -> DataFrame:
     """One row per input row: key, content_score, metadata_score,
     quality_score, kept, and a struct ``row`` of the columns in ``carry``."""
-    docs = df.select(F.col(key).cast("long").alias("id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"),
-                     F.col("source").cast("string").alias("source"), F.col("n_chars").cast("long").alias("n_chars"),
-                     F.struct(*(carry or [F.lit(None).cast("int").alias("none")])).alias("row"))
-    model = fit(docs.drop("row"), labels.select(F.col(key).cast("long").alias("id"), F.col(label).cast("int").alias("label")))
-
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    bounded_batches(df.sparkSession)
+    seen = [F.col(c).cast("string") for c in ("text", "lang", "source")] + [F.col("n_chars").cast("long")]
+    of_id = F.col(key).cast("long").alias("id")
+    found = df.select(of_id, features(*seen).alias("f"))
+    table = staged(found.select("id", "f.x", "f.m"), "features")
+    known = labels.select(of_id, F.col(label).cast("int").alias("label"))
+    model = fit(table, known, labelled, rounds, handed)
+
+    def combined(x: np.ndarray, m: np.ndarray) -> pa.Array:
+        cut = range(0, max(1, len(x)), ROWS_AT_ONCE)
+        some = [model.scores(x[i : i + ROWS_AT_ONCE], m[i : i + ROWS_AT_ONCE]) for i in cut]
+        return pa.StructArray.from_arrays([pa.array(np.concatenate(p)) for p in zip(*some, strict=True)], ["content", "metadata", "both"])
+
+    kind = "struct<content: double, metadata: double, both: double>"
+
+    @F.arrow_udf(kind)
+    def of_features(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for x, m in columns:
+            yield combined(unpacked(x, Content.size), unpacked(m, Metadata.size))
+
+    @F.arrow_udf(kind)
+    def of_texts(columns: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         content, meta = Content(), Metadata()
-        for batch in parts(batches):
-            found = model.scores(*_features(batch, content, meta))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *map(pa.array, found), pa.array(found[2] >= keep_from), batch.column("row")],
-                                             names=[key, "content_score", "metadata_score", "quality_score", "kept", "row"])
-
-    out = docs.mapInArrow(scored, f"`{key}` long, content_score double, metadata_score double, quality_score double, kept boolean, {ddl(docs.select('row'))}")
-    return out if carry else out.drop("row")
+        for batch in columns:
+            yield combined(*view_features(content, meta, *batch))
+
+    if carry:  # the features are made once more, so that no second copy of the texts is written
+        scored = df.withColumn("_s", of_texts(*seen)).select(of_id, F.col("_s").alias("s"), F.struct(*carry).alias("row"))
+    else:
+        scored = table.withColumn("s", of_features("x", "m"))
+    return scored.select(F.col("id").alias(key), F.col("s.content").alias("content_score"), F.col("s.metadata").alias("metadata_score"),
+                         F.col("s.both").alias("quality_score"), (F.col("s.both") >= keep_from).alias("kept"), *(["row"] if carry else []))

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +33,13 @@ def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession, size: int = 4 << 20) -> None:
+    """Rows go to Python in Arrow batches of at most ``size`` bytes from now on
+    in this session. With Spark's default (64 MB) a task that sends whole texts
+    holds several such buffers outside the heap, and again in Python."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
 def ddl(df: DataFrame) -> str:
     """The columns of ``df`` as a schema string."""
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
@@ -41,3 +52,16 @@ def words(text: Column) -> Column:
 
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, ASCII_UPPER, ASCII_UPPER.lower())
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in slices whose ``column`` holds about ``size`` bytes (or one
+    row), to bound what a task holds as Python objects."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < len(batch):
+            before = ends[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, before + size, side="right")))
+            yield batch.slice(at, stop - at)
+            at = stop

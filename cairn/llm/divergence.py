@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cairn.llm.common import staged
+from cairn.llm.common import bounded_batches, staged
 
 #: A term is kept in a lang where it is in so many of its documents; terms reported per group.
 DOCUMENTS, TOP = 10, 10
@@ -207,6 +207,7 @@ def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def counted_terms(df: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """Row per lang, source and term: n occurrences in docs documents."""
+    bounded_batches(df.sparkSession)
     plain = df.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(name) for c, name in ((lang, "lang"), (source, "source"), (text, "text"))))
     rows = plain.mapInArrow(_term_rows, "lang string, source string, term string, n long, docs long")
     return rows.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))

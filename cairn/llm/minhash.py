@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.llm.common import staged
+from cairn.llm.common import bounded_batches, staged
 from cairn.llm.components import connected
 
 SHINGLE = 5
@@ -170,6 +170,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: key, n_shingles, component_id, kept."""
+    bounded_batches(df.sparkSession)
     docs = df.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     signed = staged(signatures(docs), "signatures")
     usable = signed.filter("id IS NOT NULL AND digest IS NOT NULL")

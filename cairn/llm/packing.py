@@ -28,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cairn.llm.common import ddl, staged
-from cairn.llm.tokens import Encoder, read_vocabulary
+from cairn.llm.common import bounded_batches, ddl, slices, staged
+from cairn.llm.tokens import CHARS_AT_ONCE, encoder, read_vocabulary
 
 SIZE = 1024
 END = 0
@@ -43,12 +43,13 @@ FILLED = 0.99
 
 def pieces(df: DataFrame, vocabulary_path: str, key: str = "doc_id", text: str = "text", size: int = SIZE, end: int = END) -> DataFrame:
     """Row per piece: key, start, length, ids (binary, unsigned 32-bit), doc_tokens."""
+    bounded_batches(df.sparkSession)
     sent = df.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary_path))
     last = np.array([end], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(sent.value)
-        for batch in batches:
+        encode = encoder(sent.value)
+        for batch in slices(batches, size=CHARS_AT_ONCE):
             of, starts, lengths, ids, totals = [], [], [], [], []
             for row, tokens in enumerate(encode(batch.column("text").to_pylist())):
                 tokens += last

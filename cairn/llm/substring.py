@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.llm.common import ddl, staged
+from cairn.llm.common import bounded_batches, staged
 from cairn.llm.minhash import WordHashes, _odd, mixed
 
 WINDOW = 35
@@ -215,21 +215,23 @@ def repeated_stretches(docs: DataFrame, runs, cells: int) -> DataFrame:
 def cut_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, gram: int = GRAM,
                 cells: int = CELLS, carry: list[str] | None = None) -> DataFrame:
     """One row per input row: key, text_print (64-bit hash of the text),
-    n_words, n_removed, kept_text (kept words joined by one space); with
-    ``carry`` also the input text as ``full_text`` and a struct ``row`` of the
-    other columns named there."""
-    docs = df.select(F.col(key).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("print"), F.col(text).cast("string").alias("text"),
-                     F.struct(*(carry or [F.lit(None).cast("int").alias("none")])).alias("row"))
-    stretches = repeated_stretches(docs.drop("row"), lambda: Runs(window, gram), cells)
+    n_words, n_removed, kept_text (kept words joined by one space). With
+    ``carry`` also a struct ``row`` of the columns named there, and kept_text
+    is NULL where nothing is removed."""
+    bounded_batches(df.sparkSession)
+    docs = df.select(F.col(key).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("print"), F.col(text).cast("string").alias("text"))
+    stretches = repeated_stretches(docs, lambda: Runs(window, gram), cells)
     # a document's own stretches, at most its own words
     cuts = stretches.groupBy("id", "print").agg(F.collect_set(F.struct("start", "length")).alias("cuts"))
     cuts = staged(cuts, "cuts").withColumnsRenamed({"id": "cut_id", "print": "cut_print"})
+    only_cut = carry is not None
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+    @F.arrow_udf("struct<n_words: bigint, n_removed: bigint, kept_text: string>")
+    def cut(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, all_cuts in columns:
             total, gone, kept = [], [], []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("cuts"), strict=True):
-                words = (text or "").encode("utf-8", "surrogatepass").split()
+            for text, spans in zip(texts, all_cuts, strict=True):  # one text at a time is a Python string
+                words = (text.as_py() or "").encode("utf-8", "surrogatepass").split()
                 edge = np.zeros(len(words) + 1, np.int64)
                 if spans.is_valid:
                     start = spans.values.field("start").to_numpy()
@@ -238,13 +240,14 @@ def cut_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", window:
                 stay = np.cumsum(edge[:-1]) == 0
                 total.append(len(words))
                 gone.append(len(words) - int(stay.sum()))
-                kept.append(b" ".join(words if stay.all() else [words[i] for i in np.flatnonzero(stay)]).decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("print"), pa.array(total, pa.int64()), pa.array(gone, pa.int64()),
-                                              pa.array(kept, pa.string()), *map(batch.column, more)], names=["id", "print", "n_words", "n_removed", "kept_text", *more])
-
-    more = ["text", "row"] if carry else []
-
-    joined = docs.join(cuts, F.col("id").eqNullSafe(F.col("cut_id")) & (F.col("print") == F.col("cut_print")), "left")
-    kinds = ", ".join(["id long, print long, n_words long, n_removed long, kept_text string", *([ddl(docs.select(*more))] if more else [])])
-    done = joined.select("id", "print", "text", "cuts", *more[1:]).mapInArrow(cut, kinds)
-    return done.withColumnsRenamed({"id": key, "print": "text_print", "text": "full_text"})
+                if only_cut and not gone[-1]:
+                    kept.append(None)
+                else:
+                    kept.append(b" ".join(words if stay.all() else [words[i] for i in np.flatnonzero(stay)]).decode("utf-8", "replace"))
+            yield pa.StructArray.from_arrays([pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())], ["n_words", "n_removed", "kept_text"])
+
+    rows = df.select(F.col(key).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("print"), F.col(text).cast("string").alias("text"),
+                     *([F.struct(*carry).alias("row")] if carry else []))
+    joined = rows.join(cuts, F.col("id").eqNullSafe(F.col("cut_id")) & (F.col("print") == F.col("cut_print")), "left")
+    done = joined.select("id", "print", cut("text", "cuts").alias("c"), *(["row"] if carry else []))
+    return done.select(F.col("id").alias(key), F.col("print").alias("text_print"), "c.n_words", "c.n_removed", "c.kept_text", *(["row"] if carry else []))

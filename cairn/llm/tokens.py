@@ -1,24 +1,30 @@
 """Token ids of whole texts by a byte-level BPE file of the tokenizers library.
 
 Its pattern never matches across the start of white space that follows a
-non-space, so a text may be cut there and its chunks encoded one by one. Tasks
-remember the ids of the first chunks they meet and send only new ones to the
-library, many in one call.
+non-space, so a text may be cut there and its chunks encoded one by one. A
+worker remembers the ids of the chunks it uses most, across its tasks, and
+sends only new ones to the library, many in one call.
 """
 
 from __future__ import annotations
 
+import gc
 import os
 import re
-from array import array
+from collections.abc import Iterator
+from itertools import chain
 
-#: Chunks a task remembers, and the longest one it does.
+import numpy as np
+
+#: Chunks a worker remembers at most (beyond those of one slice of texts; some 150 bytes each), and the longest it keeps.
 CHUNK_CACHE, CHUNK_CHARS = 200_000, 48
 #: Texts that are encoded together hold so many characters, or are one text.
-CHARS_AT_ONCE = 1_000_000
+CHARS_AT_ONCE = 2_000_000
 
 _BEFORE_SPACE = re.compile(r"(?<=\S)(?=[ \t\n\r\x0b\x0c])")
-_DOUBLE_SPACE = re.compile(r"\s\s")
+_DOUBLE_SPACE = re.compile(r"\s\s|\x01")
+#: A full stop or comma behind anything but a letter or digit: part of a longer run.
+_IN_RUN = re.compile(r"[.,](?<![^\W_].) ")
 
 
 def read_vocabulary(path: str) -> str:
@@ -29,54 +35,123 @@ def read_vocabulary(path: str) -> str:
 
 def chunks(text: str) -> list[str]:
     """The text up to its first cut, then a key for every further chunk: the
-    chunk without its one space, or as it is after a line break; chunks that
-    start with other white space keep it, behind a space as a mark."""
+    chunk without its one space, or as it is after a line break. A full stop or
+    comma that ends a word is a chunk of its own, marked by \\x01, so that the
+    word is known with and without it. Chunks that start with other white
+    space keep it, behind a space as a mark."""
     if not _DOUBLE_SPACE.search(text):
-        return text.replace("\n", " \n").split(" ")
+        text = text.replace("\n", " \n")
+        if not _IN_RUN.search(text):
+            text = text.replace(". ", " \x01. ").replace(", ", " \x01, ")
+        return text.split(" ")
     head, *rest = _BEFORE_SPACE.split(text)
-    plain = lambda c: c[0] in " \n" and not c[1:2].isspace() and len(c) > 1
+    plain = lambda c: c[0] in " \n" and c[1:2] != "\x01" and not c[1:2].isspace() and len(c) > 1
     return [head, *((c[1:] if c[0] == " " else c) if plain(c) else f" {c}" for c in rest)]
 
 
 def chunk_of(key: str) -> str:
-    return key if key.startswith("\n") else key[1:] if key.startswith(" ") else f" {key}"
+    return key if key.startswith("\n") else key[1:] if key.startswith((" ", "\x01")) else f" {key}"
+
+
+class Codes(dict):
+    """Chunk keys to numbers; ``new`` lists those that got one just now."""
+
+    def __init__(self, keys: list[str] = ()) -> None:
+        super().__init__(zip(keys, range(len(keys)), strict=True))
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        code = self[key] = len(self)
+        self.new.append(key)
+        return code
 
 
 class Encoder:
-    def __init__(self, vocabulary: str) -> None:
+    """Texts to ids. Chunk keys are numbered; the ids of a number lie in one
+    flat array, so a text is a gather. The most used chunks stay."""
+
+    def __init__(self, vocabulary: str, cache: int = CHUNK_CACHE, chars_at_once: int = CHARS_AT_ONCE) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(vocabulary)
         self.library.encode_special_tokens = True  # their strings are ordinary text
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, pieces: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(pieces, add_special_tokens=False)
-        return [array("I", x.ids).tobytes() for x in found]
+        self.cache, self.chars_at_once = cache, chars_at_once
+        self.codes = Codes()
+        self.flat, self.start, self.size, self.uses = (np.empty(0, t) for t in (np.uint32, np.int64, np.int64, np.int64))
+
+    def _learn(self) -> None:
+        """Encode the chunks that are new, all in one call."""
+        found = [x.ids for x in self.library.encode_batch_fast([chunk_of(k) for k in self.codes.new], add_special_tokens=False)]
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        self.start = np.append(self.start, len(self.flat) + np.cumsum(size) - size)
+        self.size, self.uses = np.append(self.size, size), np.append(self.uses, np.zeros(len(found), np.int64))
+        self.flat = np.append(self.flat, np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum())))
+        self.codes.new = []
+
+    def _forget(self) -> None:
+        """Keep the most used chunks of no great length, half the cache."""
+        keys = list(self.codes)
+        short = np.fromiter(map(len, keys), np.int64, len(keys)) <= CHUNK_CHARS
+        keep = np.argsort(np.where(short, -self.uses, 1), kind="stable")[: min(self.cache // 2, int(short.sum()))]
+        size = self.size[keep]
+        self.flat = self.flat[_ranges(self.start[keep], size)]
+        self.start, self.size, self.uses = np.cumsum(size) - size, size, self.uses[keep] // 2
+        self.codes = Codes([keys[k] for k in keep])
 
     def _few(self, texts: list[str]) -> list[bytes]:
-        cut = [chunks(t) for t in texts]
-        new = {c for parts in cut for c in parts[1:]} - self.known.keys()
-        fresh = dict(zip(new, self._encode([chunk_of(c) for c in new]), strict=True))
-        heads = self._encode([parts[0] for parts in cut])
-        known = self.known
-        of = lambda c: known[c] if c in known else fresh[c]
-        out = [head + b"".join(map(of, parts[1:])) for head, parts in zip(heads, cut, strict=True)]
-        for c, ids in fresh.items():
-            if len(known) >= CHUNK_CACHE:
-                break
-            if len(c) <= CHUNK_CHARS:
-                known[c] = ids
-        return out
+        counts: list[int] = []
+
+        def keys() -> Iterator[list[str]]:  # one text at a time, so that its chunks are gone when the next is cut
+            for text in texts:
+                parts = chunks(text)
+                parts[0] = f" {parts[0]}"  # as it is: the mark of chunks that keep their start
+                counts.append(len(parts))
+                yield parts
+
+        code = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(keys())), np.int64)
+        n = np.array(counts)
+        if self.codes.new:
+            self._learn()
+        size = self.size[code]
+        ids = self.flat[_ranges(self.start[code], size)]
+        ends = np.cumsum(np.add.reduceat(size, np.cumsum(n) - n))
+        self.uses += np.bincount(code, minlength=len(self.uses))
+        if len(self.codes) > self.cache:
+            self._forget()
+        return [ids[a:b].tobytes() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; NULL is empty."""
         out, few, size = [], [], 0
-        for t in texts:
-            few.append(t or "")
-            size += len(few[-1])
-            if size >= CHARS_AT_ONCE:
-                out += self._few(few)
-                few, size = [], 0
-        return out + self._few(few) if few else out
+        was_on = gc.isenabled()
+        gc.disable()  # no cycles are made here, and a pass would visit every chunk
+        try:
+            for t in texts:
+                few.append(t or "")
+                size += len(few[-1])
+                if size >= self.chars_at_once:
+                    out += self._few(few)
+                    few, size = [], 0
+            return out + self._few(few) if few else out
+        finally:
+            if was_on:
+                gc.enable()
+
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start, start + 1 ... of each range, one after the other."""
+    ends = np.cumsum(size)
+    return np.repeat(start - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+
+
+_ENCODERS: dict[tuple[str, int, int], Encoder] = {}
+
+
+def encoder(vocabulary: str, cache: int = CHUNK_CACHE, chars_at_once: int = CHARS_AT_ONCE) -> Encoder:
+    """One encoder per Python worker, which tasks of one vocabulary share."""
+    wanted = (vocabulary, cache, chars_at_once)
+    if wanted not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[wanted] = Encoder(*wanted)
+    return _ENCODERS[wanted]
