@@ -40,9 +40,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words in repeated 35-word windows go."""
-    cut = substring.cut_repeats(docs, carry=["lang", "source", "n_chars"])
+    cut = substring.cut_repeats(docs, carry=["text", "lang", "source", "n_chars"])
     was_cut = F.col("n_removed") > 0
-    text = F.when(was_cut, F.col("kept_text")).otherwise(F.col("full_text"))
+    text = F.when(was_cut, F.col("kept_text")).otherwise(F.col("row.text"))
     size = F.when(was_cut, F.length("kept_text").cast("long")).otherwise(F.col("row.n_chars"))
     return cut.select("doc_id", text.alias("text"), "row.lang", "row.source", size.alias("n_chars"))
 
