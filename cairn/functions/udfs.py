@@ -90,8 +90,9 @@ def tax_service(rate: str = "0.08") -> Callable[[], Callable[[pd.DataFrame], pd.
         def fn(pdf: pd.DataFrame) -> pd.Series:
             amounts = pd.to_numeric(pdf.iloc[:, 0]).astype(float)
             known = amounts.fillna(0.0)
-            units = (known.abs() * 10_000).round().astype("int64") * factor
-            cents = (units + unit // 2) // unit
+            units = (known.abs() * 10_000).round().astype("int64")
+            # whole cents and the rest apart, so that no product outgrows 64 bits
+            cents = units // unit * factor + (units % unit * factor + unit // 2) // unit
             return (cents.astype(float) / 100).where(known >= 0, -cents.astype(float) / 100).where(amounts.notna())
         return fn
 

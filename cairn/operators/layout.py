@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairn.operators.ordered import with_sums_before
+from cairn.sources import files
 
 
 def partition_intervals(df: DataFrame, part: str, column: str) -> DataFrame:
@@ -50,6 +51,7 @@ def partition_stats(intervals: DataFrame) -> DataFrame:
     swept = with_sums_before(ends, "v", ["mins", "maxes"])
     cover = (F.col("before_mins") + F.col("mins") - F.col("before_maxes")).alias("cover")
     swept = swept.select("v", "_bucket", cover, (F.col("before_mins") + F.col("mins")).alias("min_upto"), F.col("before_maxes").alias("max_before"))
+    swept = files.staged(swept, "endpoints")
     here = Window.partitionBy("_bucket").orderBy("v")
     edges = swept.withColumns({"to_end": F.max("cover").over(here.rowsBetween(0, Window.unboundedFollowing)),
                                "from_start": F.max("cover").over(here.rowsBetween(Window.unboundedPreceding, 0))})

@@ -1,11 +1,12 @@
 """Order-dependent computations without a single-partition window.
 
 ``Window.orderBy`` with no partition key moves every row to one task. The
-helpers here first aggregate to distinct values, cut their range into
-``BUCKETS`` equal-width buckets (a monotone function of the value, bounded by
-two scalar subqueries), and add sums over earlier buckets to a running sum
-inside the bucket. Nothing is collected or checkpointed, no Python runs, and
-building the frame starts no job.
+helpers here first aggregate to distinct values and write those in ``BUCKETS``
+ranges with about as many values each: the edges are quantiles that Spark
+samples for a range partitioning, whatever the type and however the values
+crowd. Sums over earlier ranges, a row per range, are then added to a running
+sum inside each. The distinct values are computed once and read back from the
+shared folder; nothing is collected and no Python runs.
 """
 
 from __future__ import annotations
@@ -15,47 +16,32 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-BUCKETS, GROUP = 4096, 64
+from cairn.sources import files
 
+BUCKETS = 64
 
-def as_number(c: Column, kind: T.DataType) -> Column:
-    """A double that never decreases where the value grows (values may tie)."""
-    if isinstance(kind, T.NumericType):
-        return c.cast("double")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if isinstance(kind, T.StringType):
-        head = F.rpad(F.hex(F.substring(F.encode(c, "utf-8"), 1, 6)), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
-    raise TypeError(f"no order for {kind.simpleString()}")
 
+def in_ranges(values: DataFrame, v: str, buckets: int | None = None) -> DataFrame:
+    """``values`` (distinct, non-NULL ``v``) with ``_bucket``, the range that a
+    value lies in, written to the shared folder. A larger number is a range of
+    larger values. There are at least as many ranges as shuffle partitions, so
+    that a range stays a fraction of a task's work at any size."""
+    n = buckets or max(BUCKETS, int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return files.staged(values.repartitionByRange(n, v).withColumn("_bucket", F.spark_partition_id()), "ranges")
 
-def bucketed(values: DataFrame, v: str, out: str = "_bucket") -> Column:
-    """The bucket, 0 to ``BUCKETS`` - 1, of a non-NULL value of ``values``."""
-    x = as_number(F.col(v), values.schema[v].dataType)
-    span = values.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
-    share = (x - span["lo"]) / F.when(span["hi"] > span["lo"], span["hi"] - span["lo"]).otherwise(1.0)
-    return F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1)).cast("int").alias(out)
 
-
-def with_sums_before(values: DataFrame, v: str, sums: Sequence[str]) -> DataFrame:
+def with_sums_before(values: DataFrame, v: str, sums: Sequence[str], buckets: int | None = None) -> DataFrame:
     """``values`` (distinct, non-NULL ``v``) with ``_bucket`` and, for each
     column of ``sums``, ``before_<column>``: its total over all smaller values."""
-    placed = values.withColumn("_bucket", bucketed(values, v))
-    totals = lambda df, by: df.groupBy(by).agg(*(F.sum(s).cast("bigint").alias(s) for s in sums))
-    per_bucket = totals(placed, "_bucket").withColumn("_group", F.floor(F.col("_bucket") / GROUP).cast("int"))
-    # at most BUCKETS / GROUP rows
-    groups = totals(per_bucket, "_group").agg(F.collect_list(F.struct("_group", *sums))).scalar()
-    inside = lambda by, order: Window.partitionBy(by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    per_bucket = per_bucket.withColumn("_groups", groups)  # a subquery may not stand inside a higher-order function
-    earlier = lambda s: F.aggregate(F.filter("_groups", lambda g: g["_group"] < F.col("_group")), F.lit(0).cast("bigint"), lambda a, g: a + g[s])
-    starts = per_bucket.select(F.col("_bucket").alias("_b"), *(
-        (earlier(s) + F.coalesce(F.sum(s).over(inside("_group", "_bucket")), F.lit(0))).alias(f"_start_{s}") for s in sums))
-    local = placed.withColumns({f"_in_{s}": F.coalesce(F.sum(s).over(inside("_bucket", v)), F.lit(0)) for s in sums})
+    placed = in_ranges(values, v, buckets)
+    earlier = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # over a row per range
+    totals = placed.groupBy(F.col("_bucket").alias("_b")).agg(*(F.sum(s).cast("bigint").alias(s) for s in sums))
+    starts = totals.select("_b", *(F.coalesce(F.sum(s).over(earlier), F.lit(0)).alias(f"_start_{s}") for s in sums))
+    inside = Window.partitionBy("_bucket").orderBy(v).rowsBetween(Window.unboundedPreceding, -1)
+    local = placed.withColumns({f"_in_{s}": F.coalesce(F.sum(s).over(inside), F.lit(0)) for s in sums})
     joined = local.join(starts, F.col("_bucket") == F.col("_b"))
-    return joined.select(*values.columns, "_bucket", *((F.col(f"_start_{s}") + F.col(f"_in_{s}")).alias(f"before_{s}") for s in sums))
+    return joined.select(*values.columns, "_bucket", *((F.col(f"_start_{s}") + F.col(f"_in_{s}")).cast("bigint").alias(f"before_{s}") for s in sums))
 
 
 def rank_global(df: DataFrame, order_cols: Sequence[str], descending: bool = True, rank_col: str = "rank") -> DataFrame:
@@ -64,12 +50,11 @@ def rank_global(df: DataFrame, order_cols: Sequence[str], descending: bool = Tru
     third of the rows costs no more than any other; the rank is joined back."""
     (v,) = order_cols
     counts = df.filter(F.col(v).isNotNull()).groupBy(v).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = with_sums_before(counts, v, ["_n"])
-    known = df.select(F.count(v)).scalar()
+    ranked = files.staged(with_sums_before(counts, v, ["_n"]).select(F.col(v).alias("_v"), "_n", "before__n"), "ranks")
+    known = F.coalesce(ranked.agg(F.sum("_n")).scalar(), F.lit(0))
     ahead = known - F.col("before__n") - F.col("_n") if descending else F.col("before__n")
-    ranks = ranked.select(F.col(v).alias("_v"), (ahead + 1).cast("bigint").alias("_rank"))
-    return (df.join(ranks, F.col(v) == F.col("_v"), "left")
-              .withColumn(rank_col, F.coalesce("_rank", known + 1).cast("bigint")).drop("_v", "_rank"))
+    return (df.join(ranked, F.col(v) == F.col("_v"), "left")
+              .withColumn(rank_col, (F.coalesce(ahead, known) + 1).cast("bigint")).drop("_v", "_n", "before__n"))
 
 
 def row_number_within(df: DataFrame, partition_cols: Sequence[str], order: Sequence[Column], out: str = "row_number",

@@ -5,7 +5,9 @@ on the driver tables. Each has a DuckDB twin."""
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairn.functions import money, scalars
@@ -13,7 +15,8 @@ from cairn.operators.predicates import not_in_subquery
 from cairn.operators.ordered import rank_global, row_number_within
 from cairn.plans.registry import register
 from cairn.session import checkpoint_dir, read_table
-from cairn.sources import writers
+from cairn.sources import files, writers
+from cairn.sources.ledger import LoadedTable
 
 
 def _t(spark, root, name):
@@ -325,6 +328,24 @@ def mv_revenue_by_status(spark, root):
     return writers.read_current(spark, path)
 
 
+@register("load_ledger", oracle="""
+SELECT CAST(o_orderkey % 6 AS BIGINT) AS batch, CAST(count(*) AS BIGINT) AS rows_parsed, CAST(count(*) AS BIGINT) AS rows_loaded,
+       CAST(0 AS BIGINT) AS errors_seen, 'LOADED' AS status, CASE WHEN o_orderkey % 6 < 4 THEN 1 ELSE 2 END AS step
+FROM orders GROUP BY ALL""")
+def load_ledger(spark, root):
+    """CSV files made from the orders arrive in two steps; each load
+    reports the files that are new to it, and one more load finds none."""
+    rows = _t(spark, root, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice").withColumn("batch", F.col("o_orderkey") % 6)
+    folder = files.shared_folder(spark, "load-ledger")
+    table = LoadedTable(f"{folder}/table", f"{folder}/in", rows.drop("batch").schema)
+    reports = []
+    for step, arrived in enumerate((F.col("batch") < 4, F.col("batch") >= 4, F.lit(False)), start=1):
+        rows.filter(arrived).repartition("batch").write.mode("append").partitionBy("batch").option("header", True).csv(f"{folder}/in")
+        reports.append(table.load(spark, "*.csv").withColumn("step", F.lit(step)))
+    batch = F.regexp_extract("path", "batch=([0-9]+)", 1).cast("bigint").alias("batch")
+    return reduce(DataFrame.unionAll, reports).select(batch, "rows_parsed", "rows_loaded", "errors_seen", "status", "step")
+
+
 # ---------------------------------------------------------------- 2.6 windows
 
 _SPEND = """

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cairn.session import read_table  # noqa: F401  (S1, re-exported)
+from cairn.sources import files
 
 CORRUPT = "_corrupt_record"
 
@@ -69,7 +70,7 @@ def read_with_report(spark: SparkSession, path: str, schema: T.StructType, fmt:
     for k, v in options.items():
         r = r.option(k, v)
     raw = r.format(fmt).load(path).select("*", F.col("_metadata.file_name").alias("_file"))
-    raw = raw.cache()  # Spark forbids querying only the corrupt column of a raw scan
+    raw = files.staged(raw, "load")  # parsed once; Spark forbids querying only the corrupt column of a raw scan
     bad = F.col(CORRUPT).isNotNull()
     report = raw.groupBy(F.col("_file").alias("file")).agg(
         F.count(F.lit(1)).alias("rows_parsed"),

@@ -109,10 +109,9 @@ def test_upsert_rejects_duplicate_source_keys(spark):
 
 
 def test_update_delete_null_predicate(spark):
-    lake = spark.createDataFrame(
-        [(1, "Ava", "Keyboard", 49.99), (2, "Liam", "Monitor", 219.00), (3, "Mia", "Mouse", 19.50),
-         (4, "Noah", "Laptop", 1299.00), (5, "Emma", "Webcam", 89.00)],
-        "order_id int, customer string, product string, amount double")
+    amounts = [49.99, 219.00, 19.50, 1299.00, 89.00]  # fixed values: their sum is the golden one
+    lake = spark.createDataFrame([(i, f"buyer {i}", f"thing {i}", a) for i, a in enumerate(amounts, 1)],
+                                 "order_id int, customer string, product string, amount double")
     agg = lake.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("amount").cast("decimal(10,2)")).alias("s")).first()
     assert agg["n"] == 5 and float(agg["s"]) == 1676.49
     upd = ch.update_rows(lake, F.col("order_id") == 4, {"amount": F.lit(999.00)})

@@ -27,22 +27,23 @@ def test_csv_declared_schema_quotes(spark, tmp_dir):
     _write(f"{tmp_dir}/in/orders.csv", ORDERS_CSV)
     df = readers.read_csv(spark, f"{tmp_dir}/in", ORDERS_SCHEMA)
     rows = {r["order_id"]: r for r in df.collect()}
-    assert len(rows) == 4
-    assert rows[1002]["customer_name"] == "Garcia, Mia"
-    assert rows[1003]["customer_name"] == 'Noah "NK" Kim'
-    assert str(rows[1001]["amount"]) == "72.50"
+    assert len(rows) == 5
+    assert rows[78]["customer_name"] == "Saar, Juri"
+    assert rows[91]["customer_name"] == 'Olaf "Olli" Berg'
+    assert rows[104]["customer_name"] is None
+    assert str(rows[77]["amount"]) == "18.40"
 
 
 def test_failfast_aborts_and_report_counts(spark, tmp_dir):
-    bad = ORDERS_CSV + "1004,Bad Row,XX,not-a-time,NEW,abc\n"
+    bad = ORDERS_CSV + "106,Nobody,QQ,yesterday,PAID,much\n"
     _write(f"{tmp_dir}/in/orders.csv", bad)
     with pytest.raises(Exception):
         readers.read_csv(spark, f"{tmp_dir}/in", ORDERS_SCHEMA, mode="FAILFAST").collect()
     good, report = readers.read_with_report(spark, f"{tmp_dir}/in", ORDERS_SCHEMA)
-    assert good.count() == 4
+    assert good.count() == 5
     r = report.first()
     assert (r["file"], r["rows_parsed"], r["rows_loaded"], r["errors_seen"], r["status"]) == \
-        ("orders.csv", 5, 4, 1, "PARTIALLY_LOADED")
+        ("orders.csv", 6, 5, 1, "PARTIALLY_LOADED")
 
 
 def test_json_variant_lines(spark, tmp_dir):
@@ -88,7 +89,7 @@ def test_list_files_does_not_read_content(spark, tmp_dir):
 
 def test_load_csv_table_and_generator(spark, tmp_dir):
     _write(f"{tmp_dir}/c/orders.csv", ORDERS_CSV)
-    assert readers.load_csv_table(spark, f"{tmp_dir}/c").count() == 4
+    assert readers.load_csv_table(spark, f"{tmp_dir}/c").count() == 5
     g = readers.generate_rows(spark, 1000, seed=7)
     rows = g.collect()
     assert len(rows) == 1000 and all(len(r["payload"]) == 80 for r in rows)

@@ -33,14 +33,14 @@ def test_ingest_new_files_load_once(spark, tmp_dir):
     src, dst, ck = f"{tmp_dir}/stage", f"{tmp_dir}/table", f"{tmp_dir}/ck"
     _write(f"{src}/stream_orders.csv", STREAM_ORDERS_CSV)
     ingest.ingest_new_files(spark, src, dst, ck, "csv", ORDERS_SCHEMA)
-    assert spark.read.parquet(dst).count() == 3
+    assert spark.read.parquet(dst).count() == 4
     ingest.ingest_new_files(spark, src, dst, ck, "csv", ORDERS_SCHEMA)     # re-run: nothing new
-    assert spark.read.parquet(dst).count() == 3
+    assert spark.read.parquet(dst).count() == 4
     _write(f"{src}/more.csv", "order_id,customer_name,country,order_ts,status,amount\n"
-                              "5004,Kai,NZ,2026-07-01 09:20:00,NEW,10.00\n")
+                              "314,Teo Marsh,NZ,2026-03-10 21:00:00,PAID,10.00\n")
     ingest.ingest_new_files(spark, src, dst, ck, "csv", ORDERS_SCHEMA)
     df = spark.read.parquet(dst)
-    assert df.count() == 4
+    assert df.count() == 5
     assert {r["source_file"] for r in df.collect()} == {"stream_orders.csv", "more.csv"}
 
 
@@ -59,7 +59,7 @@ def test_continuous_load_kafka_shaped(spark, tmp_dir):
     assert env.select(js.typeof(F.col("record_content")).alias("t")).distinct().first()["t"] == "OBJECT"
     shaped = js.shape_events(env).orderBy("kafka_offset").collect()
     assert [r["kafka_offset"] for r in shaped] == [0, 1, 2, 3, 4]
-    assert shaped[1]["product"] == "Mouse" and str(shaped[1]["price"]) == "19.99"
+    assert shaped[1]["product"] == "Teapot" and str(shaped[1]["price"]) == "18.25"
 
 
 def test_consume_once_skip_empty_and_run_log(spark, tmp_dir):

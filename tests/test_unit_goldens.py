@@ -2,6 +2,8 @@
 
 import re
 
+import pytest
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -242,6 +244,25 @@ def test_batched_call_leaves_other_columns_alone(spark):
     assert [(r["id"], r["taxed"]) for r in out] == [(big, 53.99), (None, 108.0), (big + 2, None)]
 
 
+def test_tax_on_large_amounts(spark):
+    df = spark.createDataFrame([(1e13,), (-2.5e13,), (8.6e12,), (0.0,)], "amount double")
+    out = udfs.call_batched(df, ["amount"], "taxed", T.DoubleType(), udfs.tax_service("0.08")).collect()
+    assert [r["taxed"] for r in out] == [1.08e13, -2.7e13, 9.288e12, 0.0]
+
+
+@pytest.mark.parametrize("shape", ["names", "outlier", "power"])
+def test_ranges_hold_alike_many_values(spark, shape):
+    """Quantile edges: names of one prefix, one outlier, a power law."""
+    from cairn.operators.ordered import in_ranges
+    value = {"names": F.format_string("Customer#%012d", F.col("id")), "outlier": F.when(F.col("id") == 5, 1e15).otherwise(F.col("id").cast("double")),
+             "power": F.pow(F.lit(1.002), F.col("id"))}[shape]
+    placed = in_ranges(spark.range(20_000).select(value.alias("v")).distinct(), "v", 32)
+    sizes = sorted((r["_bucket"], r["n"], r["lo"], r["hi"]) for r in
+                   placed.groupBy("_bucket").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect())
+    assert len(sizes) >= 16 and max(n for _, n, _, _ in sizes) < 20_000 / 8
+    assert all(a[3] < b[2] for a, b in zip(sizes, sizes[1:]))
+
+
 def test_cents_round_as_prices_do(spark):
     from cairn.functions import money
     df = spark.createDataFrame([(x,) for x in (1.005, 0.145, 2.675, -1.005, 99.995, 0.07, 1234567.89)], "p double")
