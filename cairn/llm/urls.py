@@ -7,6 +7,7 @@ every term counts once, so one strict or several distinct soft terms reject.
 
 Defined cases: a NULL URL, or one without ``://``, has an empty host and path,
 fits no rule, and its text is still searched (NULL: no hits, allowed). An
+empty vocabulary finds nothing, and without rules none fits. An
 empty path fits no rule, because the rules' paths begin with a slash. Repeated
 rows give repeated results. Only the named columns are read.
 """
@@ -48,7 +49,7 @@ def fits(rule: str, host: Column, path: Column) -> Column:
 def first_fit(rules, host: Column, path: Column, value) -> Column:
     """``value(rule, verdict)`` of the longest fitting rule, else NULL."""
     ranked = sorted(rules, key=lambda r: -len(r[0]))
-    return F.coalesce(*(F.when(fits(r, host, path), F.lit(value(r, v))) for r, v in ranked))
+    return F.coalesce(F.lit(None).cast("string"), *(F.when(fits(r, host, path), F.lit(value(r, v))) for r, v in ranked))
 
 
 def with_hits(df: DataFrame, url: str, vocabulary: dict[str, float], reject_at: float) -> DataFrame:
@@ -61,9 +62,12 @@ def with_hits(df: DataFrame, url: str, vocabulary: dict[str, float], reject_at:
         machine = ahocorasick.Automaton()
         for term in vocabulary:
             machine.add_word(term, term)
-        machine.make_automaton()
+        if vocabulary:
+            machine.make_automaton()
 
         def hits(text: str | None) -> set[str]:
+            if not vocabulary:  # an automaton needs a word
+                return set()
             low = "".join(c.lower() if c.isascii() else c for c in text or "")
             edge = lambda i: not (0 <= i < len(low) and low[i].isascii() and low[i].isalnum())
             return {t for end, t in machine.iter(low) if edge(end + 1) and edge(end - len(t))}

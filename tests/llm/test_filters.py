@@ -54,6 +54,8 @@ def test_url_judgement(spark):
     got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urls.judge_urls(df).collect()}
     assert got == {i: cases[u] for i, u, _, _ in rows}
     assert urls.judge_urls(df.limit(0)).count() == 0
+    bare = urls.judge_urls(df.union(df), vocabulary={}, rules=()).collect()
+    assert len(bare) == 2 * len(rows) and {(r.rule, r.verdict, r.n_strict) for r in bare} == {(None, "allow", 0)}
 
 
 def test_classifier_held_out_accuracy(spark):
