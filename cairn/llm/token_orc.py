@@ -29,7 +29,7 @@ from cairn.llm.tokens import encoder, read_vocabulary
 END = 2
 ROW_INDEX = 1000
 #: Chunks a worker remembers, and characters it encodes together: it does nothing else, so more than by default.
-CACHE, CHARS = 700_000, 4_000_000
+CACHE, CHARS = 500_000, 2_000_000
 STRIPE_BYTES = 64 << 20
 
 

@@ -20,6 +20,8 @@ import numpy as np
 CHUNK_CACHE, CHUNK_CHARS = 200_000, 48
 #: Texts that are encoded together hold so many characters, or are one text.
 CHARS_AT_ONCE = 2_000_000
+#: New chunks in one call of the library.
+NEW_AT_ONCE = 8_000
 
 _BEFORE_SPACE = re.compile(r"(?<=\S)(?=[ \t\n\r\x0b\x0c])")
 _DOUBLE_SPACE = re.compile(r"\s\s|\x01")
@@ -81,12 +83,16 @@ class Encoder:
         self.flat, self.start, self.size, self.uses = (np.empty(0, t) for t in (np.uint32, np.int64, np.int64, np.int64))
 
     def _learn(self) -> None:
-        """Encode the chunks that are new, all in one call."""
-        found = [x.ids for x in self.library.encode_batch_fast([chunk_of(k) for k in self.codes.new], add_special_tokens=False)]
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        self.start = np.append(self.start, len(self.flat) + np.cumsum(size) - size)
-        self.size, self.uses = np.append(self.size, size), np.append(self.uses, np.zeros(len(found), np.int64))
-        self.flat = np.append(self.flat, np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum())))
+        """Encode the chunks that are new, ``NEW_AT_ONCE`` in a call (the
+        library's result objects take some hundred times the ids' bytes)."""
+        sizes, flat = [self.size], [self.flat]
+        for at in range(0, len(self.codes.new), NEW_AT_ONCE):
+            found = [x.ids for x in self.library.encode_batch_fast([chunk_of(k) for k in self.codes.new[at : at + NEW_AT_ONCE]], add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+            flat.append(np.fromiter(chain.from_iterable(found), np.uint32, int(sizes[-1].sum())))
+        self.size, self.flat = np.concatenate(sizes), np.concatenate(flat)
+        self.start = np.cumsum(self.size) - self.size
+        self.uses = np.append(self.uses, np.zeros(len(self.codes.new), np.int64))
         self.codes.new = []
 
     def _forget(self) -> None:
