@@ -118,7 +118,7 @@ def sketch(signature: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(id, text) to id, n (set size), digest of the set, band keys, sketch."""
+    """(id, hash, text) to id, hash, n (set size), digest of the set, band keys, sketch."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -134,20 +134,21 @@ def signatures(docs: DataFrame) -> DataFrame:
                 keys.append(band_keys(signature).view(np.int64) if len(s) else None)
                 bits.append(sketch(signature).view(np.int64) if len(s) else None)
             longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
-                                              pa.array(keys, longs), pa.array(bits, longs)], names=["id", "n", "digest", "keys", "bits"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("hash"), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
+                                              pa.array(keys, longs), pa.array(bits, longs)], names=["id", "hash", "n", "digest", "keys", "bits"])
 
-    return docs.mapInArrow(sign, "id long, n long, digest binary, keys array<long>, bits array<long>")
+    return docs.mapInArrow(sign, "id long, hash long, n long, digest binary, keys array<long>, bits array<long>")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those pairs (a, b) whose full sets reach the threshold."""
+    """Of pairs of sets (a, set_a, b, set_b) the ids (a, b) of those that reach
+    the threshold; ``texts`` has one row for each (id, set)."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler()
-        recent: dict[int, np.ndarray] = {}
+        recent: dict[tuple[int, int], np.ndarray] = {}
 
-        def of(key: int, text) -> np.ndarray:
+        def of(key: tuple[int, int], text) -> np.ndarray:
             if key not in recent:
                 while len(recent) > 64:
                     recent.pop(next(iter(recent)))
@@ -155,7 +156,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             return recent[key]
 
         for batch in batches:
-            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+            a, b = (list(zip(batch.column(s).to_pylist(), batch.column(f"set_{s}").to_pylist(), strict=True)) for s in "ab")
             linked = []
             for i, (p, q) in enumerate(zip(a, b, strict=True)):
                 x, y = of(p, batch.column("text_a")[i]), of(q, batch.column("text_b")[i])
@@ -163,45 +164,66 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 linked.append(bool(both) and 100 * both >= THRESHOLD * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
-    of_a = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
-    of_b = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(of_b, "b").join(of_a, "a").select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long")
+    side = lambda s: texts.select(F.col("id").alias(s), F.col("set").alias(f"set_{s}"), F.col("text").alias(f"text_{s}"))
+    both = pairs.join(side("b"), ["b", "set_b"]).join(side("a"), ["a", "set_a"])
+    return both.select("a", "set_a", "b", "set_b", "text_a", "text_b").mapInArrow(compare, "a long, b long")
+
+
+def candidate_texts(docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(id, set, text), one row for each of ``sets`` (id, set, recurs). Most ids
+    have one row; the rows of ids that recur are reduced to one for each set,
+    copies before they are shuffled."""
+    once = docs.join(sets.filter("NOT recurs").select("id", "set"), "id").select("id", "set", "text")
+    again = sets.filter("recurs").select(F.col("id").alias("of"), "set")
+    rows = docs.join(again.select("of").distinct(), F.col("id") == F.col("of"), "left_semi").dropDuplicates(["id", "hash"])
+    rows = rows.join(again, (F.col("id") == F.col("of")) & ((F.col("set") == 0) | (F.col("set") == F.col("hash"))))
+    return once.unionByName(rows.select("id", "set", "text").dropDuplicates(["id", "set"]))
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: key, n_shingles, component_id, kept."""
+    """One row per input row: key, n_shingles, component_id, kept. Links are
+    between ids; the texts of an id that has several are each compared."""
     bounded_batches(df.sparkSession)
-    docs = df.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    signed = staged(signatures(docs), "signatures")
+    docs = df.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).withColumn("hash", F.xxhash64("text"))
+    signed = staged(signatures(docs.select("id", "hash", "text")), "signatures")
     usable = signed.filter("id IS NOT NULL AND digest IS NOT NULL")
-    classes = staged(usable.groupBy("digest").agg(F.min("id").alias("rep")), "classes")
-    reps = staged(usable.join(classes, (usable.digest == classes.digest) & (F.col("id") == F.col("rep")), "left_semi")
-                  .dropDuplicates(["id", "digest"]).select("id", "n", "keys", "bits"), "reps")
-
-    members = reps.select("id", F.posexplode("keys").alias("band", "bucket"))
-    shared = staged(members.groupBy("bucket").agg(F.min("id").alias("lead"), F.max("id").alias("top"))
-                    .filter("lead < top").select("bucket", "lead"), "buckets")
+    first_row = F.min(F.struct("id", "hash")).alias("first")
+    classes = staged(usable.groupBy("digest").agg(first_row).select("digest", F.col("first.id").alias("rep"), F.col("first.hash").alias("rep_hash")), "classes")
+    recurring = staged(usable.groupBy("id").agg(F.count("*").alias("rows"), (F.min("digest") != F.max("digest")).alias("several"))
+                       .filter("rows > 1").select("id", "several"), "recurring")
+    # a set is known by its id, and where that has several by the hash of the text too
+    of_class = (usable.digest == classes.digest) & (F.col("id") == F.col("rep")) & (F.col("hash") == F.col("rep_hash"))
+    reps = staged(usable.join(classes, of_class, "left_semi").dropDuplicates(["id", "digest"]).join(recurring, "id", "left")
+                  .select("id", F.when(F.col("several"), F.col("hash")).otherwise(F.lit(0).cast("long")).alias("set"),
+                          F.col("several").isNotNull().alias("recurs"), "n", "keys", "bits"), "reps")
+
+    members = reps.select("id", "set", "recurs", F.posexplode("keys").alias("band", "bucket"))
+    me = F.struct("id", "set")
+    shared = staged(members.groupBy("bucket").agg(F.min(me).alias("lead"), F.max(me).alias("top"))
+                    .filter("lead < top").select("bucket", F.col("lead.id").alias("lead"), F.col("lead.set").alias("lead_set")), "buckets")
     members = staged(members.join(shared, "bucket"), "members")
-    texts = staged(docs.join(members.select("id").distinct(), "id", "left_semi"), "texts")
-    star = members.filter("id > lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
+    texts = staged(candidate_texts(docs, members.select("id", "set", "recurs").distinct()), "texts")
+    star = members.filter("id > lead").select(F.col("lead").alias("a"), F.col("lead_set").alias("set_a"), F.col("id").alias("b"), F.col("set").alias("set_b")).distinct()
     links = staged(confirmed(star, texts), "links")
 
     # the second round: across the components of a bucket
     first = connected(links)
-    placed = staged(members.join(first, "id", "left").select("id", "band", "bucket", F.coalesce("component", "id").alias("part")), "placed")
+    placed = staged(members.join(first, "id", "left").select("id", "set", "band", "bucket", F.coalesce("component", "id").alias("part")), "placed")
     split = staged(placed.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high"))
                    .filter("low < high").select("bucket"), "split")
-    open_rows = placed.join(split, "bucket").join(reps.select("id", "n", "bits", "keys"), "id")
-    side = staged(open_rows.select("band", "bucket", "part", "id", "n", "keys", *(F.col("bits")[i].alias(f"s{i}") for i in range(SKETCH_LONGS))), "open")
+    open_rows = placed.join(split, "bucket").join(reps.select("id", "set", "n", "bits", "keys"), ["id", "set"])
+    side = staged(open_rows.select("band", "bucket", "part", "id", "set", "n", "keys", *(F.col("bits")[i].alias(f"s{i}") for i in range(SKETCH_LONGS))), "open")
     a, b = side.alias("x"), side.alias("y")
     apart = sum((F.bit_count(F.col(f"x.s{i}").bitwiseXOR(F.col(f"y.s{i}"))) for i in range(SKETCH_LONGS)), F.lit(0))
     near = ((F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.part") != F.col("y.part"))
             & (100 * F.least("x.n", "y.n") >= THRESHOLD * F.greatest("x.n", "y.n")) & (apart <= SKETCH_LIMIT)
             & (F.array_position(F.zip_with("x.keys", "y.keys", lambda p, q: p == q), True) == F.col("x.band") + 1))  # their first common bucket
-    crossing = a.join(b, near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    crossing = a.join(b, near).select(F.col("x.id").alias("a"), F.col("x.set").alias("set_a"), F.col("y.id").alias("b"), F.col("y.set").alias("set_b")).distinct()
     more = staged(confirmed(crossing, texts), "links")
 
-    groups = connected(links.union(more))
+    # an id with several sets joins their classes
+    joins = usable.join(recurring.filter("several"), "id", "left_semi").join(classes, "digest").select(F.col("id").alias("a"), F.col("rep").alias("b"))
+    groups = connected(links.union(more).union(joins))
     by_class = staged(classes.join(groups, classes.rep == groups.id, "left")
                       .select("digest", F.coalesce("component", "rep").alias("component")), "by-class")
     found = signed.select("id", "n", "digest").join(by_class, "digest", "left")

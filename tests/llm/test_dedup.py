@@ -47,6 +47,17 @@ def test_minhash_odd_rows(spark):
     assert minhash.near_duplicates(documents(spark).limit(0)).count() == 0
 
 
+def test_minhash_ids_with_several_texts(spark):
+    """Each text of an id is compared, in whatever order the rows come; an id that recurs costs one text."""
+    one, two = (" ".join(f"{p}{i}" for i in range(60)) for p in "xy")
+    three = "some other words"
+    near = two + " tail"
+    rows = [(1, one), (1, two), (2, near), (3, one.upper()), (2, three), (0, three)] + [(5, near)] * 5000
+    for these in (rows, rows[::-1]):
+        got = {(r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(documents(spark, these)).collect()}
+        assert got == {(0, 0, True), (1, 0, False), (2, 0, False), (3, 0, False), (5, 0, False)}
+
+
 def test_star_misses_are_found_across_components(spark):
     """A hub whose copies differ from each other, and a chain that only its neighbours link."""
     base = [f"t{i}" for i in range(100)]
