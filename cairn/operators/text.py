@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cairn.sources.answers import AnswerCache, digest
+
 TOKEN_SPLIT = r"[^\p{L}]+"
 SENTENCE_SPLIT = r"[.!?\n]+"
 
@@ -163,32 +165,36 @@ def summarize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 
 def enrich_with(df: DataFrame, text_col: str, fn: Callable[[pd.Series], pd.Series],
-                out_col: str, dedupe: bool = True) -> DataFrame:
+                out_col: str, dedupe: bool = True, sent: Column | None = None,
+                cache: AnswerCache | None = None) -> DataFrame:
     """Apply an external text function (a model, a remote service) in Arrow
-    batches. With ``dedupe`` each distinct text is sent once and the answer
-    is joined back by a hash of the text plus the text itself; exact copies
-    (a third of all rows may be one text) collapse in the map-side partial
-    aggregate of the distinct."""
-    udf = F.pandas_udf(fn, T.StringType())
+    batches to the rows where ``sent`` is TRUE (all, unless given); the others
+    and NULL texts get NULL. With ``dedupe`` each distinct text is sent once,
+    and the answer is joined back by a 128-bit digest of the text; copies (a
+    third of all rows may be one text) collapse before they are shuffled.
+    A ``cache`` keeps answers across runs: only texts new to it are sent, as
+    the frame is built. Rows that are not sent have digests too, so they spread
+    over the join's partitions like the others."""
+    keyed = df.withColumns({"_digest": digest(F.col(text_col)), "_sent": F.col(text_col).isNotNull() & F.coalesce(F.lit(True) if sent is None else sent, F.lit(False))})
     if not dedupe:
-        return df.withColumn(out_col, udf(F.col(text_col)))
-    key = F.xxhash64(F.col(text_col))
-    distinct = df.filter(F.col(text_col).isNotNull()).select(key.alias("_h"), F.col(text_col).alias("_t")).distinct()
-    answers = distinct.select(F.col("_h").alias("_ah"), "_t", udf(F.col("_t")).alias(out_col))
-    return (df.withColumn("_h", key)
-              .join(answers, (F.col("_h") == F.col("_ah")) & (F.col(text_col) == F.col("_t")), "left")
-              .drop("_h", "_ah", "_t"))
+        answer = F.pandas_udf(fn, T.StringType())(F.when(F.col("_sent"), F.col(text_col)))
+        return keyed.withColumn(out_col, answer).drop("_digest", "_sent")
+    texts = keyed.filter("_sent").select(F.col("_digest").alias("digest"), F.col(text_col).alias("text")).dropDuplicates(["digest"])
+    answers = cache.learn(texts, fn) if cache else texts.select("digest", F.pandas_udf(fn, T.StringType())("text").alias("answer"))
+    answers = answers.select(F.col("digest").alias("_of"), F.col("answer").alias("_answer"))
+    joined = keyed.join(answers, F.col("_digest") == F.col("_of"), "left")
+    return joined.withColumn(out_col, F.when(F.col("_sent"), F.col("_answer"))).drop("_digest", "_sent", "_of", "_answer")
 
 
 def translate_route(df: DataFrame, text_col: str, lang_col: str,
                     fn: Callable[[pd.Series], pd.Series], target: str = "en",
-                    out_col: str = "english_text") -> DataFrame:
+                    out_col: str = "english_text", cache: AnswerCache | None = None) -> DataFrame:
     """T5: only rows whose language differs from ``target`` go through the
-    translator; the rest pass through unchanged. One frame: what is not to be
-    translated is NULL for the translator, which is joined back by text."""
-    sent = F.when(F.col(lang_col) != target, F.col(text_col))
-    done = enrich_with(df.withColumn("_sent", sent), "_sent", fn, "_answer")
-    return done.withColumn(out_col, F.when(F.col("_sent").isNull(), F.col(text_col)).otherwise(F.col("_answer"))).drop("_sent", "_answer")
+    translator; the rest pass through unchanged, as do rows without a
+    language. A ``cache`` keeps translations across runs."""
+    foreign = F.coalesce(F.col(lang_col) != target, F.lit(False))
+    done = enrich_with(df, text_col, fn, "_translated", sent=foreign, cache=cache)
+    return done.withColumn(out_col, F.when(foreign, F.col("_translated")).otherwise(F.col(text_col))).drop("_translated")
 
 
 def stand_in_translator(s: pd.Series) -> pd.Series:

@@ -18,6 +18,7 @@ from cairn.session import read_table
 from cairn.sources import files
 from cairn.sources.keyed import KeyedTable
 from cairn.streaming.deltas import DeltaAggregate
+from cairn.streaming.snapshots import SnapshotLog
 
 NEW_KEY_OFFSET = 1_000_000_000
 
@@ -217,6 +218,17 @@ def state_before(spark, root):
         "user_id", "event_id", "ts", "event_type", "value", "props")
 
 
+@register("state_from_snapshots", oracle=_AS_OF.format(op="<="))
+def state_from_snapshots(spark, root):
+    """C11 on a stored log with the states after two days under it: the read
+    starts from the later one and replays the days since. The log lies in a
+    folder of its own."""
+    log = SnapshotLog(files.shared_folder(spark, "event-log"), ("user_id",), "ts", "event_type", ("error",), ("event_id",))
+    log.append(read_table(spark, root, "events"))
+    log.snapshot(spark, ["2024-01-07", "2024-01-12"])
+    return log.state_as_of(spark, "2024-01-15 00:00:00").select("user_id", "event_id", "ts", "event_type", "value", "props")
+
+
 @register("restore_missing", oracle="SELECT * FROM orders")
 def restore_missing(spark, root):
     """After deleting every finished order by mistake, restore the

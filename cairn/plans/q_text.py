@@ -15,6 +15,7 @@ from cairn.operators import text as tx
 from cairn.plans.registry import register
 from cairn.session import read_table
 from cairn.sources import files
+from cairn.sources.answers import RUN, AnswerCache, digest
 from cairn.sources.keyed import KeyedTable
 from cairn.streaming.layers import Layer, Source
 
@@ -162,6 +163,23 @@ def translate_route(spark, root):
         "doc_id", "lang", "english_text")
 
 
+@register("translate_cached", oracle="""
+WITH sent AS (SELECT text, CAST(min(CASE WHEN doc_id % 2 = 0 THEN 1 ELSE 2 END) AS INTEGER) AS answered_in
+              FROM documents WHERE lang <> 'en' GROUP BY text)
+SELECT d.doc_id, CASE WHEN lang <> 'en' THEN '[en] ' || d.text ELSE d.text END AS english_text, s.answered_in
+FROM documents d LEFT JOIN sent s ON d.lang <> 'en' AND d.text = s.text""")
+def translate_cached(spark, root):
+    """T5 / T8 with kept answers: the even documents are translated first, then
+    all of them; ``answered_in`` is the run that had to ask for a text. The
+    cache is the feature: each call has a folder of its own."""
+    d = _docs(spark, root).select("doc_id", "lang", "text")
+    cache = AnswerCache(files.shared_folder(spark, "answers"))
+    tx.translate_route(d.filter("doc_id % 2 = 0"), "text", "lang", tx.stand_in_translator, cache=cache)
+    done = tx.translate_route(d, "text", "lang", tx.stand_in_translator, cache=cache).select("doc_id", "english_text")
+    asked = d.filter("lang <> 'en'").select("doc_id", digest(F.col("text")).alias("digest")).join(cache.read(spark), "digest")
+    return done.join(asked.select("doc_id", F.col(RUN).alias("answered_in")), "doc_id", "left")
+
+
 @register("enriched_table", oracle=f"WITH {_SENTIMENT[6:]}," + _labels_sql(
     "category", tx.CATEGORIES, list(tx.CATEGORIES)[-1]) + "," + _labels_sql(
     "route_to", tx.ROUTES, list(tx.ROUTES)[-1]) + """
