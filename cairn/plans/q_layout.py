@@ -1,9 +1,11 @@
-"""Registered clustering audits (L1, L2) on ``orders``.
-
-Two layouts of the same rows, audited on ``o_orderdate``: the natural load
-order (blocks of 1,000 order keys; dates are random, so every block spans
-nearly the whole date range) and a date-sorted layout (one block per month).
-The oracle computes overlaps and depth with plain self-joins.
+"""Registered clustering audits (L1, L2) on stored copies of ``orders``.
+
+Two copies of the table are written into the shared folder and audited on
+``o_orderdate`` through the footers of their files: one in load order (a file
+for 1,000 order keys; dates are random, so every file spans nearly the whole
+date range) and one by date (a file for a month). The folder that a row lies
+in is a rule on the row, so the oracle knows the files; it computes overlaps
+and depth with plain self-joins.
 """
 
 from __future__ import annotations
@@ -13,13 +15,20 @@ from pyspark.sql import functions as F
 from cairn.operators import layout
 from cairn.plans.registry import register
 from cairn.session import read_table
+from cairn.sources import files
+
+
+def _copy(spark, root, natural: bool) -> str:
+    """The path of a copy of ``orders``, one file in each folder."""
+    o = read_table(spark, root, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    folder = F.floor(F.col("o_orderkey") / 1000) if natural else F.date_format("o_orderdate", "yyyyMM")
+    path = files.shared_folder(spark, "orders-copy")
+    o.withColumn("folder", folder.cast("bigint")).repartition("folder").write.partitionBy("folder").parquet(path)
+    return path
 
 
-def _orders(spark, root, natural: bool):
-    o = read_table(spark, root, "orders").select("o_orderkey", "o_orderdate")
-    part = (F.floor(F.col("o_orderkey") / 1000) if natural
-            else F.date_format("o_orderdate", "yyyyMM").cast("int"))
-    return o.withColumn("block", part.cast("bigint"))
+def _intervals(spark, root, natural: bool):
+    return layout.stored_intervals(spark, _copy(spark, root, natural), "o_orderdate")
 
 
 def _oracle(part_sql: str, final: str) -> str:
@@ -43,23 +52,30 @@ _SORTED = "CAST(strftime(o_orderdate, '%Y%m') AS INTEGER)"
 
 @register("clustering_information", oracle=_oracle(_NATURAL, _INFO))
 def clustering_information(spark, root):
-    """L1 on the natural layout: high overlap and depth."""
-    return layout.clustering_information(_orders(spark, root, True), "block", "o_orderdate")
+    """L1 on the load order: high overlap and depth."""
+    return layout.information(_intervals(spark, root, True))
 
 
 @register("clustering_information_sorted", oracle=_oracle(_SORTED, _INFO))
 def clustering_information_sorted(spark, root):
-    """L1 on the date-sorted layout: no overlap, depth 1."""
-    return layout.clustering_information(_orders(spark, root, False), "block", "o_orderdate")
+    """L1 on the copy by date: no overlap, depth 1."""
+    return layout.information(_intervals(spark, root, False))
 
 
 @register("clustering_histogram", oracle=_oracle(_NATURAL, _HIST))
 def clustering_histogram(spark, root):
-    """L1: partition depth histogram of the natural layout."""
-    return layout.depth_histogram(_orders(spark, root, True), "block", "o_orderdate")
+    """L1: depth histogram of the files in load order."""
+    return layout.histogram(_intervals(spark, root, True))
 
 
 @register("clustering_depth", oracle=_oracle(_NATURAL, "SELECT round(avg(depth), 6) AS average_depth FROM per"))
 def clustering_depth(spark, root):
     """L2: the single depth number."""
-    return layout.clustering_depth(_orders(spark, root, True), "block", "o_orderdate")
+    return layout.information(_intervals(spark, root, True)).select("average_depth")
+
+
+@register("file_bounds", oracle=f"""
+SELECT CAST(count(*) AS BIGINT) AS rows, min(o_orderdate) AS lo, max(o_orderdate) AS hi FROM orders GROUP BY {_NATURAL}""")
+def file_bounds(spark, root):
+    """L1: rows and bounds of every file, as its footer tells them."""
+    return layout.footer_bounds(spark, _copy(spark, root, True), "o_orderdate").select("rows", "lo", "hi")
