@@ -8,8 +8,8 @@ model.
 
 Plan choice: a lexicon is a small literal (a fixed-size parameter, not
 data), so hits are counted per row with higher-order array functions
-(``filter`` + ``array_contains`` over the token array). That is a narrow,
-code-generated projection: no explode, no join, no shuffle, and a document
+(``filter`` + ``array_contains`` over the token array). That is a narrow
+projection: no explode, no join, no shuffle, and a document
 of any length is processed whole inside its own row. Only the summariser
 needs corpus statistics (document frequency), which is a real aggregate.
 """
@@ -133,35 +133,43 @@ def first_answer(text: Column, kind: str) -> Column:
     return F.try_element_at(extract_answers(text, kind), F.lit(1))["answer"]
 
 
-def summarize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def token_rows(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """A row for each distinct token of each row's text, found inside the row;
+    the other columns stay. Counted per ``tok`` this is document frequency, and
+    of a change feed its signed change."""
+    others = [c for c in docs.columns if c != text_col]
+    found = F.array_distinct(F.split(F.lower(F.col(text_col)), TOKEN_SPLIT))
+    return docs.select(*others, F.explode(found).alias("tok")).filter(F.col("tok") != "")
+
+
+def summarize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              frequencies: DataFrame | None = None) -> DataFrame:
     """Extractive one-line gist per document: the sentence whose tokens
     have the highest mean document frequency (ties: earliest sentence).
 
-    * Document frequency: the distinct tokens of each document are found
-      inside its row (``array_distinct``), exploded, and counted per token:
-      one shuffle, partially aggregated map-side (a token such as "the"
-      that occurs everywhere is one row per task).
-    * Sentence scores: tokens are counted per sentence, joined to the
-      frequency table on the token (it grows with the vocabulary, so no join
-      is forced), and aggregated per sentence.
+    * Document frequencies (tok, df) are counted over ``docs``, one shuffle
+      with a row per token and task, or given: ``streaming.frequencies`` keeps
+      them under changes, so that new documents are summarised without
+      reading the others. A token that they lack counts 0.
+    * Sentence scores: tokens are joined to the frequencies (the table grows
+      with the vocabulary, so no join is forced; AQE splits a hot token) and
+      aggregated per sentence.
     * The best sentence per document is a ``max`` over (score, -position),
-      an aggregate rather than a window; its text is joined back by
-      (document, position)."""
-    sents = (docs.select(id_col, F.posexplode(F.split(F.col(text_col), SENTENCE_SPLIT)).alias("pos", "s"))
-                 .select(id_col, "pos", F.trim("s").alias("sentence")))
-    toks = (sents.select(id_col, "pos", F.explode(F.split(F.lower("sentence"), TOKEN_SPLIT)).alias("tok"))
-                 .filter(F.col("tok") != ""))
-    doc_toks = docs.select(F.explode(F.array_distinct(F.split(F.lower(F.col(text_col)), TOKEN_SPLIT))).alias("tok"))
-    dfreq = doc_toks.filter(F.col("tok") != "").groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
-    # counted per (document, sentence, token) before the join: a token costs
-    # one row a sentence, and the join may spill or broadcast as AQE measures
-    per_token = toks.groupBy(id_col, "pos", "tok").agg(F.count(F.lit(1)).alias("n"))
-    scored = (per_token.join(dfreq, "tok").groupBy(id_col, "pos")
-              .agg((F.sum(F.col("df") * F.col("n")).cast("double") / F.sum("n")).alias("score")))
-    best = scored.groupBy(id_col).agg(F.max(F.struct("score", (-F.col("pos")).alias("neg_pos"))).alias("b"))
-    best = best.select(id_col, F.col("b.score").alias("score"), (-F.col("b.neg_pos")).alias("pos"))
-    return (best.join(sents, [id_col, "pos"])
-                .select(id_col, F.col("sentence").alias("summary"), F.round("score", 6).alias("score")))
+      an aggregate rather than a window; its text is cut out of the document
+      again by its position."""
+    pieces = F.split(F.col(text_col), SENTENCE_SPLIT)
+    toks = (docs.select(id_col, F.posexplode(pieces).alias("pos", "s"))
+                .select(id_col, "pos", F.explode(F.split(F.lower("s"), TOKEN_SPLIT)).alias("tok")).filter(F.col("tok") != ""))
+    if frequencies is None:
+        dfreq, how = token_rows(docs.select(text_col), text_col).groupBy("tok").agg(F.count(F.lit(1)).alias("df")), "inner"
+    else:
+        dfreq, how = frequencies.select("tok", "df"), "left"
+    scored = (toks.join(dfreq, "tok", how).groupBy(id_col, "pos")
+              .agg((F.coalesce(F.sum("df"), F.lit(0)).cast("double") / F.count(F.lit(1))).alias("score")))
+    best = scored.groupBy(id_col).agg(F.max(F.struct("score", (-F.col("pos")).alias("neg_pos"))).alias("_best"))
+    return (docs.join(best, id_col)
+                .select(id_col, F.trim(F.element_at(pieces, 1 - F.col("_best.neg_pos"))).alias("summary"),
+                        F.round("_best.score", 6).alias("score")))
 
 
 def enrich_with(df: DataFrame, text_col: str, fn: Callable[[pd.Series], pd.Series],

@@ -90,25 +90,27 @@ SELECT doc_id AS ticket_id, source AS channel, lang,
                       '^[^@]+', '****') AS customer_email,
        sentiment_score,
        CASE WHEN sentiment_score < -0.3 THEN 'HIGH' WHEN sentiment_score < 0.3 THEN 'MEDIUM'
-            ELSE 'LOW' END AS priority, category
-FROM scores JOIN category USING (doc_id)"""
+            ELSE 'LOW' END AS priority, category, summary
+FROM scores JOIN category USING (doc_id) LEFT JOIN gist USING (doc_id)"""
 
 
 def _sentiment_oracle():
-    from cairn.plans.q_text import _SENTIMENT, _labels_sql
+    from cairn.plans.q_text import _SENTIMENT, _SUMMARY, _labels_sql
     scores = _SENTIMENT.replace("SELECT d.doc_id, d.lang, d.text,", "SELECT d.doc_id, d.lang, d.text, d.source,")
-    return scores.rstrip() + "," + _labels_sql("category", tx.CATEGORIES, list(tx.CATEGORIES)[-1])
+    return scores.rstrip() + "," + _labels_sql("category", tx.CATEGORIES, list(tx.CATEGORIES)[-1]) + f", gist AS ({_SUMMARY})"
 
 
 @register("tickets_service", oracle=_sentiment_oracle() + _SERVICE)
 def tickets_service(spark, root):
-    """Governed serving view: shaped columns, priority from sentiment,
-    e-mail masked (local part) for non-exempt roles."""
+    """Governed serving view: shaped columns, priority from sentiment, the
+    one-line summary, e-mail masked (local part) for non-exempt roles."""
     d = read_table(spark, root, "documents")
     scored = tx.with_label(tx.with_sentiment(tx.with_tokens(d, "text"), "_tok"), "_tok", tx.CATEGORIES, "category")
     shaped = scored.select(
         F.col("doc_id").alias("ticket_id"), F.col("source").alias("channel"), "lang",
         tx.first_answer(F.col("text"), "email").alias("customer_email"), "sentiment_score", "category")
+    gist = tx.summarize(d).select(F.col("doc_id").alias("_of"), "summary")
+    shaped = shaped.join(gist, F.col("ticket_id") == F.col("_of"), "left").drop("_of")
     shaped = shaped.withColumn("priority", scalars.priority_band(F.col("sentiment_score")))
     mask = pol.MaskingPolicy(scalars.mask_email_local, ("ACCOUNTADMIN",))
     return pol.apply_policies(shaped, "CAPSTONE_ANALYST", masks={"customer_email": mask})

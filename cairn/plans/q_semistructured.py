@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from cairn.operators import semistructured as js
 from cairn.plans.registry import register
 from cairn.session import read_table
+from cairn.sources import files
+from cairn.streaming import ingest
 
 
 def order_documents(docs: DataFrame) -> DataFrame:
@@ -183,3 +185,17 @@ def kafka_envelope(spark, root):
 def shape_events(spark, root):
     """Typed event columns with topic / partition / offset."""
     return js.shape_events(js.kafka_envelope(event_records(spark, root)))
+
+
+@register("kafka_replayed", oracle=_SHAPED)
+def kafka_replayed(spark, root):
+    """A connector that delivers every record once, then a part of
+    them again (twice in one flush); the stream appends each record once."""
+    records = event_records(spark, root)
+    landed, table, mark = (files.shared_folder(spark, n) for n in ("records", "event-table", "event-stream"))
+    again = records.filter(F.col("offset") % 3 == 0)
+    for delivery in (records, again.union(again)):
+        delivery.write.mode("append").parquet(landed)
+        stream = spark.readStream.schema(records.schema).parquet(landed)
+        ingest.stream_to_table(js.kafka_envelope(ingest.once_each(stream)), table, mark, available_now=True).awaitTermination()
+    return js.shape_events(spark.read.parquet(table))

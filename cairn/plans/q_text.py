@@ -17,6 +17,7 @@ from cairn.session import read_table
 from cairn.sources import files
 from cairn.sources.answers import RUN, AnswerCache, digest
 from cairn.sources.keyed import KeyedTable
+from cairn.streaming.frequencies import TokenFrequencies
 from cairn.streaming.layers import Layer, Source
 
 
@@ -130,6 +131,23 @@ def summarize_extract(spark, root):
     return tx.summarize(_docs(spark, root))
 
 
+@register("summarize_kept", oracle=_SUMMARY)
+def summarize_kept(spark, root):
+    """T3 against kept document frequencies: they start from an earlier state
+    of ``documents`` (some missing, some with another text, one text too many)
+    and follow the change feed in two batches. Equals a recompute."""
+    after = _docs(spark, root).select("doc_id", "text")
+    old = F.when(F.col("doc_id") % 10 == 3, F.concat(F.upper("text"), F.lit(" earlier words"))).otherwise(F.col("text"))
+    gone = spark.createDataFrame([(-1, "A text that was deleted. Its words go.")], after.schema)
+    before = after.filter("doc_id % 10 != 7").withColumn("text", old).union(gone)
+    feed = files.staged(ch.change_feed(before, after, ["doc_id"]), "document-changes")
+    kept = TokenFrequencies(files.shared_folder(spark, "frequencies"))
+    kept.start(before)
+    kept.add(feed.filter("is_update"), 1, share=0.0)
+    kept.add(feed.filter("NOT is_update"), 2)
+    return tx.summarize(after, frequencies=kept.read(spark))
+
+
 @register("extract_answer", oracle=r"""
 SELECT doc_id,
        regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]+')[1] AS email_answer,

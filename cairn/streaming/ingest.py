@@ -10,11 +10,15 @@ The checkpoint must live on storage shared by the cluster.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+ARRIVED = "_arrived"
+
 
 def file_stream(spark: SparkSession, src: str, fmt: str, schema: T.StructType | None = None,
                 max_files_per_trigger: int | None = None, **options) -> DataFrame:
@@ -39,6 +43,19 @@ def json_variant_stream(spark: SparkSession, src: str, col: str = "raw") -> Data
                         F.col("_metadata.file_name").alias("source_file"))
 
 
+def once_each(records: DataFrame, keys: Sequence[str] = ("topic", "partition", "offset"), within: str = "1 day") -> DataFrame:
+    """Records that a connector delivers again are dropped.
+
+    A stream remembers the keys of records for ``within`` after they arrived.
+    The watermark is on the time of arrival, not on the record's own time, so
+    late records are never lost; a key delivered again after ``within`` is a new
+    record. A batch frame is reduced whole. Key columns that are NULL are equal."""
+    if not records.isStreaming:
+        return records.dropDuplicates(list(keys))
+    arrived = records.withColumn(ARRIVED, F.current_timestamp()).withWatermark(ARRIVED, within)
+    return arrived.dropDuplicatesWithinWatermark(list(keys)).drop(ARRIVED)
+
+
 def _trigger(writer, available_now: bool, interval: str | None):
     if available_now:
         return writer.trigger(availableNow=True)

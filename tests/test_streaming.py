@@ -3,6 +3,7 @@ empty runs, exactly-once aggregate refresh, continuous load, run log, and
 the layered ticket chain (S8, C3, C6, C8, C9, C10, C14, S13/C13)."""
 
 import os
+import time
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,6 +63,36 @@ def test_continuous_load_kafka_shaped(spark, tmp_dir):
     assert shaped[1]["product"] == "Teapot" and str(shaped[1]["price"]) == "18.25"
 
 
+def test_records_delivered_again_are_appended_once(spark, tmp_dir):
+    """Repeated offsets in a batch and across batches; a late record stays; the
+    state forgets keys after the time that they are kept for."""
+    schema = "topic string, partition int, offset long, value string, timestamp timestamp"
+    src, dst, ck = f"{tmp_dir}/src", f"{tmp_dir}/dst", f"{tmp_dir}/ck"
+
+    def deliver(offsets, within="1 hour", when="2026-07-01 09:00:00", into=""):
+        rows = [("t", p, o, f"v{p}{o}") for o in offsets for p in (0, 1)]
+        df = spark.createDataFrame(rows, "topic string, partition int, offset long, value string")
+        df.withColumn("timestamp", F.lit(when).cast("timestamp")).coalesce(1).write.mode("append").parquet(src + into)
+        stream = spark.readStream.schema(schema).parquet(src + into)
+        q = ingest.stream_to_table(ingest.once_each(stream, within=within), dst + into, ck + into, available_now=True)
+        q.awaitTermination()
+        return q.recentProgress
+
+    deliver([0, 1, 1, 2])
+    deliver([2, 2, 3])
+    deliver([1, 4], when="2019-01-01 00:00:00")  # long before the others
+    got = spark.read.parquet(dst)
+    assert got.columns == ["topic", "partition", "offset", "value", "timestamp"]
+    assert sorted((r["partition"], r["offset"]) for r in got.collect()) == [(p, o) for p in (0, 1) for o in range(5)]
+
+    for i in range(4):
+        held = deliver(range(10 * i, 10 * i + 10), within="1 second", into="-short")[-1].stateOperators[0].numRowsTotal
+        time.sleep(1.5)
+    assert held <= 40 and spark.read.parquet(f"{dst}-short").count() == 80
+    batch = spark.createDataFrame([("t", 0, 1), ("t", 0, 1), ("t", 1, 1), (None, 1, 1)], "topic string, partition int, offset int")
+    assert ingest.once_each(batch).count() == 3
+
+
 def test_consume_once_skip_empty_and_run_log(spark, tmp_dir):
     log, hist, ck, runs = f"{tmp_dir}/changes", f"{tmp_dir}/history", f"{tmp_dir}/ck", f"{tmp_dir}/runs"
     s = "order_id int, customer string, amount int, status string"
