@@ -1,9 +1,11 @@
-"""Registered sales queries."""
+"""Registered sales queries."""
 
 from __future__ import annotations
 
 from cairn.plans import sales
 from cairn.plans.registry import register
+from cairn.plans.sales_job import refresh_sales_analytics
+from cairn.sources import files, writers
 
 _STAR = """
 FROM lineitem
@@ -82,3 +84,36 @@ def top_customers(spark, root):
     where="WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND upper(c_mktsegment) = 'BUILDING'", n=5))
 def top_customers_building(spark, root):
     return sales.top_customers(sales.customer_rollup(spark, root, "BUILDING", "1997-01-01"), 5)
+
+
+def _refreshed(spark, root) -> str:
+    """Where the job has stored its tables: all segments, then one again since 1997."""
+    dst = files.shared_folder(spark, "sales-job")
+    refresh_sales_analytics(spark, root, dst)
+    refresh_sales_analytics(spark, root, dst, "BUILDING", "1997-01-01", 3)
+    return dst
+
+
+@register("sales_refresh", oracle=_SUMMARY_COLS + _STAR + """
+WHERE upper(c_mktsegment) <> 'BUILDING' OR o_orderdate >= TIMESTAMP '1997-01-01'
+GROUP BY r_name, c_mktsegment""")
+def sales_refresh(spark, root):
+    """D3: the stored summary after a run for all segments and one that merges
+    a segment's rows since 1997 into it."""
+    return writers.read_current(spark, f"{_refreshed(spark, root)}/sales_summary").drop("refreshed_at")
+
+
+@register("sales_refresh_audit", oracle=f"""
+WITH everyone AS ({_TOP.format(where="", n=5)}),
+building AS ({_TOP.format(where="WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND upper(c_mktsegment) = 'BUILDING'", n=3)})
+SELECT 'ALL' AS market_segment, CAST(NULL AS DATE) AS min_order_date,
+       (SELECT count(*) FROM (SELECT DISTINCT r_name, c_mktsegment {_STAR})) AS segment_rows,
+       (SELECT count(*) FROM everyone) AS customer_rows, 'SUCCESS' AS status
+UNION ALL
+SELECT 'BUILDING', DATE '1997-01-01',
+       (SELECT count(*) FROM (SELECT DISTINCT r_name, c_mktsegment {_STAR}
+                              WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND upper(c_mktsegment) = 'BUILDING')),
+       (SELECT count(*) FROM building), 'SUCCESS'""")
+def sales_refresh_audit(spark, root):
+    """D3: the audit rows of both runs, with what each wrote."""
+    return spark.read.parquet(f"{_refreshed(spark, root)}/refresh_audit").drop("run_id", "run_ts")
