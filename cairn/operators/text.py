@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cairn.sources.answers import AnswerCache, digest
+from cairn.sources.answers import AnswerCache, answered, digest
 
 TOKEN_SPLIT = r"[^\p{L}]+"
 SENTENCE_SPLIT = r"[.!?\n]+"
@@ -175,8 +175,8 @@ def summarize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def enrich_with(df: DataFrame, text_col: str, fn: Callable[[pd.Series], pd.Series],
                 out_col: str, dedupe: bool = True, sent: Column | None = None,
                 cache: AnswerCache | None = None) -> DataFrame:
-    """Apply an external text function (a model, a remote service) in Arrow
-    batches to the rows where ``sent`` is TRUE (all, unless given); the others
+    """Apply an external text function (a model, a remote service) in parts of
+    Arrow batches to the rows where ``sent`` is TRUE (all, unless given); the others
     and NULL texts get NULL. With ``dedupe`` each distinct text is sent once,
     and the answer is joined back by a 128-bit digest of the text; copies (a
     third of all rows may be one text) collapse before they are shuffled.
@@ -188,7 +188,7 @@ def enrich_with(df: DataFrame, text_col: str, fn: Callable[[pd.Series], pd.Serie
         answer = F.pandas_udf(fn, T.StringType())(F.when(F.col("_sent"), F.col(text_col)))
         return keyed.withColumn(out_col, answer).drop("_digest", "_sent")
     texts = keyed.filter("_sent").select(F.col("_digest").alias("digest"), F.col(text_col).alias("text")).dropDuplicates(["digest"])
-    answers = cache.learn(texts, fn) if cache else texts.select("digest", F.pandas_udf(fn, T.StringType())("text").alias("answer"))
+    answers = cache.learn(texts, fn) if cache else answered(texts, fn)
     answers = answers.select(F.col("digest").alias("_of"), F.col("answer").alias("_answer"))
     joined = keyed.join(answers, F.col("_digest") == F.col("_of"), "left")
     return joined.withColumn(out_col, F.when(F.col("_sent"), F.col("_answer"))).drop("_digest", "_sent", "_of", "_answer")

@@ -10,17 +10,19 @@ collected or broadcast by hint.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cairn.sources import files
 
 RUN = "run"
+PART_ROWS, PART_BYTES = 1000, 1 << 20  # fixed values: what one call of a text function gets at most (or one text)
 
 
 def digest(text: Column) -> Column:
@@ -28,6 +30,35 @@ def digest(text: Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
 
+def parts(batch: pa.RecordBatch, rows: int = PART_ROWS, size: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch (digest, text) in slices of some rows and bytes of text, each of
+    one row at least: a batch is cut by its rows alone, and texts have any length."""
+    first = held = 0
+    for i, n in enumerate(pc.binary_length(batch.column(1)).to_pylist()):
+        if i > first and (i - first == rows or held + (n or 0) > size):
+            yield batch.slice(first, i - first)
+            first, held = i, 0
+        held += n or 0
+    if batch.num_rows > first:
+        yield batch.slice(first)
+
+
+def answered(texts: DataFrame, fn: Callable[[pd.Series], pd.Series]) -> DataFrame:
+    """(digest, answer) of texts (digest, text; one row each). ``fn`` gets and
+    returns a slice at a time, so that a task holds one Arrow batch of texts
+    and no copies of it, however long the texts are."""
+
+    def ask(batches):
+        for batch in batches:
+            for part in parts(batch):
+                answer = pa.Array.from_pandas(fn(part.column(1).to_pandas()), type=pa.string())
+                if len(answer) != part.num_rows:
+                    raise ValueError("text function returned a different number of rows")
+                yield pa.RecordBatch.from_arrays([part.column(0), answer], names=["digest", "answer"])
+
+    return texts.select("digest", "text").mapInArrow(ask, "digest binary, answer string")
+
+
 @dataclass(frozen=True)
 class AnswerCache:
     root: str
@@ -50,7 +81,6 @@ class AnswerCache:
         answer yet, and return all answers."""
         spark = texts.sparkSession
         new = texts.join(self.read(spark).select("digest"), "digest", "left_anti")
-        ask = F.pandas_udf(fn, T.StringType())
         run = max(self.runs(spark), default=0) + 1
-        new.select("digest", ask("text").alias("answer")).write.mode("overwrite").parquet(self.folder(run))
+        answered(new, fn).write.mode("overwrite").parquet(self.folder(run))
         return self.read(spark)

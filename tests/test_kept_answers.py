@@ -4,11 +4,12 @@ import datetime as dt
 import random
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from cairn.operators import changes as ch
 from cairn.operators import text as tx
-from cairn.sources.answers import AnswerCache
+from cairn.sources.answers import PART_BYTES, PART_ROWS, AnswerCache, parts
 from cairn.streaming.snapshots import SnapshotLog
 
 
@@ -45,6 +46,30 @@ def test_no_text_among_shuffle_keys(spark):
     assert exchanged and not any("hashpartitioning(t#" in line or "hashpartitioning(text#" in line for line in exchanged)
 
 
+def test_a_text_function_gets_parts_of_bounded_size(spark):
+    """Long texts and many texts in one Arrow batch: no call holds more than a part."""
+
+    def ask(s: pd.Series) -> pd.Series:
+        return s.str[:1] + f" {len(s)} {s.str.len().sum()}"
+
+    rows = [(i, chr(97 + i % 26) + str(i).rjust(PART_BYTES // 5, "x"), "fr") for i in range(30)]
+    rows += [(100 + i, f"s{i}", "fr") for i in range(3 * PART_ROWS)] + [(9000, "z" * (2 * PART_BYTES), "fr"), (9001, None, "fr"), (9002, "", "fr")]
+    df = spark.createDataFrame(rows, "id int, t string, lang string").coalesce(1)
+    got = {r["id"]: r["en"] for r in tx.translate_route(df, "t", "lang", ask, out_col="en").collect()}
+    assert len(got) == len(rows) and got[9001] is None and all(got[i][0] == t[0] for i, t, _ in rows if t)
+    sizes = [tuple(map(int, a.split()[-2:])) for a in got.values() if a]
+    assert max(n for n, _ in sizes) <= PART_ROWS and all(size <= PART_BYTES or n == 1 for n, size in sizes)
+    assert got[9000] == f"z 1 {2 * PART_BYTES}"
+
+
+def test_parts_cover_a_batch_in_order():
+    texts = ["aa", None, "", "bbbb", "é", "c" * 9, None]
+    batch = pa.RecordBatch.from_arrays([pa.array([bytes([i]) for i in range(7)], pa.binary()), pa.array(texts, pa.string())], names=["digest", "text"])
+    cut = [p.column(1).to_pylist() for p in parts(batch, 3, 4)]
+    assert cut == [["aa", None, ""], ["bbbb"], ["é"], ["c" * 9, None]]
+    assert [*parts(batch.slice(0, 0))] == [] and sum(p.num_rows for p in parts(batch.slice(2), 2, 99)) == 5
+
+
 def test_snapshots_equal_a_full_replay(spark, tmp_path):
     rnd = random.Random(3)
     start = dt.datetime(2024, 1, 1)
