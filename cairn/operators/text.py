@@ -23,10 +23,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cairn.sources import files
 from cairn.sources.answers import AnswerCache, answered, digest
 
 TOKEN_SPLIT = r"[^\p{L}]+"
 SENTENCE_SPLIT = r"[.!?\n]+"
+FREQUENT = 2000  # fixed value: the most tokens that are dealt out in parts
 
 # fixed values: default lexicons (multilingual support vocabulary)
 POSITIVE = ["good", "great", "thanks", "thank", "love", "excellent", "happy", "best", "perfect",
@@ -142,18 +144,30 @@ def token_rows(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.select(*others, F.explode(found).alias("tok")).filter(F.col("tok") != "")
 
 
+def frequent(frequencies: DataFrame, most: int = FREQUENT) -> DataFrame:
+    """The tokens with at least 1 / ``most`` of all the counts (never more than
+    ``most`` rows, whatever the size of the table), and how many such shares
+    each has: (tok, shares)."""
+    total = frequencies.agg(F.sum("df")).first()[0] or 0
+    often = frequencies.filter((F.col("df") > 0) & (F.col("df") * most >= total))
+    return often.select("tok", F.ceil(F.col("df") * most / F.lit(float(total))).cast("int").alias("shares"))
+
+
 def summarize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-              frequencies: DataFrame | None = None) -> DataFrame:
+              frequencies: DataFrame | None = None, most_frequent: int = FREQUENT) -> DataFrame:
     """Extractive one-line gist per document: the sentence whose tokens
     have the highest mean document frequency (ties: earliest sentence).
 
     * Document frequencies (tok, df) are counted over ``docs``, one shuffle
       with a row per token and task, or given: ``streaming.frequencies`` keeps
       them under changes, so that new documents are summarised without
-      reading the others. A token that they lack counts 0.
+      reading the others. A token that they lack counts 0. They are staged as
+      the frame is built: several steps read them.
     * Sentence scores: tokens are joined to the frequencies (the table grows
-      with the vocabulary, so no join is forced; AQE splits a hot token) and
-      aggregated per sentence.
+      with the vocabulary, so no join is forced) and aggregated per sentence.
+      A token of most sentences would bring a share of all rows to one task,
+      so the ``most_frequent`` ones, a short list at any size, are dealt out
+      in parts by sentence, and their counts are copied to each part.
     * The best sentence per document is a ``max`` over (score, -position),
       an aggregate rather than a window; its text is cut out of the document
       again by its position."""
@@ -164,7 +178,12 @@ def summarize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         dfreq, how = token_rows(docs.select(text_col), text_col).groupBy("tok").agg(F.count(F.lit(1)).alias("df")), "inner"
     else:
         dfreq, how = frequencies.select("tok", "df"), "left"
-    scored = (toks.join(dfreq, "tok", how).groupBy(id_col, "pos")
+    dfreq = files.staged(dfreq, "frequencies")
+    top = F.broadcast(frequent(dfreq, most_frequent))
+    part = F.when(F.col("shares").isNull(), 0).otherwise(F.pmod(F.xxhash64(id_col, "pos"), F.col("shares")).cast("int"))
+    toks = toks.join(top, "tok", "left").select(id_col, "pos", "tok", part.alias("_part"))
+    dfreq = dfreq.join(top, "tok", "left").select("tok", "df", F.explode(F.sequence(F.lit(0), F.coalesce("shares", F.lit(1)) - 1)).alias("_part"))
+    scored = (toks.join(dfreq, ["tok", "_part"], how).groupBy(id_col, "pos")
               .agg((F.coalesce(F.sum("df"), F.lit(0)).cast("double") / F.count(F.lit(1))).alias("score")))
     best = scored.groupBy(id_col).agg(F.max(F.struct("score", (-F.col("pos")).alias("neg_pos"))).alias("_best"))
     return (docs.join(best, id_col)

@@ -1,5 +1,7 @@
 """Kept document frequencies against a recompute, and summaries from them."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from cairn.operators import changes as ch
@@ -55,3 +57,26 @@ def test_unknown_tokens_and_empty_tables(spark, tmp_dir):
     got = tx.summarize(_frame(spark, [(1, "never seen. words")]), frequencies=kept.read(spark)).collect()
     assert [tuple(r) for r in got] == [(1, "never seen", 0.0)]
     assert tx.summarize(_frame(spark, [])).collect() == []
+
+
+def test_frequent_tokens_are_dealt_out_in_parts(spark):
+    """No token brings all its rows to one task; whatever the list's length,
+    the summaries are the same."""
+    words = ["the", "of", "and", *(f"{a}{b}" for a in "bcdfghklm" for b in "aeiouy")]
+    rows = [(i % 90 if i % 7 else None, ". ".join(" ".join(["the"] * (i % 3) + ["Of", words[(i * k) % len(words)], words[(i + k * k) % 9]]) for k in range(i % 5)))
+            for i in range(120)] + [(300, None), (301, ""), (302, "the the. the of")]
+    docs = _frame(spark, rows)
+    counts = tx.token_rows(docs.select("text")).groupBy("tok").agg(F.count("*").alias("df"))
+    top = tx.frequent(counts, 8)
+    shares = {r["tok"]: r["shares"] for r in top.collect()}
+    assert 0 < len(shares) <= 8 and {"the", "of"} <= set(shares) and sum(shares.values()) <= 16
+    assert tx.frequent(counts.limit(0)).count() == 0
+    whole = lambda df: sorted(map(str, df.collect()))
+    want = whole(tx.summarize(docs, most_frequent=1_000_000))
+    known = counts.filter("tok <> 'of' AND tok <> 'ba'")
+    lacking = whole(tx.summarize(docs, frequencies=known, most_frequent=1_000_000))
+    for most in (1, 8):
+        assert whole(tx.summarize(docs, most_frequent=most)) == want
+        assert whole(tx.summarize(docs, frequencies=known, most_frequent=most)) == lacking
+    plan = tx.summarize(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Join Inner.*\(_part#\d+ = _part#\d+\)", plan)
