@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cairn.session import checkpoint_dir
 
+STORED = "zstd"  # fixed value: how tables and logs that hold whole rows are compressed
+
 
 def _at(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -58,5 +60,5 @@ def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     """``df`` written to a table in the shared folder and read back: computed
     once however often it is used, and a lost executor costs no earlier stage."""
     path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", STORED).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -51,7 +51,7 @@ class KeyedTable:
 
     def create(self, df: DataFrame, batch_id: int = 0) -> None:
         """The first rows of the table, as batch ``batch_id``."""
-        self._write(self._marked(df, [0]), self.data, "static")
+        self._write(self._marked(df, [0]).repartition(BUCKET), self.data, "static")
         self.mark(df.sparkSession, batch_id)
 
     def _marked(self, df: DataFrame, folders: list[int]) -> DataFrame:
@@ -60,7 +60,8 @@ class KeyedTable:
         return df.withColumn(BUCKET, self.bucket()).withColumn(LIVE, F.lit(True)).unionByName(markers, allowMissingColumns=True)
 
     def _write(self, rows: DataFrame, path: str, mode: str) -> None:
-        (rows.repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(BUCKET).parquet(path))
+        """Rows as they lie, into their folders."""
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", mode).option("compression", files.STORED).partitionBy(BUCKET).parquet(path))
 
     def stored(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.data).filter(LIVE).drop(LIVE)
@@ -106,8 +107,8 @@ class KeyedTable:
                 self.mark(spark, batch_id)
                 return True
             current = self.stored(spark).filter(F.col(BUCKET).isin(folders)).drop(BUCKET)
-            self._write(self._marked(ch.apply_changes(current, last, new, self.keys), folders), aside, "static")
-        self._write(spark.read.parquet(aside), self.data, "dynamic")
+            self._write(self._marked(ch.apply_changes(current, last, new, self.keys), folders).repartition(BUCKET), aside, "static")
+        self._write(spark.read.parquet(aside), self.data, "dynamic")  # a file there holds one folder's rows: no shuffle
         self.mark(spark, batch_id)
         files.delete(spark, aside)
         return True

@@ -58,7 +58,7 @@ class ChangeLog:
         if version is None:
             last = self.latest(spark)
             version = 1 if last is None else last + 1
-        feed.write.mode("overwrite").parquet(self.folder(version))
+        feed.write.mode("overwrite").option("compression", files.STORED).parquet(self.folder(version))
         return version
 
     def read(self, spark: SparkSession, after: int | None, upto: int) -> DataFrame:
@@ -190,8 +190,10 @@ def _state(upstream: Source | Layer, spark: SparkSession, upto: int) -> DataFram
     """The rows of an upstream table at a version."""
     if isinstance(upstream, Layer):
         return upstream.read(spark)
-    last = ch.last_changes(upstream.log.read(spark, None, upto), upstream.keys, VERSION)
-    return last.filter(F.col(ch.ACTION) == ch.INSERT).drop(*FEED_COLUMNS)
+    rows = upstream.log.read(spark, None, upto)
+    if not rows.groupBy(*upstream.keys).count().filter("count > 1").isEmpty():  # else whole rows need no shuffle
+        rows = ch.last_changes(rows, upstream.keys, VERSION)
+    return rows.filter(F.col(ch.ACTION) == ch.INSERT).drop(*FEED_COLUMNS)
 
 
 def _refresh(layer: Layer | AggregateLayer, spark: SparkSession, run_log: str | None, now: float | None) -> str:

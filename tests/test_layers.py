@@ -178,3 +178,24 @@ def test_fifty_deltas_and_compaction(spark, tmp_dir):
     want = now.groupBy("name").agg(F.count("*").alias("n"), F.sum("amount").alias("s"))
     assert rows(state.read(spark).select("name", "row_count", "sum_amount")) == rows(want)
     assert 0 < compacted < 10 and max(sizes) < files.size(spark, state.base) / 2
+
+
+def test_whole_rows_move_no_more_than_they_must(spark, tmp_dir, monkeypatch):
+    """The copy aside is put in place without a shuffle, and a source that says
+    each key once is not dealt out to find each key's last change."""
+    table = table_of(spark, tmp_dir, [(i, "x", i) for i in range(40)])
+    change = spark.createDataFrame([(i, "y", -i) for i in range(0, 40, 3)], ROWS)
+    dealt, deal, kind = [], type(change).repartition, type(change)
+    monkeypatch.setattr(kind, "repartition", lambda self, *a: dealt.append(a) or deal(self, *a))
+    assert table.apply(change, change, 1) and len(dealt) == 1
+    monkeypatch.undo()
+    assert rows(table.read(spark)) == sorted(((i, "y", -i) if i % 3 == 0 else (i, "x", i) for i in range(40)), key=str)
+    assert all(".zstd." in f for f in data_files(table.data))
+
+    called, last = [], ch.last_changes
+    monkeypatch.setattr(ch, "last_changes", lambda *a: called.append(a) or last(*a))
+    for name, made, calls, left in (("a", [(1, "n", 1), (None, "m", 2)], 0, 2), ("b", [(1, "n", 1), (1, "n", 1), (2, "k", 1)], 1, 2)):
+        source, _, served, _ = chain(f"{tmp_dir}/{name}")
+        source.log.publish(ch.as_inserts(spark.createDataFrame(made, ROWS), ["id"]))
+        served.refresh(spark)
+        assert len(called) == calls and served.read(spark).count() == left
