@@ -51,7 +51,7 @@ def pieces(df: DataFrame, vocabulary_path: str, key: str = "doc_id", text: str =
         encode = encoder(sent.value)
         for batch in slices(batches, size=CHARS_AT_ONCE):
             of, starts, lengths, ids, totals = [], [], [], [], []
-            for row, tokens in enumerate(encode(batch.column("text").to_pylist())):
+            for row, tokens in enumerate(encode(batch.column("text"))):
                 tokens += last
                 total = len(tokens) // 4
                 for at in range(0, total, size):

@@ -1,9 +1,10 @@
 """Token ids of whole texts by a byte-level BPE file of the tokenizers library.
 
 Its pattern never matches across the start of white space that follows a
-non-space, so a text may be cut there and its chunks encoded one by one. A
-worker remembers the ids of the chunks it uses most, across its tasks, and
-sends only new ones to the library, many in one call.
+non-space, so a text may be cut there and its chunks encoded one by one. Arrow
+cuts the texts of a slice and numbers their distinct chunks. A worker remembers
+the ids of the chunks it uses most, across its tasks, and sends only new ones
+to the library, many as one text, whose ids are cut again by their bytes.
 """
 
 from __future__ import annotations
@@ -11,22 +12,27 @@ from __future__ import annotations
 import gc
 import os
 import re
-from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from cairn.llm.common import slices
 
 #: Chunks a worker remembers at most (beyond those of one slice of texts; some 150 bytes each), and the longest it keeps.
 CHUNK_CACHE, CHUNK_CHARS = 200_000, 48
-#: Texts that are encoded together hold so many characters, or are one text.
+#: Texts that are encoded together hold so many bytes, or are one text.
 CHARS_AT_ONCE = 2_000_000
-#: New chunks in one call of the library.
-NEW_AT_ONCE = 8_000
+#: New chunks in one call of the library, and in one of its texts.
+NEW_AT_ONCE, JOINED = 8_000, 1_000
 
-_BEFORE_SPACE = re.compile(r"(?<=\S)(?=[ \t\n\r\x0b\x0c])")
-_DOUBLE_SPACE = re.compile(r"\s\s|\x01")
+_SPACES = " \t\n\r\x0b\x0c"
+_BEFORE_SPACE = re.compile(rf"(?<=\S)(?=[{_SPACES}])")
+#: For Arrow, whose \s is ASCII only: two characters of Python's \s, or the mark.
+_DOUBLE_SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]{2}|\x01"
 #: A full stop or comma behind anything but a letter or digit: part of a longer run.
-_IN_RUN = re.compile(r"[.,](?<![^\W_].) ")
+_IN_RUN = r"(?:\A|[^\p{L}\p{N}])[.,] "
 
 
 def read_vocabulary(path: str) -> str:
@@ -35,20 +41,26 @@ def read_vocabulary(path: str) -> str:
         return f.read()
 
 
-def chunks(text: str) -> list[str]:
-    """The text up to its first cut, then a key for every further chunk: the
-    chunk without its one space, or as it is after a line break. A full stop or
-    comma that ends a word is a chunk of its own, marked by \\x01, so that the
-    word is known with and without it. Chunks that start with other white
-    space keep it, behind a space as a mark."""
-    if not _DOUBLE_SPACE.search(text):
-        text = text.replace("\n", " \n")
-        if not _IN_RUN.search(text):
-            text = text.replace(". ", " \x01. ").replace(", ", " \x01, ")
-        return text.split(" ")
+def plain_chunks(texts: pa.Array) -> pa.Array:
+    """Lists of the chunk keys of texts without two white-space characters in
+    a row and without \\x01. A key is its chunk without its one space, or as it
+    is after a line break. A text's first chunk is marked by \\x01; so is a full
+    stop or comma that ends a word, as a chunk of its own, so that the word is
+    known with and without it."""
+    lines = pc.replace_substring(texts, "\n", " \n")
+    cut = lines
+    for mark in ".,":
+        cut = pc.replace_substring(cut, f"{mark} ", f" \x01{mark} ")
+    cut = pc.if_else(pc.match_substring_regex(lines, _IN_RUN), lines, cut)
+    return pc.split_pattern(pc.binary_join_element_wise(pa.scalar("\x01", cut.type), cut, pa.scalar("", cut.type)), " ")
+
+
+def other_chunks(text: str) -> list[str]:
+    """The chunk keys of any text. The first chunk, and those that start with
+    other white space than one space or line break, are kept behind a space."""
     head, *rest = _BEFORE_SPACE.split(text)
     plain = lambda c: c[0] in " \n" and c[1:2] != "\x01" and not c[1:2].isspace() and len(c) > 1
-    return [head, *((c[1:] if c[0] == " " else c) if plain(c) else f" {c}" for c in rest)]
+    return [f" {head}", *((c[1:] if c[0] == " " else c) if plain(c) else f" {c}" for c in rest)]
 
 
 def chunk_of(key: str) -> str:
@@ -80,16 +92,42 @@ class Encoder:
         self.library.encode_special_tokens = True  # their strings are ordinary text
         self.cache, self.chars_at_once = cache, chars_at_once
         self.codes = Codes()
+        vocab = self.library.get_vocab(with_added_tokens=True)
+        self.bytes = np.zeros(max(vocab.values(), default=-1) + 1, np.int64)
+        self.bytes[list(vocab.values())] = [len(x) for x in vocab]  # a byte is a character there
         self.flat, self.start, self.size, self.uses = (np.empty(0, t) for t in (np.uint32, np.int64, np.int64, np.int64))
 
+    def _encoded(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each chunk, and all ids. Chunks that may follow
+        each other in a text are encoded as one, whose ids are cut where the
+        bytes of a chunk end; should an id lie across, each by itself."""
+        runs: list[list[str]] = []
+        open_run = False
+        for c in found:
+            if open_run and c[:1] in _SPACES and len(runs[-1]) < JOINED:
+                runs[-1].append(c)
+            else:
+                runs.append([c])
+            open_run = not c[-1:].isspace() and c != ""
+        ids = [x.ids for x in self.library.encode_batch_fast(["".join(r) for r in runs], add_special_tokens=False)]
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32, sum(map(len, ids)))
+        reached = np.r_[0, np.cumsum(self.bytes[flat])]
+        ends = np.cumsum(np.fromiter((len(c.encode()) for c in found), np.int64, len(found)))
+        at = np.searchsorted(reached, ends)
+        if reached[-1] == ends[-1] and (reached[at] == ends).all():
+            return np.diff(at, prepend=0), flat
+        ids = [x.ids for x in self.library.encode_batch_fast(found, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return sizes, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
+
     def _learn(self) -> None:
         """Encode the chunks that are new, ``NEW_AT_ONCE`` in a call (the
         library's result objects take some hundred times the ids' bytes)."""
         sizes, flat = [self.size], [self.flat]
         for at in range(0, len(self.codes.new), NEW_AT_ONCE):
-            found = [x.ids for x in self.library.encode_batch_fast([chunk_of(k) for k in self.codes.new[at : at + NEW_AT_ONCE]], add_special_tokens=False)]
-            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
-            flat.append(np.fromiter(chain.from_iterable(found), np.uint32, int(sizes[-1].sum())))
+            size, ids = self._encoded([chunk_of(k) for k in self.codes.new[at : at + NEW_AT_ONCE]])
+            sizes.append(size)
+            flat.append(ids)
         self.size, self.flat = np.concatenate(sizes), np.concatenate(flat)
         self.start = np.cumsum(self.size) - self.size
         self.uses = np.append(self.uses, np.zeros(len(self.codes.new), np.int64))
@@ -105,41 +143,38 @@ class Encoder:
         self.start, self.size, self.uses = np.cumsum(size) - size, size, self.uses[keep] // 2
         self.codes = Codes([keys[k] for k in keep])
 
-    def _few(self, texts: list[str]) -> list[bytes]:
-        counts: list[int] = []
-
-        def keys() -> Iterator[list[str]]:  # one text at a time, so that its chunks are gone when the next is cut
-            for text in texts:
-                parts = chunks(text)
-                parts[0] = f" {parts[0]}"  # as it is: the mark of chunks that keep their start
-                counts.append(len(parts))
-                yield parts
-
-        code = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(keys())), np.int64)
-        n = np.array(counts)
+    def _few(self, texts: pa.Array) -> list[bytes]:
+        other = pc.match_substring_regex(texts, _DOUBLE_SPACE)
+        plain = plain_chunks(texts.filter(pc.invert(other)))
+        rest = pa.array(map(other_chunks, texts.filter(other).to_pylist()), plain.type)
+        order = np.argsort(other.to_numpy(zero_copy_only=False), kind="stable")  # plain texts first
+        numbered = pa.concat_arrays([plain.flatten(), rest.flatten()]).dictionary_encode()
+        keys, of = numbered.dictionary.to_numpy(zero_copy_only=False).tolist(), numbered.indices
+        code = np.fromiter(map(self.codes.__getitem__, keys), np.int64, len(keys))
         if self.codes.new:
             self._learn()
+        self.uses[code] += np.bincount(of.to_numpy(), minlength=len(keys))
         size = self.size[code]
         ids = self.flat[_ranges(self.start[code], size)]
-        ends = np.cumsum(np.add.reduceat(size, np.cumsum(n) - n))
-        self.uses += np.bincount(code, minlength=len(self.uses))
+        known = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(keys), [None, *map(pa.py_buffer, (4 * np.r_[0, np.cumsum(size)], ids))])
         if len(self.codes) > self.cache:
             self._forget()
-        return [ids[a:b].tobytes() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
-
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
+        _, ends, taken = known.take(of).buffers()
+        counts = np.concatenate([pc.list_value_length(x).to_numpy() for x in (plain, rest)])
+        cuts = np.frombuffer(ends, np.int64)[np.r_[0, np.cumsum(counts)]].tolist()
+        out = [b""] * len(texts)
+        for i, a, b in zip(order.tolist(), cuts[:-1], cuts[1:], strict=True):
+            out[i] = taken[a:b].to_pybytes() if b > a else b""
+        return out
+
+    def __call__(self, texts: pa.Array | list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; NULL is empty."""
-        out, few, size = [], [], 0
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        whole = pa.RecordBatch.from_arrays([pc.fill_null(texts.cast(pa.large_string()), "")], names=["text"])
         was_on = gc.isenabled()
         gc.disable()  # no cycles are made here, and a pass would visit every chunk
         try:
-            for t in texts:
-                few.append(t or "")
-                size += len(few[-1])
-                if size >= self.chars_at_once:
-                    out += self._few(few)
-                    few, size = [], 0
-            return out + self._few(few) if few else out
+            return [ids for few in slices([whole], size=self.chars_at_once) for ids in self._few(few.column("text"))]
         finally:
             if was_on:
                 gc.enable()

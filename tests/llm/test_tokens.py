@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from cairn.llm import bpe, packing, token_orc, tokens
@@ -60,6 +61,46 @@ def test_chunked_encoder_equals_library(library):
             assert np.frombuffer(ids, "<u4").tolist() == library(t)
 
 
+class Counted:
+    """The library, and how many texts it was given."""
+
+    def __init__(self, library):
+        self.library, self.texts = library, 0
+
+    def encode_batch_fast(self, found, **kwargs):
+        self.texts += len(found)
+        return self.library.encode_batch_fast(found, **kwargs)
+
+
+def test_new_chunks_are_encoded_as_few_texts(library):
+    encode = tokens.Encoder(tokens.read_vocabulary(JSON))
+    encode.library = counted = Counted(encode.library)
+    text = " ".join(f"w{i}x, é{i}" for i in range(4000))
+    for _ in range(2):
+        assert np.frombuffer(encode([text])[0], "<u4").tolist() == library(text)
+    assert 0 < counted.texts <= 20  # of some 8,000 new chunks
+
+
+def test_odd_cuts_equal_library_whatever_the_cache(library):
+    odd = ["a\x01. b", "\x01 \x01.", " lead", "trail ", "a.\nb, c", "a.. b", "_. b", "., b", "é. ½, Ⅷ. b", "a\u0301. b", "a\x1c b", "a \x85b", "a\u3000 b", "a\u00a0b c",
+           "x \n\n y", "\r\nq\r\n", "\t\tz 's", "it 's, 'll. <|endoftext|>", "", None, "\n", ".", " ", "\U0001f600, \u200b. b"]
+    for cache in (4, 1000):
+        encode = tokens.Encoder(tokens.read_vocabulary(JSON), cache=cache, chars_at_once=40)
+        for many in (odd, odd[::-1], pa.array(odd).slice(3, 11)):
+            plain = many.to_pylist() if isinstance(many, pa.Array) else many
+            assert [np.frombuffer(x, "<u4").tolist() for x in encode(many)] == [library(t) for t in plain]
+        assert encode([]) == []
+
+
+def test_chunks_are_encoded_singly_if_ids_do_not_end_with_them(library):
+    encode = tokens.Encoder(tokens.read_vocabulary(JSON))
+    encode.bytes[:] = 3
+    encode.library = counted = Counted(encode.library)
+    text = " ".join(f"word{i}" for i in range(300))
+    assert np.frombuffer(encode([text])[0], "<u4").tolist() == library(text)
+    assert counted.texts > 300
+
+
 def test_packing_covers_every_id_once(spark, library):
     rows = list(enumerate(texts()))
     packed = packing.pack(packing.pieces(documents(spark, rows), JSON)).collect()
