@@ -45,7 +45,7 @@ def write_ids(df: DataFrame, path: str, vocabulary_path: str, key: str = "doc_id
 
         encode_all, part, before = encoder(sent.value, CACHE, CHARS), TaskContext.get().partitionId(), 0
         for batch in slices(batches, size=CHARS):
-            ids = [np.frombuffer(x + last, "<u4").astype(np.int32) for x in encode_all(batch.column("text").to_pylist())]
+            ids = [np.frombuffer(x + last, "<u4").astype(np.int32) for x in encode_all(batch.column("text"))]
             sizes = np.array([len(x) for x in ids], np.int64)
             starts = before + np.cumsum(sizes) - sizes
             before += int(sizes.sum())
