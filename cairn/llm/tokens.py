@@ -29,8 +29,8 @@ NEW_AT_ONCE, JOINED = 8_000, 1_000
 
 _SPACES = " \t\n\r\x0b\x0c"
 _BEFORE_SPACE = re.compile(rf"(?<=\S)(?=[{_SPACES}])")
-#: For Arrow, whose \s is ASCII only: two characters of Python's \s, or the mark.
-_DOUBLE_SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]{2}|\x01"
+#: Python's \s for Arrow, whose own is ASCII only.
+_SPACE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 #: A full stop or comma behind anything but a letter or digit: part of a longer run.
 _IN_RUN = r"(?:\A|[^\p{L}\p{N}])[.,] "
 
@@ -41,9 +41,9 @@ def read_vocabulary(path: str) -> str:
         return f.read()
 
 
-def plain_chunks(texts: pa.Array) -> pa.Array:
+def plain_keys(texts: pa.Array) -> pa.Array:
     """Lists of the chunk keys of texts without two white-space characters in
-    a row and without \\x01. A key is its chunk without its one space, or as it
+    a row and without marks. A key is its chunk without its one space, or as it
     is after a line break. A text's first chunk is marked by \\x01; so is a full
     stop or comma that ends a word, as a chunk of its own, so that the word is
     known with and without it."""
@@ -55,16 +55,24 @@ def plain_chunks(texts: pa.Array) -> pa.Array:
     return pc.split_pattern(pc.binary_join_element_wise(pa.scalar("\x01", cut.type), cut, pa.scalar("", cut.type)), " ")
 
 
-def other_chunks(text: str) -> list[str]:
-    """The chunk keys of any text. The first chunk, and those that start with
-    other white space than one space or line break, are kept behind a space."""
-    head, *rest = _BEFORE_SPACE.split(text)
-    plain = lambda c: c[0] in " \n" and c[1:2] != "\x01" and not c[1:2].isspace() and len(c) > 1
-    return [f" {head}", *((c[1:] if c[0] == " " else c) if plain(c) else f" {c}" for c in rest)]
+def spaced_chunks(texts: pa.Array) -> pa.Array:
+    """Lists of the chunks of texts without marks; \\x02 is put at the cuts."""
+    words = pc.replace_substring_regex(texts, rf"([\p{{L}}\p{{N}}])([.,])([{_SPACES}])", "\\1\x02\\2\x02\\3")
+    return pc.split_pattern(pc.replace_substring_regex(words, rf"([^{_SPACE}\x02])([{_SPACES}])", "\\1\x02\\2"), "\x02")
+
+
+def any_chunks(texts: pa.Array) -> pa.Array:
+    return pa.array(map(_BEFORE_SPACE.split, texts.to_pylist()), pa.list_(texts.type))
+
+
+def key_of(chunk: str) -> str:
+    if chunk[:1] == " " and chunk[1:2] not in {" ", "\n", "\x01"}:
+        return chunk[1:]
+    return chunk if chunk[:1] == "\n" else f"\x01{chunk}"
 
 
 def chunk_of(key: str) -> str:
-    return key if key.startswith("\n") else key[1:] if key.startswith((" ", "\x01")) else f" {key}"
+    return key if key[:1] == "\n" else key[1:] if key[:1] == "\x01" else f" {key}"
 
 
 class Codes(dict):
@@ -143,28 +151,30 @@ class Encoder:
         self.start, self.size, self.uses = np.cumsum(size) - size, size, self.uses[keep] // 2
         self.codes = Codes([keys[k] for k in keep])
 
-    def _few(self, texts: pa.Array) -> list[bytes]:
-        other = pc.match_substring_regex(texts, _DOUBLE_SPACE)
-        plain = plain_chunks(texts.filter(pc.invert(other)))
-        rest = pa.array(map(other_chunks, texts.filter(other).to_pylist()), plain.type)
-        order = np.argsort(other.to_numpy(zero_copy_only=False), kind="stable")  # plain texts first
-        numbered = pa.concat_arrays([plain.flatten(), rest.flatten()]).dictionary_encode()
-        keys, of = numbered.dictionary.to_numpy(zero_copy_only=False).tolist(), numbered.indices
-        code = np.fromiter(map(self.codes.__getitem__, keys), np.int64, len(keys))
+    def _gathered(self, lists: pa.Array, keyed: bool) -> list[bytes]:
+        """Ids of each list of chunks, or of their keys."""
+        numbered = lists.flatten().dictionary_encode()
+        found, of = numbered.dictionary.to_numpy(zero_copy_only=False).tolist(), numbered.indices
+        code = np.fromiter(map(self.codes.__getitem__, found if keyed else map(key_of, found)), np.int64, len(found))
         if self.codes.new:
             self._learn()
-        self.uses[code] += np.bincount(of.to_numpy(), minlength=len(keys))
+        self.uses[code] += np.bincount(of.to_numpy(), minlength=len(found))
         size = self.size[code]
         ids = self.flat[_ranges(self.start[code], size)]
-        known = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(keys), [None, *map(pa.py_buffer, (4 * np.r_[0, np.cumsum(size)], ids))])
+        known = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(found), [None, *map(pa.py_buffer, (4 * np.r_[0, np.cumsum(size)], ids))])
         if len(self.codes) > self.cache:
             self._forget()
         _, ends, taken = known.take(of).buffers()
-        counts = np.concatenate([pc.list_value_length(x).to_numpy() for x in (plain, rest)])
-        cuts = np.frombuffer(ends, np.int64)[np.r_[0, np.cumsum(counts)]].tolist()
+        cuts = np.frombuffer(ends, np.int64)[np.r_[0, np.cumsum(pc.list_value_length(lists).to_numpy())]].tolist()
+        return [taken[a:b].to_pybytes() if b > a else b"" for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    def _few(self, texts: pa.Array) -> list[bytes]:
+        marked, spaced = (pc.match_substring_regex(texts, x).to_numpy(zero_copy_only=False) for x in (r"[\x01\x02]", f"[{_SPACE}]{{2}}"))
         out = [b""] * len(texts)
-        for i, a, b in zip(order.tolist(), cuts[:-1], cuts[1:], strict=True):
-            out[i] = taken[a:b].to_pybytes() if b > a else b""
+        for rows, cut in ((~marked & ~spaced, plain_keys), (~marked & spaced, spaced_chunks), (marked, any_chunks)):
+            if rows.any():
+                for i, ids in zip(np.flatnonzero(rows).tolist(), self._gathered(cut(texts.filter(pa.array(rows))), cut is plain_keys), strict=True):
+                    out[i] = ids
         return out
 
     def __call__(self, texts: pa.Array | list[str | None]) -> list[bytes]:
