@@ -10,8 +10,10 @@ about one run for 14 windows, and no window occurs twice inside a run.
    (saturating at two). A merged cell is never below the true count of any
    window counted there, so a window whose anchor stays below two is unique.
    The sketch has a fixed number of cells: 32 MB as bits, the only thing that
-   is broadcast, whatever the corpus. A fuller sketch lets more through and
-   loses nothing; ``cells`` is the knob for larger corpora.
+   is broadcast, whatever the corpus. The driver passes its shards on as tasks
+   have compressed them, and drops the broadcast after the pass that reads it.
+   A fuller sketch lets more through and loses nothing; ``cells`` is the knob
+   for larger corpora.
 2. The second pass emits only runs whose anchor is estimated repeated, and
    groups whole runs exactly by (anchor, hash of the run): equal runs settle
    all their windows at once.
@@ -45,6 +47,8 @@ GRAM = 8
 DEPTH = 2
 CELLS = 1 << 27
 SHARDS = 64
+#: Of the merged shards.
+CODEC = "zstd"
 #: Anchors a task counts before it emits a partial sketch.
 FLUSH = 500_000
 
@@ -98,8 +102,9 @@ def partial_bits(anchors: np.ndarray, cells: int) -> Iterator[tuple[int, bytes]]
                 yield row * SHARDS + s, ((cell[lo:hi] - s * wide) * 2 + (n[lo:hi] > 1)).astype(np.uint32).tobytes()
 
 
-def merged_bits(rows: DataFrame, anchors_of: Callable[[], Callable[[pa.RecordBatch], Iterator[np.ndarray]]], cells: int, least: int) -> bytes:
-    """The merged sketch of all anchors as bits: 1 where a cell counts ``least`` or more."""
+def merged_bits(rows: DataFrame, anchors_of: Callable[[], Callable[[pa.RecordBatch], Iterator[np.ndarray]]], cells: int, least: int) -> dict[int, bytes]:
+    """The merged sketch of all anchors as bits: 1 where a cell counts ``least``
+    or more. By shard, compressed; shards without anchors are left out."""
     if cells & (cells - 1) or cells < 8 * SHARDS:
         raise ValueError(f"cells must be a power of two of at least {8 * SHARDS}")
     wide = cells // SHARDS
@@ -123,7 +128,8 @@ def merged_bits(rows: DataFrame, anchors_of: Callable[[], Callable[[pa.RecordBat
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, counts = None, np.zeros(wide, np.uint8)
-        done = lambda: pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([np.packbits(counts >= least).tobytes()], pa.binary())], names=["shard", "bits"])
+        packed = lambda: pa.compress(np.packbits(counts >= least).tobytes(), codec=CODEC, asbytes=True)
+        done = lambda: pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([packed()], pa.binary())], names=["shard", "bits"])
         for batch in batches:
             for shard, blob in zip(batch.column("shard").to_pylist(), batch.column("blob"), strict=True):
                 if shard != now:
@@ -137,8 +143,17 @@ def merged_bits(rows: DataFrame, anchors_of: Callable[[], Callable[[pa.RecordBat
 
     merged = (rows.mapInArrow(count, "shard int, blob binary").repartition(DEPTH * SHARDS, "shard")
               .sortWithinPartitions("shard").mapInArrow(merge, "shard int, bits binary"))
-    by_shard = {r.shard: bytes(r.bits) for r in merged.collect()}  # DEPTH * cells bits at most
-    return b"".join(by_shard.get(s, bytes(wide // 8)) for s in range(DEPTH * SHARDS))
+    shards = merged.toArrow()  # DEPTH * cells bits at most, before they were compressed
+    return dict(zip(shards["shard"].to_pylist(), shards["bits"].to_pylist(), strict=True))
+
+
+def unpacked_bits(shards: dict[int, bytes], cells: int) -> np.ndarray:
+    """The whole sketch, eight cells a byte."""
+    size = cells // SHARDS // 8
+    bits = np.zeros(DEPTH * SHARDS * size, np.uint8)
+    for s, blob in shards.items():
+        bits[s * size : (s + 1) * size] = np.frombuffer(pa.decompress(blob, decompressed_size=size, codec=CODEC), np.uint8)
+    return bits
 
 
 def marked(bits: np.ndarray, anchors: np.ndarray, cells: int) -> np.ndarray:
@@ -150,14 +165,15 @@ def marked(bits: np.ndarray, anchors: np.ndarray, cells: int) -> np.ndarray:
     return keep
 
 
-def marked_runs(docs: DataFrame, runs, bits: bytes, cells: int, hashes: bool) -> DataFrame:
+def marked_runs(docs: DataFrame, runs, shards: dict[int, bytes], cells: int, hashes: bool, name: str) -> DataFrame:
     """Runs whose anchor is marked: id, print, anchor, span, start, length, and
-    with ``hashes`` the hashes of their windows."""
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
+    with ``hashes`` the hashes of their windows. Staged under ``name``, so that
+    the sketch need not be kept."""
+    shared = docs.sparkSession.sparkContext.broadcast(shards)
     names = ["id", "print", "anchor", "span", "start", "length", *(["hashes"] if hashes else [])]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, held = runs(), np.frombuffer(shared.value, np.uint8)
+        find, held = runs(), unpacked_bits(shared.value, cells)
         longs = lambda xs: pa.array(np.concatenate(xs).view(np.int64))
         for batch in batches:
             rows, anchors, spans, starts, lengths, each = [], [], [], [], [], []
@@ -184,7 +200,9 @@ def marked_runs(docs: DataFrame, runs, bits: bytes, cells: int, hashes: bool) ->
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = "id long, print long, anchor long, span long, start int, length int" + ", hashes array<long>" * hashes
-    return docs.mapInArrow(emit, schema)
+    found = staged(docs.mapInArrow(emit, schema), name)
+    shared.destroy()
+    return found
 
 
 def repeated_stretches(docs: DataFrame, runs, cells: int) -> DataFrame:
@@ -197,13 +215,11 @@ def repeated_stretches(docs: DataFrame, runs, cells: int) -> DataFrame:
     def in_rows():
         return lambda batch: iter([batch.column("anchor").to_numpy().view(np.uint64)])
 
-    bits = merged_bits(docs.select("text"), in_texts, cells, 2)
-    suspected = staged(marked_runs(docs, runs, bits, cells, False), "runs")
+    suspected = marked_runs(docs, runs, merged_bits(docs.select("text"), in_texts, cells, 2), cells, False, "runs")
     spans = staged(suspected.groupBy("anchor", "span").agg(F.count("*").alias("n")), "spans")
     whole = suspected.join(spans.filter("n > 1").select("anchor", "span"), ["anchor", "span"]).select("id", "print", "start", "length")
     several = spans.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1").select("anchor")
-    bits = merged_bits(several, in_rows, cells, 1)
-    differing = staged(marked_runs(docs, runs, bits, cells, True), "differing")
+    differing = marked_runs(docs, runs, merged_bits(several, in_rows, cells, 1), cells, True, "differing")
     again = staged(differing.select("anchor", F.explode("hashes").alias("hash")).groupBy("anchor", "hash")
                    .agg(F.count("*").alias("n")).filter("n > 1").select("anchor", "hash"), "windows")
     single = differing.join(spans.filter("n = 1").select("anchor", "span"), ["anchor", "span"])

@@ -1,10 +1,12 @@
 """Near-duplicate, substring and vector dedup against brute force."""
 
 import hashlib
+import pickle
 from collections import Counter
 from itertools import combinations
 
 import numpy as np
+from pyspark import Broadcast, SparkContext
 
 from cairn.llm import embeddings, minhash, substring
 from tests.llm.cases import documents, texts, with_odd_ids
@@ -94,6 +96,44 @@ def test_substring_equals_brute_force(spark):
     assert substring.cut_repeats(documents(spark).limit(0)).count() == 0
 
 
+def test_sketch_is_small_on_the_driver(spark, monkeypatch):
+    """The sketch of a small corpus is small there too, and is not kept after the pass that reads it."""
+    rows = list(enumerate(texts()))
+    sent, dropped, broadcast, destroy = [], [], SparkContext.broadcast, Broadcast.destroy
+
+    def noted(self, value):
+        sent.append((broadcast(self, value), len(pickle.dumps(value))))
+        return sent[-1][0]
+
+    def noted_too(self, blocking=False):
+        dropped.append(self)
+        destroy(self, blocking)
+
+    monkeypatch.setattr(SparkContext, "broadcast", noted)
+    monkeypatch.setattr(Broadcast, "destroy", noted_too)
+    got = substring.cut_repeats(documents(spark, rows))
+    assert len(sent) == 2 and max(size for _, size in sent) < substring.CELLS // 100
+    assert dropped == [made for made, _ in sent]
+    assert {r.doc_id: (r.n_words, r.n_removed) for r in got.collect()} == {i: x[:2] for (i, _), x in zip(rows, expected_cuts(rows), strict=True)}
+
+
+def test_sketch_marks_what_counts_enough(spark):
+    cells = 1 << 16
+    rng = np.random.default_rng(9)
+    once, twice = np.split(rng.integers(0, 2**63, 400, dtype=np.uint64), 2)
+    anchors = np.r_[once, twice, twice].view(np.int64).tolist()
+    df = spark.createDataFrame([(a,) for a in anchors], "anchor long").repartition(5)
+    of_rows = lambda: lambda batch: iter([batch.column("anchor").to_numpy().view(np.uint64)])
+    for least in (1, 2):
+        want = np.zeros(substring.DEPTH * cells, bool)
+        for row in range(substring.DEPTH):
+            n = np.bincount(substring.cells_of(np.array(anchors).view(np.uint64), row, cells), minlength=cells)
+            want[row * cells : (row + 1) * cells] = n >= least
+        shards = substring.merged_bits(df, of_rows, cells, least)
+        assert np.array_equal(np.unpackbits(substring.unpacked_bits(shards, cells)).astype(bool), want)
+    assert not substring.unpacked_bits(substring.merged_bits(df.limit(0), of_rows, cells, 1), cells).any()
+
+
 def test_embeddings_equal_brute_force(spark):
     rng = np.random.default_rng(3)
     rows = []
