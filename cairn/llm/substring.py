@@ -33,14 +33,16 @@ empty result.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.llm.common import bounded_batches, staged
-from cairn.llm.minhash import WordHashes, _odd, mixed
+from cairn.llm.common import bounded_batches, slices, staged
+from cairn.llm.minhash import mixed
 
 WINDOW = 35
 GRAM = 8
@@ -53,38 +55,114 @@ CODEC = "zstd"
 FLUSH = 500_000
 
 
+#: Bytes of text whose words are hashed at once; a longer text is not cut.
+SLICE = 1 << 19
+#: Bytes of the longest word that is hashed together with others.
+LONG_WORD = 64
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, in order, and how many words
+    each text has. All words take their next eight bytes at once."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    chars = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    offsets, size = offsets - offsets[0], len(chars)
+    inside = np.zeros(size + 2, bool)  # the byte before
+    inside[1:-1] = (chars != 32) & (chars - np.uint8(9) > 4)
+    edge = np.zeros(size + 1, bool)
+    edge[offsets] = True
+    start = np.flatnonzero(inside[1:] & (edge | ~inside[:-1]))
+    stop = np.flatnonzero(inside[:-1] & (edge | ~inside[1:]))
+    length = stop - start
+    hashes = length.astype(np.uint64) * _STEP
+    eights = np.ndarray(size + 1, "<u8", np.concatenate([chars, np.zeros(8, np.uint8)]), strides=(1,))
+    of = np.flatnonzero(length <= LONG_WORD)
+    at, left = start[of], length[of]
+    while len(of):
+        hashes[of] = mixed(hashes[of] ^ eights[at] & _MASKS[np.minimum(left, 8)])
+        more = np.flatnonzero(left > 8)
+        of, at, left = of[more], at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(length > LONG_WORD):
+        import xxhash
+
+        hashes[i] = xxhash.xxh3_64_intdigest(chars[start[i] : stop[i]])
+    return hashes, np.diff(np.searchsorted(start, offsets))
+
+
+def least_at(values: np.ndarray, width: int) -> np.ndarray:
+    """Where the least of each ``width`` successive values is (first one on ties)."""
+    at, low, span = np.arange(len(values)), values, 1
+    while span < width:
+        step = min(span, width - span)
+        at = np.where(low[step:] < low[:-step], at[step:], at[:-step])
+        low, span = np.minimum(low[step:], low[:-step]), span + step
+    return at
+
+
+class Found(NamedTuple):
+    """Runs of several texts: the text's number, the anchor, the first window
+    (counted in the words of all texts and in those of its own), the number of
+    windows, and the first window minus the anchor's place."""
+
+    row: np.ndarray
+    anchor: np.ndarray
+    first: np.ndarray
+    start: np.ndarray
+    length: np.ndarray
+    offset: np.ndarray
+
+    def where(self, keep: np.ndarray) -> Found:
+        return Found(*(x[keep] for x in self))
+
+
 class Runs:
-    """Texts to runs of windows that share an anchor."""
+    """Texts to runs of windows that share an anchor.
+
+    Grams, windows and the words of whole runs are hashed alike: the sum of
+    word hashes times powers of an odd number, modulo 2**64. It is a difference
+    of two prefix sums, moved to power zero, whatever the number of words."""
+
+    FACTOR = 0xD1342543DE82EF95
 
     def __init__(self, window: int = WINDOW, gram: int = GRAM) -> None:
-        rng = np.random.default_rng(31)
         self.window, self.gram = window, gram
-        self.hashes, self.grams, self.windows, self.spans = WordHashes(), _odd(rng, gram), _odd(rng, window), _odd(rng, window)
-
-    def __call__(self, text: str | None):
-        """Anchors, first starts, lengths, first start minus anchor, and word hashes; None for short texts."""
-        words = (text or "").encode("utf-8", "surrogatepass").split()
-        n = len(words) - self.window + 1
-        if n < 1:
-            return None
-        w = np.fromiter(map(self.hashes.__getitem__, words), np.uint64, len(words))
-        grams = self._sums(w, self.grams)
-        at = np.arange(n) + np.lib.stride_tricks.sliding_window_view(grams, self.window - self.gram + 1).argmin(1)
-        first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-        return grams[at[first]], first, np.diff(np.r_[first, n]), first - at[first], w
-
-    @staticmethod
-    def _sums(w: np.ndarray, factors: np.ndarray) -> np.ndarray:
-        size = len(w) - len(factors) + 1
-        return mixed(sum((w[i : i + size] * f for i, f in enumerate(factors)), np.uint64(0)))
-
-    def window_hashes(self, w: np.ndarray) -> np.ndarray:
-        return self._sums(w, self.windows)
-
-    def span_hashes(self, first: np.ndarray, length: np.ndarray, offset: np.ndarray, windows: np.ndarray) -> np.ndarray:
-        """A hash of each run: its windows in order and its place at the anchor."""
-        inside = np.arange(len(windows)) - np.repeat(first, length)
-        return mixed(np.add.reduceat(windows * self.spans[inside], first) + (offset + self.window).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        self.powers = self.inverse = np.ones(0, np.uint64)
+
+    def __call__(self, texts: pa.Array) -> tuple[Found, np.ndarray]:
+        """The runs, and the prefix sums that hash their words."""
+        w, n = hashed_words(texts)
+        if len(w) > len(self.powers):
+            self.powers, self.inverse = (np.multiply.accumulate(np.r_[np.uint64(1), np.full(len(w) * 5 // 4, f, np.uint64)])
+                                         for f in (self.FACTOR, pow(self.FACTOR, -1, 1 << 64)))
+        sums = np.zeros(len(w) + 1, np.uint64)
+        np.cumsum(w * self.powers[: len(w)], out=sums[1:])
+        many, begin = np.maximum(n - self.window + 1, 0), np.cumsum(n) - n
+        ends = np.cumsum(many)
+        if not many.any():
+            none = np.empty(0, np.int64)
+            return Found(none, none.view(np.uint64), none, none, none, none), sums
+        grams = mixed((sums[self.gram :] - sums[: -self.gram]) * self.inverse[: len(sums) - self.gram])
+        windows = np.repeat(begin - ends + many, many) + np.arange(ends[-1])  # those within one text
+        at = least_at(grams, self.window - self.gram + 1)[windows]
+        new = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+        row, first = np.searchsorted(ends, new, side="right"), windows[new]
+        return Found(row, grams[at[new]], first, first - begin[row], np.diff(np.r_[new, len(at)]), first - at[new]), sums
+
+    def _hashes(self, sums: np.ndarray, first: np.ndarray, n: np.ndarray | int) -> np.ndarray:
+        return mixed((sums[first + n] - sums[first]) * self.inverse[first])
+
+    def window_hashes(self, sums: np.ndarray, found: Found) -> np.ndarray:
+        """Of the windows of each run, in order."""
+        ends = np.cumsum(found.length)
+        return self._hashes(sums, np.repeat(found.first - ends + found.length, found.length) + np.arange(found.length.sum()), self.window)
+
+    def span_hashes(self, sums: np.ndarray, found: Found) -> np.ndarray:
+        """A hash of each run: its words in order and its place at the anchor."""
+        place = (found.length * self.window + found.offset + self.window).astype(np.uint64)
+        return mixed(self._hashes(sums, found.first, found.length + self.window - 1) + place * _STEP)
 
 
 def cells_of(anchors: np.ndarray, row: int, cells: int) -> np.ndarray:
@@ -174,29 +252,16 @@ def marked_runs(docs: DataFrame, runs, shards: dict[int, bytes], cells: int, has
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find, held = runs(), unpacked_bits(shared.value, cells)
-        longs = lambda xs: pa.array(np.concatenate(xs).view(np.int64))
-        for batch in batches:
-            rows, anchors, spans, starts, lengths, each = [], [], [], [], [], []
-            for i, text in enumerate(batch.column("text")):
-                if not (found := find(text.as_py())):
-                    continue
-                anchor, first, length, offset, w = found
-                keep = marked(held, anchor, cells)
-                if not keep.any():
-                    continue
-                windows = find.window_hashes(w)
-                span = find.span_hashes(first, length, offset, windows)
-                rows.append(np.full(keep.sum(), i))
-                for out, x in ((anchors, anchor), (spans, span), (starts, first), (lengths, length)):
-                    out.append(x[keep])
-                if hashes:
-                    each.append(windows[np.repeat(keep, length)])
-            if rows:
-                of, size = pa.array(np.concatenate(rows)), np.concatenate(lengths)
-                columns = [batch.column("id").take(of), batch.column("print").take(of), longs(anchors), longs(spans),
-                           pa.array(np.concatenate(starts).astype(np.int32)), pa.array(size.astype(np.int32))]
+        longs, ints = lambda x: pa.array(x.view(np.int64)), lambda x: pa.array(x.astype(np.int32))
+        for batch in slices(batches, size=SLICE):
+            found, sums = find(batch.column("text"))
+            found = found.where(marked(held, found.anchor, cells))
+            if len(found.row):
+                of = pa.array(found.row)
+                columns = [batch.column("id").take(of), batch.column("print").take(of), longs(found.anchor), longs(find.span_hashes(sums, found)),
+                           ints(found.start), ints(found.length)]
                 if hashes:
-                    columns.append(pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(size)].astype(np.int32)), longs(each)))
+                    columns.append(pa.ListArray.from_arrays(ints(np.r_[0, np.cumsum(found.length)]), longs(find.window_hashes(sums, found))))
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = "id long, print long, anchor long, span long, start int, length int" + ", hashes array<long>" * hashes
@@ -210,7 +275,7 @@ def repeated_stretches(docs: DataFrame, runs, cells: int) -> DataFrame:
 
     def in_texts():
         find = runs()
-        return lambda batch: (found[0] for text in batch.column("text") if (found := find(text.as_py())))
+        return lambda batch: (find(part.column("text"))[0].anchor for part in slices(iter([batch]), size=SLICE))
 
     def in_rows():
         return lambda batch: iter([batch.column("anchor").to_numpy().view(np.uint64)])
