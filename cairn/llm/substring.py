@@ -66,6 +66,8 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words of all texts, in order, and how many words
     each text has. All words take their next eight bytes at once."""
+    import xxhash
+
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     chars = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
@@ -86,8 +88,6 @@ def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         more = np.flatnonzero(left > 8)
         of, at, left = of[more], at[more] + 8, left[more] - 8
     for i in np.flatnonzero(length > LONG_WORD):
-        import xxhash
-
         hashes[i] = xxhash.xxh3_64_intdigest(chars[start[i] : stop[i]])
     return hashes, np.diff(np.searchsorted(start, offsets))
 
